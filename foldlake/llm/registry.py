@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from foldlake.llm import token_records
+from foldlake.llm import quality, token_records
 
 QUERIES = {
     "op3_token_records": token_records.op3_token_records,
+    "op4_quality_rules": quality.op4_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_quality_rules": quality.OP4_SQL,
+}
