@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from foldlake.llm import quality, token_records
+from foldlake.llm import html_text, quality, token_records
 
 QUERIES = {
+    "op1_html_text": html_text.op1_html_text,
     "op3_token_records": token_records.op3_token_records,
     "op4_quality_rules": quality.op4_quality_rules,
 }
