@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from foldlake.llm import html_text, quality, token_records
+from foldlake.llm import html_text, quality, token_records, warc
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
     "op3_token_records": token_records.op3_token_records,
     "op4_quality_rules": quality.op4_quality_rules,
+    "op6_warc_segments": warc.op6_warc_segments,
 }
 
 ORACLE_SQL: dict[str, str] = {
