@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from foldlake.llm import html_text, quality, token_records, warc
+from foldlake.llm import chat, html_text, quality, token_records, warc
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
     "op3_token_records": token_records.op3_token_records,
     "op4_quality_rules": quality.op4_quality_rules,
     "op6_warc_segments": warc.op6_warc_segments,
+    "op7_chat_format": chat.op7_chat_format,
 }
 
 ORACLE_SQL: dict[str, str] = {
