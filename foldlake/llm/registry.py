@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foldlake.llm import chat, html_text, quality, token_records, warc
+from foldlake.llm import chat, html_text, jaccard_join, quality, token_records, warc
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_quality_rules": quality.op4_quality_rules,
     "op6_warc_segments": warc.op6_warc_segments,
     "op7_chat_format": chat.op7_chat_format,
+    "op8_jaccard_join": jaccard_join.op8_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
