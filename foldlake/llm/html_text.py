@@ -23,6 +23,9 @@ OUTSIDE_SHARE, OUTSIDE_PAGES = 0.1, 3
 #: The same inside the article element, where short sentences may recur by chance.
 INSIDE_SHARE, INSIDE_PAGES = 0.5, 10
 
+#: Templates with at most so many hashes (8 bytes each) in all are broadcast; larger ones are joined by host.
+BROADCAST_HASHES = 500_000
+
 # Element names of HTML and words by which sites name what is no article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea iframe noscript noembed noframes xmp".split())
@@ -292,7 +295,10 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     other columns are ignored, whatever their names; an empty table gives an empty result.
     """
     common.small_batches(pages.sparkSession)
-    known = templates(pages).withColumnRenamed("host", "t_host")
+    known = common.materialize(templates(pages).withColumnRenamed("host", "t_host"), "templates")
+    hashes_in_all = known.agg(F.coalesce(F.sum(F.size("template")), F.lit(0))).first()[0]
+    if hashes_in_all <= BROADCAST_HASHES:
+        known = F.broadcast(known)
     rows = pages.select("page_id", "url", common.text_or_empty("html").alias("html"), host(F.col("url")).alias("host"))
     rows = rows.join(known, F.col("host") == F.col("t_host"), "left").select("page_id", "url", "html", "template")
 
