@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from foldlake.llm import chat, html_text, jaccard_join, quality, token_records, warc
+from foldlake.llm import chat, html_text, jaccard_join, lm_scoring, quality, token_records, warc
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
+    "op2_lm_scoring": lm_scoring.op2_lm_scoring,
     "op3_token_records": token_records.op3_token_records,
     "op4_quality_rules": quality.op4_quality_rules,
     "op6_warc_segments": warc.op6_warc_segments,
