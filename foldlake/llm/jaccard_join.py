@@ -20,22 +20,24 @@ no link between components is lost. Proposed pairs are verified on the whole set
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldlake.llm import common
 from foldlake.llm.components import components
+from foldlake.llm.sketch import Marks, count_sketch
 
 SHINGLE = 4
 PERCENT = 85
 SKETCH_BITS = 22
-SKETCH_BLOCK = 4096
 SMALL_MOST = 24
 BLOCK = 512
 BITMAP_BYTES = 128
@@ -46,7 +48,7 @@ _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F,
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
-    MOST = 400_000
+    MOST = 150_000
 
     def __missing__(self, word: bytes) -> int:
         value = self[word] = xxhash.xxh64_intdigest(word)
@@ -59,8 +61,14 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
-    """The sorted hashes of the distinct shingles of a text's word hashes; of all its words if they are fewer."""
+@lru_cache(1)
+def word_hashes() -> WordHashes:
+    """One memory for each Python worker, which runs many tasks."""
+    return WordHashes()
+
+
+def shingles(words: np.ndarray, size: int) -> np.ndarray:
+    """The hashes of the shingles of a text's word hashes, in order; of all its words together if they are fewer."""
     if not len(words):
         return words
     size = min(size, len(words))
@@ -72,7 +80,11 @@ def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
     value ^= value >> np.uint64(29)
     value *= _M3
     value ^= value >> np.uint64(32)
-    return np.unique(value)
+    return value
+
+
+def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
+    return np.unique(shingles(words, size))
 
 
 def least_shared(size: int, percent: int) -> int:
@@ -84,39 +96,6 @@ def subset_sizes(size: int, most: int, percent: int) -> set[int]:
     return {least_shared(other, percent) for other in range(size, min(most, 100 * size // percent) + 1)}
 
 
-def count_sketch(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int) -> np.ndarray:
-    """How often each value of `hash mod 2**bits` occurs, counted over all rows; at most 255 for each task.
-
-    Tasks send their counters in blocks, which are added up in a stream, so no task holds more than its counters.
-    """
-    blocks = max(1, (1 << bits) // SKETCH_BLOCK)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, np.uint32)
-        for batch in batches:
-            for values in hashes(batch):
-                np.add.at(counts, (values & np.uint64((1 << bits) - 1)).astype(np.int64), 1)
-        parts = np.minimum(counts, 255).astype(np.uint8).reshape(blocks, -1)
-        some = np.flatnonzero(parts.any(axis=1))
-        yield pa.RecordBatch.from_pydict({"block": pa.array(some, pa.int32()), "counts": [parts[i].tobytes() for i in some]})
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, counts in zip(batch["block"].to_pylist(), batch["counts"].to_pylist(), strict=True):
-                more = np.frombuffer(counts, np.uint8)
-                sums[block] = sums[block] + more if block in sums else more.astype(np.uint64)
-        if sums:
-            yield pa.RecordBatch.from_pydict({"block": pa.array(sums, pa.int32()), "counts": [v.tobytes() for v in sums.values()]})
-
-    spark = rows.sparkSession
-    found = rows.mapInArrow(count, "block int, counts binary").repartition(common.partitions(spark), "block")
-    total = np.zeros((blocks, (1 << bits) // blocks), np.uint64)
-    for row in found.mapInArrow(add, "block int, counts binary").collect():
-        total[row.block] = np.frombuffer(row.counts, np.uint64)
-    return total.reshape(-1)
-
-
 def levels(counts: np.ndarray) -> np.ndarray:
     """Counters on a logarithmic scale of one byte."""
     return np.minimum(255, 4 * np.log2(counts.astype(np.float64) + 1)).astype(np.uint8)
@@ -134,7 +113,7 @@ def describe(docs: DataFrame, order: np.ndarray, size: int, percent: int) -> Dat
     shared, mask = spark.sparkContext.broadcast(order), np.uint64(len(order) - 1)
 
     def describe_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, rank = WordHashes(), shared.value
+        known, rank = word_hashes(), shared.value
         for batch in batches:
             out = []
             for text in batch["text"].to_pylist():
@@ -198,14 +177,26 @@ def _repeated(postings: DataFrame) -> DataFrame:
 
 def lists(nodes: DataFrame, percent: int) -> DataFrame:
     """key, node, n, c: the postings of subsets and of prefixes that more than one node has."""
-    scanned = nodes.select("node", "n", F.explode("prefix").alias("key"))
+    scanned = nodes.select(F.explode("prefix").alias("key"))
     counts = common.materialize(_repeated(scanned), "lists")
     postings = nodes.agg(F.sum(F.size("prefix"))).first()[0] or 0
     several, squares = counts.agg(F.sum("c"), F.sum(F.col("c") * F.col("c"))).first()
     mean_list = (postings - (several or 0) + (squares or 0)) / max(1, postings)
     sizes = {r.n: r["count"] for r in nodes.where(F.col("n") <= SMALL_MOST).groupBy("n").count().collect()}
     most = choose_boundary(sizes, mean_list, percent)
-    large = scanned.where(F.col("n") >= least_shared(most + 1, percent)).join(counts, "key").select("key", "node", "n", "c")
+    marks = Marks(counts, "key")
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, lengths = pa.compute.list_flatten(batch["prefix"]), pa.compute.list_value_length(batch["prefix"])
+            at = np.repeat(np.arange(batch.num_rows), lengths.to_numpy(zero_copy_only=False))
+            found = np.flatnonzero(marks.of(keys.to_numpy(zero_copy_only=False)))
+            rows = pa.array(at[found])
+            columns = [keys.take(pa.array(found)), batch["node"].take(rows), batch["n"].take(rows)]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "node", "n"])
+
+    large = nodes.where(F.col("n") >= least_shared(most + 1, percent)).select("node", "n", "prefix")
+    large = large.mapInArrow(repeated, "key long, node long, n int").join(counts, "key").select("key", "node", "n", "c")
     if not most:
         return large
     small = subsets(nodes, most, percent)
@@ -221,27 +212,26 @@ def in_blocks(postings: DataFrame) -> DataFrame:
 
 
 def _pairs(columns: dict[str, np.ndarray], percent: int, rest: bool) -> list[tuple[int, int]]:
-    """Pairs of one group, in which blocks i and j meet. rest: all allowed pairs of different components; else for each
-    member the one that its bitmap calls most similar among those before it."""
+    """Pairs of one group, in which two blocks meet, or one with itself. rest: all allowed pairs of different
+    components; else for each member those that its bitmap calls most similar among the members before and after it.
+    So a member that any other fits is in some pair."""
     node, n, own, label, bits = (columns[k] for k in ("node", "n", "own", "label", "bits"))
-    order = np.lexsort((node, own)) if own[0] != own[-1] or own.min() != own.max() else np.argsort(node, kind="stable")
+    order = np.lexsort((node, own))
     node, n, own, label, bits = node[order], n[order], own[order], label[order], bits[order]
+    cut = int(np.searchsorted(own, own[-1]))  # 0 if one block meets itself
     out = []
-    cross = own[0] != own[-1]
-    start = int(np.searchsorted(own, own[-1])) if cross else 1
-    for at in range(start, len(node)):
-        before = slice(0, start if cross else at)
-        sizes = n[before]
-        most = (100 - percent) * (sizes + n[at]) // (100 + percent)  # a difference above it is below the threshold
-        differ = np.bitwise_count(bits[before] ^ bits[at]).sum(axis=1, dtype=np.int64)
-        bound = np.maximum(differ, np.abs(sizes - n[at]))
-        fits = (bound <= most) & (node[before] != node[at])
-        if rest:
-            fits &= label[before] != label[at]
-            out += [(int(node[at]), int(other)) for other in node[before][fits]]
-        elif fits.any():
-            likeness = np.where(fits, (most - bound) / (sizes + n[at]), -1.0)
-            out.append((int(node[at]), int(node[before][likeness.argmax()])))
+    for at in range(len(node)):
+        sides = [slice(0, at), slice(at + 1, None)] if not cut else [slice(0, cut) if at >= cut else slice(cut, None)]
+        for side in sides[:1] if rest and (not cut or at >= cut) else () if rest else sides:
+            sizes = n[side] + n[at]
+            most = (100 - percent) * sizes // (100 + percent)  # sets that differ in more are below the threshold
+            bound = np.maximum(np.bitwise_count(bits[side] ^ bits[at]).sum(axis=1, dtype=np.int64), np.abs(n[side] - n[at]))
+            fits = (bound <= most) & (node[side] != node[at])
+            if rest:
+                fits &= label[side] != label[at]
+                out += [(int(node[at]), int(other)) for other in node[side][fits]]
+            elif fits.any():
+                out.append((int(node[at]), int(node[side][np.where(fits, (most - bound) / sizes, -1.0).argmax()])))
     return out
 
 
@@ -289,36 +279,21 @@ def _pair_batch(found: set[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """doc_id, values for the documents whose id is in wanted (node), and perhaps a few others.
-
-    The ids pass a bitmap of fixed size, so that texts need not be shuffled to find them.
-    """
-    spark = docs.sparkSession
-    bits = min(26, max(16, (16 * wanted.count()).bit_length()))
-
-    def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        yield _mixed(batch["node"].to_numpy(zero_copy_only=False))
-
-    marks = spark.sparkContext.broadcast(np.packbits(count_sketch(wanted, hashes, bits) > 0))
-    mask = np.uint64((1 << bits) - 1)
+    """doc_id, values for the documents whose id is in wanted (node). Ids pass a bitmap first, so that texts need not be
+    shuffled to find them."""
+    marks = Marks(wanted, "node")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, some = WordHashes(), marks.value
+        known = word_hashes()
         for batch in batches:
-            at = (_mixed(batch["doc_id"].to_numpy(zero_copy_only=False)) & mask).astype(np.int64)
-            here = np.flatnonzero((some[at >> 3] >> (7 - (at & 7))) & 1)
-            batch = batch.take(pa.array(here))
+            batch = batch.take(pa.array(np.flatnonzero(marks.of(batch["doc_id"].to_numpy(zero_copy_only=False)))))
             for cut in range(0, batch.num_rows, 64):
                 part = batch.slice(cut, 64)
                 values = [shingle_set(known.of(t), size).view(np.int64) for t in part["text"].to_pylist()]
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(values, pa.list_(pa.int64()))], names=["doc_id", "values"])
 
-    return docs.mapInArrow(sets, "doc_id long, values array<long>")
-
-
-def _mixed(ids: np.ndarray) -> np.ndarray:
-    value = ids.astype(np.int64).view(np.uint64) * _M1
-    return value ^ (value >> np.uint64(32))
+    found = docs.where("doc_id IS NOT NULL").mapInArrow(sets, "doc_id long, values array<long>")
+    return found.join(wanted.select(F.col("node").alias("doc_id")), "doc_id")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -344,9 +319,9 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_or_empty().alias("text"))
 
     def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        known = sketch_words()
+        known = word_hashes()
         for text in batch["text"].to_pylist():
-            yield shingle_set(known.of(text), size)
+            yield shingles(known.of(text), size)
 
     order = levels(count_sketch(docs, hashes, SKETCH_BITS))
     described = common.materialize(describe(docs, order, size, percent), "described")
@@ -364,11 +339,11 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
     firsts = common.materialize(firsts, "firsts")
 
     postings = common.materialize(lists(firsts, percent), "postings")
-    wanted = postings.select("node").distinct()
-    maps = firsts.select("node", "n", "bitmap").join(wanted, "node")
+    maps = firsts.select("node", "n", "bitmap").join(postings.select("node").distinct(), "node")
     postings = common.materialize(in_blocks(postings).join(maps, ["node", "n"]), "postings")
-    sets = common.materialize(whole_sets(docs, wanted, size).join(wanted.select(F.col("node").alias("doc_id")), "doc_id"), "sets")
-    pairs = propose(postings.withColumn("label", F.lit(0).cast("long")), percent, rest=False)
+    pairs = common.materialize(propose(postings.withColumn("label", F.lit(0).cast("long")), percent, rest=False), "pairs")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = common.materialize(whole_sets(docs, common.materialize(wanted, "wanted"), size), "sets")
     first = components(verify(pairs, sets, percent).union(same))
     labels = first.select(F.col("a").alias("node"), F.col("b").alias("to"))
     labelled = postings.join(labels, "node", "left").withColumn("label", F.coalesce("to", "node")).drop("to")
@@ -381,12 +356,5 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
 
 
-_SKETCH_WORDS = WordHashes()
-
-
-def sketch_words() -> WordHashes:
-    return _SKETCH_WORDS
-
-
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link(common.table(spark, sf_dir, "documents"))
