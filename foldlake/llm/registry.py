@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foldlake.llm import chat, decontaminate, html_text, jaccard_join, lm_scoring, quality, token_records, warc
+from foldlake.llm import chat, decontaminate, html_text, jaccard_join, lm_scoring, mixing_rates, quality, token_records, warc
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_chat_format": chat.op7_chat_format,
     "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_decontamination": decontaminate.op9_decontamination,
+    "op10_mixing_rates": mixing_rates.op10_mixing_rates,
 }
 
 ORACLE_SQL: dict[str, str] = {
