@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foldlake.llm import common
@@ -356,5 +356,21 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
 
 
+def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs with the smallest doc_id of each group of linked documents, with their columns unchanged.
+
+    Of rows with the same doc_id the one with the smallest text stays. Rows without doc_id and rows without words are no
+    copies of anything and stay.
+    """
+    found = common.materialize(link(docs, size, percent).where("doc_id IS NOT NULL"), "links")
+    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct()
+    out = docs.join(copies, F.col("doc_id").cast("long") == F.col("_copy"), "left_anti").select(*docs.columns)
+    if found.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
+        several = out.where("doc_id IS NOT NULL").select("*", first.alias("_first")).where("_first = 1").select(*docs.columns)
+        out = several.unionByName(out.where("doc_id IS NULL"))
+    return out
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link(common.table(spark, sf_dir, "documents"))
