@@ -9,7 +9,7 @@ driver sees only sums over domains; the rates stay an expression of the posterio
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, Normalizer, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ DOMAINS = ("good", "poor", "toxic")
 WEIGHTS = {"good": 0.94, "poor": 0.03, "toxic": 0.03}
 #: The classifier is fitted to at most so many labelled documents, chosen by the md5 of their id.
 LABELLED_SAMPLE = 8192
-FEATURES = 1 << 14
+FEATURES, LEAST_TEXTS = 512, 5
 ITERATIONS, TOLERANCE, WRITE_EVERY = 60, 1e-7, 6
 #: In sampling without repetition, the main domain's target is set so far above its tokens that its rates reach 1.
 SLACK = 1.02
@@ -33,16 +33,36 @@ def domain() -> Column:
     return F.when(F.col("toxic") == 1, 2).when(F.col("quality") == 1, 0).when(F.col("quality") == 0, 1)
 
 
-def featurize(docs: DataFrame) -> DataFrame:
-    """docs (with text) and n_tokens, features: hashed relative word counts, of length 1, and the share of marks and capitals."""
-    words = F.array_remove(F.split(common.text_or_empty(), _BREAK), "")
-    marks = F.char_length(common.text_or_empty()) - F.char_length(F.regexp_replace(common.text_or_empty(), "[A-Z#*$%&|<>!]+", ""))
-    share = marks / F.greatest(F.char_length(common.text_or_empty()), F.lit(1))
-    df = docs.withColumn("_words", words).withColumn("_share", share).drop("text")
-    df = HashingTF(numFeatures=FEATURES, inputCol="_words", outputCol="_tf").transform(df)
-    df = Normalizer(p=2.0, inputCol="_tf", outputCol="_unit").transform(df)
-    df = VectorAssembler(inputCols=["_unit", "_share"], outputCol="features").transform(df)
-    return df.withColumn("n_tokens", F.size("_words").cast("long")).drop("_words", "_share", "_tf", "_unit")
+def telling_words(sample: DataFrame, most: int = FEATURES) -> list[str]:
+    """The words of the labelled sample (words, label) whose presence says most about the domain (by the G statistic),
+    of those in LEAST_TEXTS texts or more; at most FEATURES."""
+    k = range(len(DOMAINS))
+    texts = dict(sample.groupBy(F.col("label").cast("int")).count().collect())
+    each = sample.select(F.col("label").cast("int").alias("label"), F.explode(F.array_distinct("words")).alias("word"))
+    counts = each.groupBy("word").agg(*[F.sum((F.col("label") == i).cast("long")).alias(f"n{i}") for i in k])
+    total, found, gain = sum(texts.values()), F.col("n0") + F.col("n1") + F.col("n2"), F.lit(0.0)
+    for i in k:
+        if texts.get(i):
+            share = texts[i] / total
+            for seen, wanted in ((F.col(f"n{i}"), found * share), (F.lit(texts[i]) - F.col(f"n{i}"), (F.lit(total) - found) * share)):
+                gain = gain + F.when(seen > 0, seen * F.log(seen / wanted)).otherwise(0.0)
+    rows = counts.where(found >= LEAST_TEXTS).select("word", gain.alias("gain")).orderBy(F.desc("gain"), "word").limit(most)
+    return [r.word for r in rows.collect()]
+
+
+def with_words(docs: DataFrame) -> DataFrame:
+    """docs with words, n_tokens and share (of capitals and marks in the text) instead of text."""
+    text = common.text_or_empty()
+    marks = F.char_length(text) - F.char_length(F.regexp_replace(text, "[A-Z#*$%&|<>!]+", ""))
+    docs = docs.withColumn("words", F.array_remove(F.split(text, _BREAK), "")).withColumn("n_tokens", F.size("words").cast("long"))
+    return docs.withColumn("share", marks / F.greatest(F.char_length(text), F.lit(1))).drop("text")
+
+
+def featurize(rows: DataFrame, words: list[str]) -> DataFrame:
+    """rows with features (presence of words, and share) instead of words and share."""
+    found = CountVectorizerModel.from_vocabulary(words or ["\n"], inputCol="words", outputCol="present").setBinary(True)
+    df = VectorAssembler(inputCols=["present", "share"], outputCol="features").transform(found.transform(rows))
+    return df.drop("words", "share", "present")
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, bound: int = LABELLED_SAMPLE) -> DataFrame:
@@ -58,16 +78,17 @@ def posteriors(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     If the sample has one domain only, it has all the mass; if it is empty, the mass is equal. Null texts are empty.
     """
-    sample = common.materialize(featurize(labelled_sample(docs, labels)).select("features", "label"), "labelled")
+    sample = common.materialize(with_words(labelled_sample(docs, labels)), "labelled")
     found = [int(r.label) for r in sample.select("label").distinct().collect()]
     rows = docs.select("doc_id", "text")
     if len(found) < 2:
         mass = [1.0 / len(DOMAINS) if not found else float(k in found) for k in range(len(DOMAINS))]
         words = F.size(F.array_remove(F.split(common.text_or_empty(), _BREAK), "")).cast("long")
         return rows.select("doc_id", words.alias("n_tokens"), F.array(*map(F.lit, mass)).alias("p"))
-    learner = LogisticRegression(maxIter=60, regParam=1e-4, family="multinomial", standardization=False)
-    model = learner.setRawPredictionCol("").setPredictionCol("").setProbabilityCol("_p").fit(sample)
-    scored = model.transform(featurize(rows)).select("doc_id", "n_tokens", vector_to_array("_p").alias("p"))
+    words = telling_words(sample)
+    learner = LogisticRegression(maxIter=60, regParam=1e-3, family="multinomial", standardization=False)
+    model = learner.setRawPredictionCol("").setPredictionCol("").setProbabilityCol("_p").fit(featurize(sample, words))
+    scored = model.transform(featurize(with_words(rows), words)).select("doc_id", "n_tokens", vector_to_array("_p").alias("p"))
     lacking = F.lit(0.0)
     return scored.withColumn("p", F.transform(F.sequence(F.lit(0), F.lit(len(DOMAINS) - 1)), lambda k: F.coalesce(F.get("p", k), lacking)))
 
