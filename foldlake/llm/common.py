@@ -52,6 +52,11 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def small_batches(spark: SparkSession, most: str = "8m") -> None:
+    """Keeps Arrow batches small, as executors hold one or two for each task outside the heap."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
