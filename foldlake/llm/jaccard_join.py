@@ -12,8 +12,8 @@ Jaccard similarity t or more share t times the larger size at least, so
 The boundary is the size at which enumerating costs least in all, given the sizes of the sets and the mean length of the
 inverted lists. Lists longer than BLOCK are cut into blocks that meet in pairs.
 
-Within a list a set proposes first its one most similar earlier member; what these links leave apart proposes all pairs
-that the size and bitmap bounds allow. So groups of copies of any size take a number of pairs near their size, and still
+Within a list a set proposes first those that look most similar before and after it; what these links leave apart
+proposes all pairs that the size and bitmap bounds allow. So groups of copies of any size take a number of pairs near their size, and still
 no link between components is lost. Proposed pairs are verified on the whole sets.
 """
 
@@ -41,6 +41,7 @@ SKETCH_BITS = 22
 SMALL_MOST = 24
 BLOCK = 512
 BITMAP_BYTES = 128
+WIDEST_BITS = 1 << 17
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 
@@ -102,13 +103,21 @@ def levels(counts: np.ndarray) -> np.ndarray:
 
 
 def bitmap(values: np.ndarray) -> bytes:
-    """For each of the bits whether an odd number of values falls on it: two sets differ in as many values at least."""
-    bits = np.bincount((values >> np.uint64(40)).astype(np.int64) % (8 * BITMAP_BYTES), minlength=8 * BITMAP_BYTES) & 1
-    return np.packbits(bits.astype(np.uint8)).tobytes()
+    """For each of the bits whether an odd number of values falls on it: two sets differ in as many values at least.
+    There are about as many bits as values, and BITMAP_BYTES at least."""
+    bits = max(8 * BITMAP_BYTES, min(WIDEST_BITS, 1 << max(0, len(values) - 1).bit_length()))
+    odd = np.bincount((values >> np.uint64(40)).astype(np.int64) & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def fold(bits: np.ndarray, size: int) -> np.ndarray:
+    """A bitmap (as bytes) of the same values with fewer bits."""
+    return bits if len(bits) == size else np.bitwise_xor.reduce(bits.reshape(-1, size), axis=0)
 
 
 def describe(docs: DataFrame, order: np.ndarray, size: int, percent: int) -> DataFrame:
-    """doc_id, n, fp (128-bit hash of the set), prefix, bitmap, small (the set, if it has SMALL_MOST elements at most)."""
+    """doc_id, n, fp (128-bit hash of the set), prefix, bitmap (of BITMAP_BYTES), wide (the whole one), small (the set, if
+    it has SMALL_MOST elements at most)."""
     spark = docs.sparkSession
     shared, mask = spark.sparkContext.broadcast(order), np.uint64(len(order) - 1)
 
@@ -123,12 +132,14 @@ def describe(docs: DataFrame, order: np.ndarray, size: int, percent: int) -> Dat
                 first = values[np.lexsort((values, rank[(values & mask).astype(np.int64)]))[:take]]
                 signed = values.view(np.int64)
                 small = signed if n <= SMALL_MOST else None
-                out.append((n, xxhash.xxh128_digest(values.tobytes()), first.view(np.int64), bitmap(values), small))
-            kinds = (pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()))
+                wide = bitmap(values)
+                near = fold(np.frombuffer(wide, np.uint8), BITMAP_BYTES).tobytes()
+                out.append((n, xxhash.xxh128_digest(values.tobytes()), first.view(np.int64), near, wide, small))
+            kinds = (pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.list_(pa.int64()))
             columns = [pa.array(list(c), t) for c, t in zip(zip(*out), kinds)] if out else [pa.array([], t) for t in kinds]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], names=["doc_id", "n", "fp", "prefix", "bitmap", "small"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], names=["doc_id", "n", "fp", "prefix", "bitmap", "wide", "small"])
 
-    return docs.mapInArrow(describe_batches, "doc_id long, n int, fp binary, prefix array<long>, bitmap binary, small array<long>")
+    return docs.mapInArrow(describe_batches, "doc_id long, n int, fp binary, prefix array<long>, bitmap binary, wide binary, small array<long>")
 
 
 def choose_boundary(sizes: dict[int, int], mean_list: float, percent: int) -> int:
@@ -278,6 +289,24 @@ def _pair_batch(found: set[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
+def sieve(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the sizes and the whole bitmaps allow; of a node's sets under one id, any may allow it."""
+    sides = [nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("wide").alias(f"w{x}")) for x in "ab"]
+    both = pairs.join(sides[0], "a").join(sides[1], "b")
+
+    def allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for at, (na, nb, wa, wb) in enumerate(zip(*(batch[c].to_pylist() for c in ("na", "nb", "wa", "wb")), strict=True)):
+                size = min(len(wa), len(wb))
+                one, two = (fold(np.frombuffer(w, np.uint8), size) for w in (wa, wb))
+                if int(np.bitwise_count(one ^ two).sum()) <= (100 - percent) * (na + nb) // (100 + percent):
+                    keep.append(at)
+            yield pa.RecordBatch.from_arrays([batch[c].take(pa.array(keep, pa.int64())) for c in "ab"], names=["a", "b"])
+
+    return both.mapInArrow(allowed, "a long, b long").distinct()
+
+
 def whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """doc_id, values for the documents whose id is in wanted (node). Ids pass a bitmap first, so that texts need not be
     shuffled to find them."""
@@ -296,6 +325,11 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return found.join(wanted.select(F.col("node").alias("doc_id")), "doc_id")
 
 
+def ends(pairs: DataFrame) -> DataFrame:
+    """node: the nodes of pairs, each once, in a written table."""
+    return common.materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "ends")
+
+
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole sets reach the threshold."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("values").alias("va"))
@@ -335,22 +369,27 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
     same = assigned.join(ids, "doc_id").where("node <> x").select(F.col("node").alias("a"), F.col("x").alias("b"))
 
     firsts = linked.dropDuplicates(["doc_id", "fp"]).join(nodes.select("fp", F.col("node").alias("doc_id")), ["fp", "doc_id"])
-    firsts = firsts.select(F.col("doc_id").alias("node"), "n", "prefix", "bitmap", "small")
+    firsts = firsts.select(F.col("doc_id").alias("node"), "n", "prefix", "bitmap", "wide", "small")
     firsts = common.materialize(firsts, "firsts")
 
     postings = common.materialize(lists(firsts, percent), "postings")
     maps = firsts.select("node", "n", "bitmap").join(postings.select("node").distinct(), "node")
     postings = common.materialize(in_blocks(postings).join(maps, ["node", "n"]), "postings")
-    pairs = common.materialize(propose(postings.withColumn("label", F.lit(0).cast("long")), percent, rest=False), "pairs")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = common.materialize(whole_sets(docs, common.materialize(wanted, "wanted"), size), "sets")
+    pairs = propose(postings.withColumn("label", F.lit(0).cast("long")), percent, rest=False)
+    pairs = common.materialize(sieve(pairs, firsts, percent), "pairs")
+    sets = common.materialize(whole_sets(docs, ends(pairs), size), "sets")
     first = components(verify(pairs, sets, percent).union(same))
+
     labels = first.select(F.col("a").alias("node"), F.col("b").alias("to"))
     labelled = postings.join(labels, "node", "left").withColumn("label", F.coalesce("to", "node")).drop("to")
     apart = labelled.groupBy("key", "i", "j").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
     more = propose(labelled.join(apart.select("key", "i", "j"), ["key", "i", "j"]), percent, rest=True)
+    more = common.materialize(sieve(more, firsts, percent), "pairs")
+    lacking = ends(more).join(sets.select(F.col("doc_id").alias("node")), "node", "left_anti")
+    lacking = common.materialize(lacking, "lacking")
+    if lacking.limit(1).count():
+        sets = sets.unionByName(common.materialize(whole_sets(docs, lacking, size), "sets"))
     found = components(first.union(verify(more, sets, percent)))
-
     to = found.select(F.col("a").alias("node"), F.col("b").alias("component"))
     out = assigned.join(to, "node", "left").select("doc_id", "n", F.coalesce("component", "node", "doc_id").alias("component_id"))
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
