@@ -70,7 +70,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, bound: int = LABELLED_SA
     known = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     known = known.select(F.col("doc_id").alias("l_id"), domain().cast("double").alias("label")).where("label IS NOT NULL")
     known = known.orderBy(F.md5(F.col("l_id").cast("string")), "l_id").limit(bound)
-    return docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("l_id")).select("text", "label")
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("l_id"))
+    return rows.select("text", "label", F.md5(common.text_or_empty()).alias("place"))
 
 
 def posteriors(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -86,8 +87,11 @@ def posteriors(docs: DataFrame, labels: DataFrame) -> DataFrame:
         words = F.size(F.array_remove(F.split(common.text_or_empty(), _BREAK), "")).cast("long")
         return rows.select("doc_id", words.alias("n_tokens"), F.array(*map(F.lit, mass)).alias("p"))
     words = telling_words(sample)
+    # In one order and partition, as sums of another order would lead to another model.
+    in_order = common.materialize(featurize(sample, words).select("place", "features", "label"), "labelled-features")
+    in_order = in_order.coalesce(1).sortWithinPartitions("place", "label").select("features", "label")
     learner = LogisticRegression(maxIter=60, regParam=1e-3, family="multinomial", standardization=False)
-    model = learner.setRawPredictionCol("").setPredictionCol("").setProbabilityCol("_p").fit(featurize(sample, words))
+    model = learner.setRawPredictionCol("").setPredictionCol("").setProbabilityCol("_p").fit(in_order)
     scored = model.transform(featurize(with_words(rows), words)).select("doc_id", "n_tokens", vector_to_array("_p").alias("p"))
     lacking = F.lit(0.0)
     return scored.withColumn("p", F.transform(F.sequence(F.lit(0), F.lit(len(DOMAINS) - 1)), lambda k: F.coalesce(F.get("p", k), lacking)))
