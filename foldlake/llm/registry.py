@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foldlake.llm import chat, decontaminate, html_text, jaccard_join, lm_scoring, mixing_rates, quality, secrets, token_records, warc
+from foldlake.llm import chat, decontaminate, html_text, jaccard_join, lm_scoring, mixing_rates, oracles, quality, secrets, token_records, warc
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
@@ -17,6 +17,4 @@ QUERIES = {
     "op10_mixing_rates": mixing_rates.op10_mixing_rates,
 }
 
-ORACLE_SQL: dict[str, str] = {
-    "op4_quality_rules": quality.OP4_SQL,
-}
+ORACLE_SQL: dict[str, str] = oracles.ORACLE_SQL
