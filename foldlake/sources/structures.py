@@ -210,3 +210,55 @@ def main_atoms(atoms: DataFrame) -> DataFrame:
     key = ("structure_id", "model_num", "auth_asym_id", "auth_seq_id", "ins_code", "label_comp_id", "atom_name")
     rank = F.row_number().over(Window.partitionBy(*key).orderBy(F.col("occupancy").desc_nulls_last(), "atom_serial"))
     return atoms.where("error IS NULL").withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+
+
+def _cell(value: str | None) -> str:
+    """A value as an mmCIF token."""
+    if value is None:
+        return "?"
+    if "\n" in value or ("'" in value and '"' in value):
+        return f"\n;{value}\n;\n"
+    plain = value and not re.search(r"[\s'\"]", value) and value[0] not in "_#$;[]" and not re.match(r"(data_|loop_|save_|stop_|global_|[?.]$)", value, re.I)
+    quote = '"' if "'" in value else "'"
+    return value if plain else f"{quote}{value}{quote}"
+
+
+def cif_text(name: str, tables: dict[str, list[dict[str, str | None]]]) -> str:
+    """An mmCIF text of one block with the categories in order, each as a loop."""
+    out = [f"data_{name}"]
+    for category, rows in tables.items():
+        if rows:
+            fields = list(rows[0])
+            out += ["#", "loop_", *(f"{category}.{field}" for field in fields)]
+            out += [" ".join(_cell(row.get(field)) for field in fields) for row in rows]
+    return "\n".join(out) + "\n"
+
+
+def cif_texts(found: DataFrame) -> DataFrame:
+    """structure_id, text of mmCIF files (path, content) with the atoms of some chains, moved; other categories stay.
+
+    Columns chains (author chains to keep, null or empty for all), rotation (nine numbers by rows) and shift (null: stay
+    in place) say what to do with each file. Water is dropped. A file without atoms gives a text without them.
+    """
+
+    def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for path, content, chains, turn, shift in batch[["path", "content", "chains", "rotation", "shift"]].itertuples(index=False):
+                tables = cif_tables(bytes(content).decode("utf-8", "replace"))
+                rows, keep = [], set() if chains is None else set(chains)
+                for row in tables.get("_atom_site", ()):
+                    if row.get("label_comp_id") == "HOH" or keep and (row.get("auth_asym_id") or row.get("label_asym_id")) not in keep:
+                        continue
+                    if turn is not None and shift is not None:
+                        at = [_number(row.get(f"Cartn_{c}")) or 0.0 for c in "xyz"]
+                        moved = [sum(turn[3 * i + j] * at[j] for j in range(3)) + shift[i] for i in range(3)]
+                        row = row | {f"Cartn_{c}": f"{v:.3f}" for c, v in zip("xyz", moved, strict=True)}
+                    rows.append(row)
+                if "_atom_site" in tables:
+                    tables["_atom_site"] = rows
+                name = _structure_id(path)
+                out.append((name, cif_text(name, tables)))
+            yield pd.DataFrame(out, columns=["structure_id", "text"])
+
+    return found.select("path", "content", "chains", "rotation", "shift").mapInPandas(convert, "structure_id string, text string")

@@ -147,3 +147,20 @@ def test_payloads(spark):
     assert [(r.pdb, r.entity) for r in hits.collect()] == [("1ABC", "2")]
     strands = payloads.entity_chains(spark.createDataFrame([("1abc", '{"entity_poly":{"pdbx_strand_id":"A, B,"}}')], "pdb string, payload string"))
     assert strands.select("chains").first()[0] == ["A", "B"]
+
+
+def test_cif_texts(spark):
+    turn, shift = [0.0, -1.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.0, 1.0], [1.0, 0.0, 0.0]
+    rows = [("file:/x/a.cif", bytearray(CIF.encode()), ["H"], turn, shift), ("file:/x/b.cif", bytearray(CIF.encode()), ["Z"], None, None)]
+    df = spark.createDataFrame(rows, "path string, content binary, chains array<string>, rotation array<double>, shift array<double>")
+    got = {r.structure_id: structures.cif_tables(r.text) for r in structures.cif_texts(df).collect()}
+    before = structures.cif_tables(CIF)
+    assert [(r["Cartn_x"], r["Cartn_y"]) for r in got["a"]["_atom_site"]] == [("1.000", "0.000"), ("1.000", "9.000"), ("1.000", "1.000"), ("1.000", "2.000"), ("1.000", "0.000")]
+    assert got["a"]["_entity_poly"] == before["_entity_poly"] and got["a"]["_struct_conn"] == before["_struct_conn"]
+    assert "_atom_site" not in got["b"] and got["b"]["_refine"] == before["_refine"]
+
+
+def test_cif_cells_round_trip():
+    values = ["a", "a b", "it's", 'say "x"', "both ' and \" here", "two\nlines", None, "_tag", "?", "loop_", "#x", "data_1", ""]
+    text = structures.cif_text("x", {"_t": [{"v": v, "w": str(i)} for i, v in enumerate(values)]})
+    assert [r["v"] for r in structures.cif_tables(text)["_t"]] == values
