@@ -18,7 +18,7 @@ from foldlake.llm import common
 
 DOMAINS = ("good", "poor", "toxic")
 #: Shares of the mixture's expected tokens.
-WEIGHTS = {"good": 0.94, "poor": 0.03, "toxic": 0.03}
+WEIGHTS = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
 #: The classifier is fitted to at most so many labelled documents, chosen by the md5 of their id.
 LABELLED_SAMPLE = 8192
 FEATURES, LEAST_TEXTS = 512, 5
