@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldlake.functions.alignment import lcs_identity
-from foldlake.functions.text import first_chain, first_spaced, number_or_null, or_default, sanitize
+from foldlake.functions.text import chain_list, first_chain, first_spaced, number_or_null, or_default, sanitize
 from foldlake.operators import catalogue, lookup, summary
 
 HUMAN, MOUSE = 9606, 10090
@@ -84,6 +84,7 @@ def data_points(df: DataFrame, chain_map: DataFrame, proteins: DataFrame, struct
         F.col("pdb").alias("pdb_id_human"),
         "pdb_id_mouse",
         F.col("chain").alias("human_antigen_chain"),
+        chain_list("antigen_chain").alias("human_antigen_chains"),
         "mouse_antigen_chain",
         F.col("Hchain").alias("heavy_chain"),
         F.col("Lchain").alias("light_chain"),
@@ -101,10 +102,39 @@ def data_points(df: DataFrame, chain_map: DataFrame, proteins: DataFrame, struct
 
 
 def pairs(points: DataFrame) -> DataFrame:
-    """The pairs table of the successes, with names made safe for files."""
-    ok = points.where("status = 'success'")
-    name = F.concat_ws("_", sanitize("gene_name", "Human"), sanitize("mouse_gene_name", "Mouse"))
-    return ok.withColumn("pair_name", name).withColumn("pair_dir", F.concat(F.lit("HumanMouse/"), name))
+    """The pairs table, a row for each success: names made safe for files, the parts of each side, the measures. Measures
+    that points lacks (alignment_rmsd, epitope_*) are null."""
+    kinds = {"alignment_rmsd": "double", "epitope_identity": "double", "epitope_rmsd": "double", "epitope_consistent": "boolean"}
+    for name, kind in kinds.items():
+        if name not in points.columns:
+            points = points.withColumn(name, F.lit(None).cast(kind))
+    pair = F.concat_ws("_", sanitize("gene_name", "Human"), sanitize("mouse_gene_name", "Mouse"))
+    folder = F.concat(F.lit("HumanMouse/"), F.col("pair_name"))
+
+    def file(name: str):
+        return F.concat(folder, F.lit("/"), F.col("pair_name"), F.lit(f"_{name}.cif"))
+
+    columns = {
+        "pair_dir": folder,
+        "human_antigen_pdb": F.col("pdb_id_human"),
+        "human_antigen_chains": F.array_join("human_antigen_chains", ","),
+        "human_antigen_gene": F.col("gene_name"),
+        "human_antigen_uniprot": F.col("human_uniprot"),
+        "human_antigen_name": F.col("protein_name"),
+        "human_antigen_file": file("human_ag"),
+        "mouse_antigen_pdb": F.col("pdb_id_mouse"),
+        "mouse_antigen_chain": F.col("mouse_antigen_chain"),
+        "mouse_antigen_gene": F.col("mouse_gene_name"),
+        "mouse_antigen_uniprot": F.col("mouse_uniprot"),
+        "mouse_antigen_source": F.col("mouse_structure_source"),
+        "mouse_antigen_file": file("mouse_ag"),
+        "antibody_pdb": F.col("pdb_id_human"),
+        "antibody_heavy_chain": F.col("heavy_chain"),
+        "antibody_light_chain": F.col("light_chain"),
+        "antibody_file": file("antibody"),
+    }
+    ok = points.where("status = 'success'").withColumn("pair_name", pair)
+    return ok.select("pair_name", *[c.alias(n) for n, c in columns.items()], "sequence_identity", *kinds)
 
 
 def library(points: DataFrame) -> DataFrame:

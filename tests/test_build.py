@@ -1,5 +1,7 @@
 """The dataset build and the stream on a small catalogue."""
 
+from pyspark.sql import functions as F
+
 from foldlake.plans import build
 from foldlake.sources.catalogue import numbered, read_catalogue
 from foldlake.streaming import catalogue as stream
@@ -45,7 +47,16 @@ def test_build(spark, tmp_path):
     assert (b.status, b.mouse_structure_source, b.pdb_id_mouse, b.mouse_antigen_chain, b.sequence_identity) == ("success", "RCSB", "9ZZZ", "A", 60.0)
     assert (d.status, d.error_message) == ("failed", "Sequence identity 14.3% below threshold")
     assert e.error_message == "Could not map antigen chain to UniProt"
-    assert {r.pair_name for r in build.pairs(build.data_points(df, chains, proteins, structures, entity, build.Options())).collect()} == {"A1_A1", "B1_B1"}
+    pairs = build.pairs(build.data_points(df, chains, proteins, structures, entity, build.Options()))
+    assert len(pairs.columns) == 23
+    assert {(r.pair_name, r.human_antigen_chains, r.mouse_antigen_file) for r in pairs.collect()} == {
+        ("A1_A1", "A,B", "HumanMouse/A1_A1/A1_A1_mouse_ag.cif"),
+        ("B1_B1", "C", "HumanMouse/B1_B1/B1_B1_mouse_ag.cif"),
+    }
+    dry = build.data_points(df, chains, proteins, structures, entity, build.Options(dry_run=True))
+    assert {r.status for r in dry.collect()} == {"failed", "dry_run"}
+    best = build.library(dry.withColumn("status", F.lit("success")).withColumn("alignment_rmsd", F.lit(1.0)))
+    assert best.count() == len({r.mouse_gene_name for r in best.collect()})
 
 
 def test_stream(spark, tmp_path):
