@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import lru_cache
 from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,16 +20,19 @@ _CHECKPOINT = "spark.checkpoint.dir"
 WORD_BREAKS = " \t\n\x0b\x0c\r"
 
 
+@lru_cache(1)
+def _own_folder() -> str:
+    at = tempfile.mkdtemp(prefix="foldlake-")
+    atexit.register(shutil.rmtree, at, True)
+    return "file://" + at
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share, from spark.checkpoint.dir.
 
-    Only where the session leaves it unset (a plain local session) a temporary folder is made and set.
+    Only where the session leaves it unset (a plain local session) a temporary folder is made, one for each process.
     """
-    at = spark.conf.get(_CHECKPOINT, None)
-    if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="foldlake-")
-        atexit.register(shutil.rmtree, at.removeprefix("file://"), True)
-        spark.conf.set(_CHECKPOINT, at)
+    at = spark.conf.get(_CHECKPOINT, None) or _own_folder()
     return at.rstrip("/") if urlsplit(at).scheme else "file://" + at.rstrip("/")
 
 
