@@ -357,7 +357,7 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
         for text in batch["text"].to_pylist():
             yield shingles(known.of(text), size)
 
-    order = levels(count_sketch(docs, hashes, SKETCH_BITS))
+    order = count_sketch(docs, hashes, SKETCH_BITS, levels)
     described = common.materialize(describe(docs, order, size, percent), "described")
     linked = described.where("n > 0 AND doc_id IS NOT NULL")
     nodes = linked.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))

@@ -14,10 +14,13 @@ SKETCH_BLOCK = 4096
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def count_sketch(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int) -> np.ndarray:
-    """How often each value of `hash mod 2**bits` occurs, counted over all rows; at most 255 for each task.
+def count_sketch(
+    rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int, finish: Callable[[np.ndarray], np.ndarray]
+) -> np.ndarray:
+    """finish() of how often each value of `hash mod 2**bits` occurs, counted over all rows; at most 255 for each task.
 
-    Tasks send their counters in blocks, which are added up in a stream, so no task holds more than its counters.
+    Tasks send their counters in blocks, which are added up in a stream, so no task holds more than its counters. finish
+    makes bytes of the sums of a block, and only these come to the driver.
     """
     blocks = max(1, (1 << bits) // SKETCH_BLOCK)
 
@@ -37,14 +40,13 @@ def count_sketch(rows: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np
                 more = np.frombuffer(counts, np.uint8)
                 sums[block] = sums[block] + more if block in sums else more.astype(np.uint64)
         if sums:
-            yield pa.RecordBatch.from_pydict({"block": pa.array(sums, pa.int32()), "counts": [v.tobytes() for v in sums.values()]})
+            yield pa.RecordBatch.from_pydict({"block": pa.array(sums, pa.int32()), "counts": [finish(v).tobytes() for v in sums.values()]})
 
     spark = rows.sparkSession
     found = rows.mapInArrow(count, "block int, counts binary").repartition(common.partitions(spark), "block")
-    total = np.zeros((blocks, (1 << bits) // blocks), np.uint64)
-    for row in found.mapInArrow(add, "block int, counts binary").collect():
-        total[row.block] = np.frombuffer(row.counts, np.uint64)
-    return total.reshape(-1)
+    got = {row.block: np.frombuffer(row.counts, np.uint8) for row in found.mapInArrow(add, "block int, counts binary").collect()}
+    none = finish(np.zeros((1 << bits) // blocks, np.uint64))
+    return np.concatenate([got.get(block, none) for block in range(blocks)])
 
 
 def _mixed(ids: np.ndarray) -> np.ndarray:
@@ -61,7 +63,7 @@ class Marks:
         def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
             yield _mixed(batch[0].to_numpy(zero_copy_only=False))
 
-        marked = np.packbits(count_sketch(rows.select(column), hashes, bits) > 0)
+        marked = count_sketch(rows.select(column), hashes, bits, lambda counts: np.packbits(counts > 0))
         self.mask, self.shared = np.uint64((1 << bits) - 1), rows.sparkSession.sparkContext.broadcast(marked)
 
     def of(self, values: np.ndarray) -> np.ndarray:
