@@ -12,13 +12,19 @@ number of ids, so records can be read singly and in any order (`read_at`, `shuff
 
 from __future__ import annotations
 
+import io
+import os
 import random
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from uuid import uuid4
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,7 +34,18 @@ from foldlake.llm import common
 
 MAGIC = b"TOKREC1\n"
 MASK_DELTA = 0xA282EAD8
-CACHE_PIECES = 400_000
+GENERATION = 200_000
+#: Characters of text that are encoded at a time; their pieces take about ten times as many bytes.
+CHUNK = 2_000_000
+#: Parts of a text, of CHUNK characters and up to the next single space between two characters that are no white space.
+_PARTS = re.compile(rf".{{{CHUNK}}}.*?\S(?= \S)|.+", re.S)
+#: Where pieces can't simply be cut at each space: white space beside a space, or a space at an end.
+_UNSAFE_RE2 = (
+    r"[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|  |\n | \n|^ | $|^$"
+)
+_UNSAFE = re.compile(r"\s \s*| \s|^ | $|^$")
+#: Marks that may follow a word; fixed values.
+MARKS = ".,;:!?|%&$*#)]}\""
 MANIFEST = T.StructType(
     [
         T.StructField("shard", T.IntegerType()),
@@ -67,21 +84,32 @@ class PieceEncoder:
     """Encodes texts with a byte-level BPE file of the tokenizers library, remembering pieces seen before.
 
     The pre-tokenizer of these files starts a new token at a single space between two characters that are no white
-    space, so a text can be cut there and its pieces encoded on their own. Texts are cut only there. The memory is
-    emptied when it holds CACHE_PIECES pieces.
+    space, so a text can be cut there and its pieces encoded on their own; it also separates a word from the marks
+    after it. Texts are cut only there. Of the pieces, those used since the last two times that GENERATION new ones
+    were met are remembered.
     """
 
-    def __init__(self, path: str, width: int | None = None):
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.width = width or (2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4)
-        self.code = {2: "H", 4: "I"}[self.width]
+        self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def pack(self, ids: list[int]) -> bytes:
+        return np.array(ids, f"<u{self.width}").tobytes()
 
-    def pieces(self, text: str) -> list[str]:
+    @staticmethod
+    def pieces(text: str) -> list[str]:
+        """The pieces of a text, as keys: a piece that begins with one space without that space, another one after a space."""
         parts = text.split(" ")
+        if not _UNSAFE.search(text):
+            parts[0] = " " + parts[0]
+            return parts
         out = [parts[0]]
         for part in parts[1:]:
             before = out[-1]
@@ -89,18 +117,117 @@ class PieceEncoder:
                 out.append(" " + part)
             else:
                 out[-1] = f"{before} {part}"
-        return out
+        return [x[1:] if x[:1] == " " and x[1:2] != " " and x != " " else " " + x for x in out]
+
+    def learn(self, stems: list[str], others: list[str]) -> None:
+        """Puts the ids of keys into known. Stems, words of letters only, go to the library joined by newlines, which is
+        one call for many of them."""
+        known, wide = self.known, self.width
+        if len(self.newline) != 1:
+            stems, others = [], stems + others
+        for at in range(0, len(stems), 512):
+            some = stems[at : at + 512]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + "\n ".join(some)], add_special_tokens=False)[0].ids, f"<u{wide}")
+            cuts = (np.flatnonzero(ids == self.newline[0]) * wide).tolist()
+            data, start = ids.tobytes(), 0
+            cuts.append(len(data))
+            for key, cut in zip(some, cuts, strict=True):
+                known[key] = data[start:cut]
+                start = cut + wide
+        for at in range(0, len(others), 512):
+            some = others[at : at + 512]
+            texts = [key[1:] if key[:1] == " " else " " + key for key in some]
+            for key, got in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+                known[key] = self.pack(got.ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text. Texts of several CHUNKs are encoded part by part."""
+        if len(texts) == 1 and len(texts[0]) > 2 * CHUNK:
+            return [b"".join(self._encode([part])[0] for part in _PARTS.findall(texts[0]))]
+        return self._encode(texts)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces(text) for text in texts]
-        if len(self.known) > CACHE_PIECES:
-            self.known.clear()
-        new = list({piece for pieces in cut for piece in pieces if piece not in self.known})
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            for piece, got in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                self.known[piece] = struct.pack(f"<{len(got.ids)}{self.code}", *got.ids)
-        return [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]
+        self.meet(set().union(*cut))
+        return [b"".join(map(self.known.__getitem__, keys)) for keys in cut]
+
+    def meet(self, keys: set[str]) -> None:
+        """Sees to it that the ids of all keys are in known."""
+        if len(self.known) > GENERATION:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        new = keys.difference(known)
+        again = new.intersection(older)
+        for key in again:
+            known[key] = older[key]
+        new -= again
+        stems, others, joined = set(), [], []
+        for key in new:
+            stem = key.rstrip(MARKS)
+            if not stem.isalpha():
+                others.append(key)
+            else:
+                stems.add(stem)
+                if len(stem) < len(key):
+                    joined.append((key, stem, " " + key[len(stem) :]))
+        stems.difference_update(known)
+        marks = {mark for _, _, mark in joined}.difference(known)
+        self.learn(list(stems), [*others, *marks])
+        for key, stem, mark in joined:
+            known[key] = known[stem] + known[mark]
+
+    def encode_column(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text of an Arrow column. Texts that can be cut at each space are cut, told apart and put
+        together as columns, so that Python sees each different piece of them once."""
+        unsafe = pc.match_substring_regex(texts, _UNSAFE_RE2).to_numpy(zero_copy_only=False)
+        out: list[bytes] = [b""] * len(texts)
+        where = np.flatnonzero(unsafe)
+        for at in where.tolist():
+            out[at] = self.encode([texts[at].as_py()])[0]
+        where = np.flatnonzero(~unsafe)
+        if not len(where):
+            return out
+        parts = pc.split_pattern(texts.take(pa.array(where)), " ")
+        offsets = parts.offsets.to_numpy()
+        offsets = offsets - offsets[0]
+        coded = parts.flatten().dictionary_encode()
+        pieces, index = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        first = offsets[:-1]
+        starts = [" " + pieces[i] for i in index[first].tolist()]  # the first piece of a text has no space before it
+        index[first] = np.arange(len(pieces), len(pieces) + len(starts))
+        keys = pieces + starts
+        self.meet(set(keys))
+        values = list(map(self.known.__getitem__, keys))
+        lengths = np.fromiter(map(len, values), np.int64, len(values)) // self.width
+        ids = np.frombuffer(b"".join(values), f"<u{self.width}")
+        begin = np.cumsum(lengths) - lengths
+        each = lengths[index]
+        ends = np.cumsum(each)
+        data = ids[np.repeat(begin[index] - (ends - each), each) + np.arange(ends[-1])].tobytes()
+        stops = (ends[offsets[1:] - 1] * self.width).tolist()
+        start = 0
+        for at, stop in zip(where.tolist(), stops, strict=True):
+            out[at] = data[start:stop]
+            start = stop
+        return out
+
+
+@lru_cache(1)
+def encoder(path: str) -> PieceEncoder:
+    """One encoder for each Python worker, which runs many tasks."""
+    return PieceEncoder(path)
+
+
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about CHUNK bytes of text, or one longer text."""
+    for batch in batches:
+        size = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            before = size[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(size, before + CHUNK, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
 
 
 def write(
@@ -113,12 +240,13 @@ def write(
     text gives the end id alone. Other columns are ignored, whatever their names. An empty table gives an empty
     manifest. A task that runs again writes new files, and only the paths in the manifest count.
     """
+    common.small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     rows = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer_path)
-        end = struct.pack(f"<{encoder.code}", end_id)
+        coder = encoder(tokenizer_path)
+        end = coder.pack([end_id])
         shard = TaskContext.get().partitionId()
         path = f"{out}/{shard:06d}-{uuid4().hex}.rec"
         index, ids, offset = [], 0, len(MAGIC) + 1
@@ -131,17 +259,15 @@ def write(
             yield from batches
 
         with common.writing(path) as file:
-            file.write(MAGIC + bytes([encoder.width]))
-            for batch in rest():
-                for at in range(0, batch.num_rows, 256):
-                    part = batch.slice(at, 256)
-                    for doc, body in zip(part["id"].to_pylist(), encoder.encode(part["text"].to_pylist()), strict=True):
-                        record = frame(struct.pack("<Bq", doc is not None, doc or 0) + body + end)
-                        file.write(record)
-                        n = len(body) // encoder.width + 1
-                        index.append(struct.pack("<QQ", offset, n))
-                        offset += len(record)
-                        ids += n
+            file.write(MAGIC + bytes([coder.width]))
+            for part in chunks(rest()):
+                for doc, body in zip(part["id"].to_pylist(), coder.encode_column(part["text"]), strict=True):
+                    record = frame(struct.pack("<Bq", doc is not None, doc or 0) + body + end)
+                    file.write(record)
+                    n = len(body) // coder.width + 1
+                    index.append(struct.pack("<QQ", offset, n))
+                    offset += len(record)
+                    ids += n
         with common.writing(path + ".idx") as file:
             file.write(b"".join(index))
         yield pa.RecordBatch.from_pydict(
@@ -155,8 +281,6 @@ def _split(payload: bytes, width: int) -> tuple[int | None, bytes]:
     has, doc = struct.unpack("<Bq", payload[:9])
     ids = payload[9:]
     if width == 2:
-        import numpy as np
-
         ids = np.frombuffer(ids, "<u2").astype("<u4").tobytes()
     return (doc if has else None), ids
 
@@ -164,8 +288,6 @@ def _split(payload: bytes, width: int) -> tuple[int | None, bytes]:
 def records(path: str) -> Iterator[tuple[int | None, bytes]]:
     """Document id and token ids (as u32 bytes) of each record of a shard, in file order."""
     with common.reading(path) as file:
-        import io
-
         stream = io.BufferedReader(file, 1 << 20)
         if stream.read(len(MAGIC)) != MAGIC:
             raise ValueError(f"not a token record file: {path}")

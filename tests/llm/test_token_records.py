@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -57,3 +58,14 @@ def test_pieces_give_the_ids_of_whole_texts():
     coder = tr.PieceEncoder(tr.default_tokenizer())
     want = [coder.pack(e.ids) for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
     assert coder.encode(texts) == want
+    assert coder.encode_column(pa.array(texts)) == want
+
+
+def test_long_texts_are_cut(monkeypatch):
+    import re
+
+    monkeypatch.setattr(tr, "CHUNK", 50)
+    monkeypatch.setattr(tr, "_PARTS", re.compile(r".{50}.*?\S(?= \S)|.+", re.S))
+    coder = tr.PieceEncoder(tr.default_tokenizer())
+    for text in ("the cat sat  on\n the mat, don't you think so? " * 100, "y" * 1000):
+        assert coder.encode([text])[0] == coder.pack(coder.tokenizer.encode(text, add_special_tokens=False).ids)
