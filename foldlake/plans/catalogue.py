@@ -163,10 +163,17 @@ def library_argmin(t):
     return summary.best_of_gene(rows, "gene", "rmsd", ["s_suppkey"]).select("s_nationkey", "s_suppkey")
 
 
-def _points(t, mark: str, low: int, high: int):
-    rows = t("embeddings").where((F.col("vec_id") >= low) & (F.col("vec_id") < high))
+def _side(t, first: bool) -> DataFrame:
+    """One of the two sides of the whole of embeddings, which the middle of its ids parts."""
+    rows = t("embeddings")
+    middle = rows.agg(((F.min("vec_id") + F.max("vec_id") + 1) / 2).alias("_middle"))
+    low = F.coalesce(F.col("vec_id") < F.col("_middle"), F.lit(False))
+    return rows.crossJoin(F.broadcast(middle)).where(low if first else ~low).drop("_middle")
+
+
+def _points(t, mark: str, first: bool) -> DataFrame:
     xyz = [(F.col("embedding")[i].cast("double") * 10).alias(f"{mark}{c}") for i, c in enumerate("xyz")]
-    return rows.select(F.col("vec_id").alias(f"{mark}_id"), F.col("label").alias("label"), *xyz)
+    return _side(t, first).select(F.col("vec_id").alias(f"{mark}_id"), F.col("label").alias("label"), *xyz)
 
 
 _NEAR = """WITH g AS (SELECT vec_id AS g_id, label, CAST(embedding[1] AS DOUBLE)*10 AS gx, CAST(embedding[2] AS DOUBLE)*10 AS gy, CAST(embedding[3] AS DOUBLE)*10 AS gz FROM embeddings WHERE vec_id < 250),
@@ -176,7 +183,7 @@ near AS (SELECT g_id, b_id, g.label FROM g JOIN b ON g.label = b.label AND (gx-b
 
 @query(f"{_NEAR} SELECT label, g_id, b_id FROM near")
 def contact_pairs(t):
-    found = contacts.pairs_within(_points(t, "g", 0, 250), _points(t, "b", 250, 500), "label", ("gx", "gy", "gz"), ("bx", "by", "bz"), 1.5)
+    found = contacts.pairs_within(_points(t, "g", True), _points(t, "b", False), "label", ("gx", "gy", "gz"), ("bx", "by", "bz"), 1.5)
     return found.select("label", "g_id", "b_id")
 
 
@@ -185,13 +192,13 @@ r AS (SELECT *, sum(n) OVER (PARTITION BY label ORDER BY g_id ROWS UNBOUNDED PRE
 SELECT label, CAST(coalesce(min(run) FILTER (run >= 10), sum(n)) AS BIGINT) AS contact_count, CAST(sum(n) AS BIGINT) AS contact_count_full,
 coalesce(min(run) FILTER (run >= 10), sum(n)) >= 10 AS passed FROM r GROUP BY label""")
 def contact_filter(t):
-    counts = contacts.counts_within(_points(t, "g", 0, 250), _points(t, "b", 250, 500), "label", "g_id", ("gx", "gy", "gz"), ("bx", "by", "bz"), 1.5)
+    counts = contacts.counts_within(_points(t, "g", True), _points(t, "b", False), "label", "g_id", ("gx", "gy", "gz"), ("bx", "by", "bz"), 1.5)
     return summary.contact_verdicts(counts, "label", "g_id", 10)
 
 
 @query(f"{_NEAR} SELECT DISTINCT label, g_id FROM near")
 def epitope_semi(t):
-    near = contacts.rows_within(_points(t, "g", 0, 250), _points(t, "b", 250, 500), "label", ("gx", "gy", "gz"), ("bx", "by", "bz"), 1.5)
+    near = contacts.rows_within(_points(t, "g", True), _points(t, "b", False), "label", ("gx", "gy", "gz"), ("bx", "by", "bz"), 1.5)
     return near.select("label", "g_id").distinct()
 
 
@@ -201,9 +208,8 @@ SELECT g.label, CAST(count(*) AS BIGINT) AS n_pairs, round(sqrt(avg(pow(CAST(g.e
 +pow(CAST(g.e[3] AS DOUBLE)-CAST(b.e[3] AS DOUBLE),2))), 6) AS rmsd FROM g JOIN b ON g.label = b.label AND g.k = b.k GROUP BY g.label""")
 def paired_rmsd(t):
     sides = []
-    for low, high in ((0, 250), (250, 500)):
-        rows = t("embeddings").where((F.col("vec_id") >= low) & (F.col("vec_id") < high))
-        sides.append(rows.select("label", "vec_id", *[F.col("embedding")[i].alias(c) for i, c in enumerate("xyz")]))
+    for first in (True, False):
+        sides.append(_side(t, first).select("label", "vec_id", *[F.col("embedding")[i].alias(c) for i, c in enumerate("xyz")]))
     return summary.paired_rmsd(*sides, "label", "vec_id", ("x", "y", "z")).withColumn("rmsd", F.round("rmsd", 6))
 
 
