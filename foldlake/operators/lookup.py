@@ -20,14 +20,14 @@ def tiered(left: DataFrame, right: DataFrame, key: str, name: str) -> DataFrame:
     """Rows of right for each row of left, with tier: 1 where names are equal, trimmed and in lower case; for rows of
     left without any such match, 2 where the name holds left's key. Empty keys match nothing.
 
-    The exact tier is an equi-join. Only keys that it leaves over, each once, meet all names.
+    The exact tier is an equi-join. Only keys that it leaves over meet all names, each of both once.
     """
     wanted = left.withColumn("_key", F.lower(F.trim(key)))
     named = right.withColumn("_name", F.lower(F.trim(name)))
     exact = wanted.join(named, F.col("_key") == F.col("_name")).withColumn("tier", F.lit(1))
     rest = wanted.join(named.select(F.col("_name").alias("_key")).distinct(), "_key", "left_anti").where("_key <> ''")
-    found = rest.select("_key").distinct().join(named, F.col("_name").contains(F.col("_key"))).withColumn("tier", F.lit(2))
-    partial = rest.join(found, "_key").select(exact.columns)
+    found = rest.select("_key").distinct().join(named.select("_name").distinct(), F.col("_name").contains(F.col("_key"))).withColumn("tier", F.lit(2))
+    partial = rest.join(found, "_key").join(named, "_name").select(exact.columns)
     return exact.unionByName(partial).drop("_key", "_name")
 
 

@@ -86,8 +86,9 @@ WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.q = k.q))
 SELECT q, p_partkey, CAST(tier AS INTEGER) AS tier FROM ex UNION ALL SELECT q, p_partkey, CAST(tier AS INTEGER) FROM pa""")
 def tiered_match(t):
     part = t("part")
-    keys = part.select(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("q")).union(part.where("p_partkey <= 20").select("p_name")).distinct()
-    return lookup.tiered(keys, part.where("p_partkey <= 200").select("p_partkey", "p_name"), "q", "p_name").select("q", "p_partkey", "tier")
+    names = part.select("p_name").distinct()
+    keys = names.select(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("q")).union(names).distinct()
+    return lookup.tiered(keys, part.select("p_partkey", "p_name"), "q", "p_name").select("q", "p_partkey", "tier")
 
 
 @query("""SELECT c_custkey, coalesce(CAST(o.k AS BIGINT), CAST(n.n_nationkey AS BIGINT)) AS key,

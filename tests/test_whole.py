@@ -43,3 +43,17 @@ def test_paired_rmsd_covers_all_embeddings(spark, points):
         n = min(len(a), len(b))
         assert got[label][0] == n
         assert got[label][1] == pytest.approx(np.sqrt(((np.array(a[:n]) - np.array(b[:n])) ** 2).sum(1).mean()), abs=2e-6)
+
+
+def test_tiered_match_covers_all_parts(spark, tmp_path):
+    names = [f"{a} {b}{i % 40}" for i, (a, b) in enumerate([("red", "bolt"), ("Blue", "nut"), ("old", "RED ring")] * 120)] + [None, " ", "bolt"]
+    spark.createDataFrame(list(enumerate(names, 1)), "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    got = Counter(tuple(r) for r in catalogue.QUERIES["tiered_match"](spark, str(tmp_path)).collect())
+    want = Counter()
+    low = [(k, n.strip().lower()) for k, n in enumerate(names, 1) if n is not None]
+    for q in {n for n in names if n is not None} | {n.split(" ")[0] for n in names if n is not None}:
+        key = q.strip().lower()
+        exact = [k for k, n in low if n == key]
+        want.update((q, k, 1) for k in exact)
+        want.update((q, k, 2) for k, n in low if not exact and key and key in n)
+    assert got == want and max(k for _, k, _ in got) > 200
