@@ -238,7 +238,7 @@ def sanitize_names(t):
 @query(r"""SELECT doc_id, regexp_replace(regexp_replace(replace(regexp_replace(upper(replace(left(text, 200), 'ß', 's')) || '(MSE)(ABC)', '[\n\r ]', '', 'g'), '(MSE)', 'M'), '\([A-Z]{3}\)', 'X', 'g'), '[^\p{Lu}]', '', 'g') AS sequence
 FROM documents WHERE lang = 'en'""")
 def clean_sequence(t):
-    rows = t("documents").where("lang = 'en'").select("doc_id", F.concat(F.upper(F.replace(F.left("text", F.lit(200)), F.lit("ß"), F.lit("s"))), F.lit("(MSE)(ABC)")).alias("s"))
+    rows = t("documents").select("doc_id", F.concat(F.upper(F.replace("text", F.lit("ß"), F.lit("s"))), F.lit("(MSE)(ABC)")).alias("s"))
     return rows.select("doc_id", residues.clean_sequence("s").alias("sequence"))
 
 

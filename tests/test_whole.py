@@ -57,3 +57,17 @@ def test_tiered_match_covers_all_parts(spark, tmp_path):
         want.update((q, k, 1) for k in exact)
         want.update((q, k, 2) for k, n in low if not exact and key and key in n)
     assert got == want and max(k for _, k, _ in got) > 200
+
+
+def test_clean_sequence_covers_whole_texts_of_all_languages(spark, tmp_path):
+    texts = [("en", "Ab c\n" * 100 + "END"), ("de", "Große Wörter " * 30 + "Ä"), (None, "(ABC)x"), ("fr", ""), ("en", None)]
+    spark.createDataFrame([(i, text, lang) for i, (lang, text) in enumerate(texts)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["sequence"] for r in catalogue.QUERIES["clean_sequence"](spark, str(tmp_path)).collect()}
+    assert got == {0: "ABC" * 100 + "ENDMX", 1: "GROSEWÖRTER" * 30 + "ÄMX", 2: "XXMX", 3: "MX", 4: None}
+
+
+def test_clean_sequence_equals_sql_of_whole_texts(spark, data):
+    duck = pytest.importorskip("duckdb")
+    sql = rf"""SELECT doc_id, regexp_replace(regexp_replace(replace(regexp_replace(upper(replace(text, 'ß', 's')) || '(MSE)(ABC)', '[\n\r ]', '', 'g'), '(MSE)', 'M'), '\([A-Z]{{3}}\)', 'X', 'g'), '[^\p{{Lu}}]', '', 'g') AS sequence FROM '{data}/documents.parquet'"""
+    want = Counter(duck.sql(sql).fetchall())
+    assert Counter(tuple(r) for r in catalogue.QUERIES["clean_sequence"](spark, data).collect()) == want
