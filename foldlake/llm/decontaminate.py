@@ -1,30 +1,33 @@
 """Benchmark decontamination by template windows.
 
 Words become tokens in which numbers, names and units are typed placeholders, so that a question whose numbers or names
-were changed has the template of the original. Windows of WINDOW tokens of the documents are hash-joined to those of the
-benchmark items. A match counts where its slots agree: over all windows of one alignment, the same value in the item
-always stands at the same value in the document.
+were changed has the template of the original. Windows of the documents are hash-joined to those of the benchmark items.
+Windows have WINDOW tokens, in items of fewer than 20 tokens two fifths of the item, so that one changed word, wherever it
+stands, leaves 60 percent of the item's tokens in windows; items of fewer than WINDOW tokens are one window. A window counts
+where its slots agree: in an alignment, windows with a value of the item that stands at several values of the document are
+dropped, and all windows if these are more than two fifths of them. Items are judged by the tokens that the others cover.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldlake.llm import common
 from foldlake.llm.sketch import Marks
 
 WINDOW = 8
-#: Tokens of a window that must be words of their own; windows of placeholders alone match anything.
+#: Tokens of a window that must be words of their own, or most of a shorter window's; windows of placeholders alone match
+#: anything.
 LITERALS = 4
-#: Share of an item's windows that a document must match.
+#: Share of an item's tokens, of those in windows, that matching windows must cover in a document.
 COVERAGE = 0.6
 
 #: Units of measure; fixed values.
@@ -37,6 +40,8 @@ UNITS = frozenset(
 NUMBER, NAME, UNIT = 1, 2, 3
 _NUMBER = re.compile(r"[+-]?[$€£]?\d+(?:[.,:/]\d+)*(?:st|nd|rd|th|%|[a-z]{1,3})?")
 _EDGES = ".,;:!?\"'()[]{}«»“”‘’…*_"
+#: Bits by which hashes are shifted for the second of two bitmaps.
+_SHIFT = 24
 _M = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 
 
@@ -81,40 +86,52 @@ def tokens(text: str, known: Canonical) -> tuple[np.ndarray, list[str]]:
     return np.array(codes, np.uint64), words
 
 
-def window_hashes(codes: np.ndarray, size: int) -> np.ndarray:
-    """The hash of each window of size tokens; of all tokens if they are fewer."""
-    size = min(size, len(codes))
-    if not size:
-        return codes
-    n = len(codes) - size + 1
-    value = codes[:n] * _M[0] + np.uint64(size)
-    for at in range(1, size):
-        value ^= value >> np.uint64(29)
-        value = (value + codes[at : at + n]) * _M[1]
-    return value ^ (value >> np.uint64(32))
+def window_size(n: int, size: int) -> int:
+    """Tokens in a window of an item of n tokens."""
+    return n if n < size else min(size, max(3, 2 * n // 5))
+
+
+def window_hashes(codes: np.ndarray, sizes: Iterable[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each of the sizes that codes are enough for, from the smallest, the hash of each window."""
+    value = codes * _M[0]
+    for size in range(1, min(max(sizes, default=0), len(codes)) + 1):
+        if size > 1:
+            value = value[:-1] ^ (value[:-1] >> np.uint64(29))
+            value = (value + codes[size - 1 :]) * _M[1]
+        if size in sizes:
+            whole = (value ^ np.uint64(size)) * _M[0]
+            yield size, (whole ^ (whole >> np.uint64(32))).view(np.int64)
 
 
 def _usable(codes: np.ndarray, size: int) -> np.ndarray:
     """Which windows have enough words of their own."""
-    size = min(size, len(codes))
     own = np.concatenate([[0], np.cumsum(codes > 3)])
-    return own[size:] - own[: len(own) - size] >= min(LITERALS, size)
+    return own[size:] - own[: len(own) - size] >= min(LITERALS, size // 2 + 1)
+
+
+def _exact(words: list[str]) -> np.ndarray:
+    """Token codes without placeholders."""
+    return np.array([xxhash.xxh64_intdigest(w.lower()) for w in words], np.uint64) ^ _M[1]
 
 
 def slots(codes: np.ndarray, words: list[str], at: int, size: int) -> list[str]:
     """Values of a window's placeholders, by their place in it."""
-    return [f"{i}:{words[at + i].lower()}" for i in range(min(size, len(codes) - at)) if codes[at + i] <= 3]
+    return [f"{i}:{words[at + i].lower()}" for i in range(size) if codes[at + i] <= 3]
 
 
-_WINDOWS = "id long, at int, h long, slots array<string>, windows int"
+_ITEMS = "id long, at int, size int, exact boolean, h long, slots array<string>, tokens int"
+_WINDOWS = "id long, at int, h long, slots array<string>"
 
 
-def _windows(texts: DataFrame, marks: Marks | None, size: int) -> DataFrame:
-    """id, at, h, slots, windows (usable ones of the text) of the usable windows of texts (id, text) that marks names.
+def _table(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string())}
+    fields = [field.split() for field in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(zip(*rows), fields, strict=True)], names=[name for name, _ in fields])
 
-    A text shorter than a window is one window in an item; a document's window always has the full size or that of an
-    item's, which marks and the join by hash see to.
-    """
+
+def _item_windows(items: DataFrame, size: int) -> DataFrame:
+    """id, at, size, exact, h, slots, tokens of the windows of items (id, text): the usable ones, and how many tokens are in
+    those. Items of fewer than size tokens, and those without usable windows, have windows of the words as they stand."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = canonical()
@@ -124,53 +141,86 @@ def _windows(texts: DataFrame, marks: Marks | None, size: int) -> DataFrame:
                 codes, words = tokens(text, known)
                 if not len(codes):
                     continue
-                hashes = window_hashes(codes, size).view(np.int64)
-                usable = _usable(codes, size)
-                wanted = usable & marks.of(hashes) if marks else usable
-                n = int(usable.sum())
-                out += [(key, at, int(hashes[at]), slots(codes, words, at, size), n) for at in np.flatnonzero(wanted).tolist()]
+                own = window_size(len(codes), size)
+                places = np.flatnonzero(_usable(codes, own)).tolist()
+                covered = len({i for at in places for i in range(at, at + own)})
+                for _, hashes in window_hashes(codes, {own}):
+                    out += [(key, at, own, False, int(hashes[at]), slots(codes, words, at, own), covered) for at in places]
+                if len(codes) < size or not places:
+                    for _, hashes in window_hashes(_exact(words), {own}):
+                        out += [(key, at, own, True, h, [], len(codes)) for at, h in enumerate(hashes.tolist())]
             if out:
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.int32())
-                columns = [pa.array(c, t) for c, t in zip(zip(*out), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "at", "h", "slots", "windows"])
+                yield _table(out, _ITEMS)
+
+    return items.mapInArrow(cut, _ITEMS)
+
+
+def _doc_windows(texts: DataFrame, marks: tuple[Marks, Marks], sizes: set[int], exact: set[int]) -> DataFrame:
+    """id, at, h, slots of the windows of texts (id, text), of the sizes, that marks name; exact: sizes of windows of the
+    words as they stand."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = canonical()
+        for batch in batches:
+            out = []
+            for key, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                codes, words = tokens(text, known)
+                if not len(codes):
+                    continue
+                for wanted, own, bare in ((sizes, codes, False), (exact, _exact(words) if exact else codes, True)):
+                    for size, hashes in window_hashes(own, wanted):
+                        found = np.flatnonzero(marks[0].of(hashes))
+                        found = found[marks[1].of(hashes[found] >> _SHIFT)]
+                        out += [(key, at, int(hashes[at]), [] if bare else slots(codes, words, at, size)) for at in found.tolist()]
+            if out:
+                yield _table(out, _WINDOWS)
 
     return texts.mapInArrow(cut, _WINDOWS)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
-    """doc_id, item_id, matched, windows, coverage, reworded for each item that a document holds.
+    """doc_id, item_id, matched, tokens, coverage, reworded for each item that a document holds.
 
-    matched is the number of the item's windows that match in consistent alignments, reworded whether any slot has
-    another value than in the item. Null texts, texts without words and rows without id match nothing; rows that share
-    a doc_id count as one document; repeated items match alike. Other columns are ignored. Items shorter than a window
-    are one window and match only documents that consist of them. Empty tables give an empty result.
+    matched is the number of the item's tokens that windows with consistent slots cover, of the tokens that are in
+    windows; reworded tells whether any slot has another value than in the item. Null texts, texts
+    without words and rows without id match nothing; rows that share a doc_id count as one document; repeated items match
+    alike. Other columns are ignored. Items of fewer than size tokens match anywhere in a document, so an item of one
+    common word matches every document that holds it. Empty tables give an empty result.
     """
     common.small_batches(docs.sparkSession)
     items = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("id"), common.text_or_empty().alias("text"))
-    items = common.materialize(_windows(items, None, size), "benchmark-windows")
+    items = common.materialize(_item_windows(items, size), "benchmark-windows")
+    kinds = items.select("size", "exact").distinct().collect()
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), common.text_or_empty().alias("text"))
-    found = _windows(texts, Marks(items.select("h").distinct(), "h"), size)
+    hashes = items.select("h", F.shiftright("h", _SHIFT).alias("high")).distinct()
+    marks = Marks(hashes, "h"), Marks(hashes, "high")
+    found = _doc_windows(texts, marks, {k["size"] for k in kinds if not k["exact"]}, {k["size"] for k in kinds if k["exact"]})
     found = found.select(F.col("id").alias("doc_id"), F.col("at").alias("doc_at"), "h", F.col("slots").alias("doc_slots"))
-    sides = items.select(F.col("id").alias("item_id"), "at", "h", "slots", "windows")
+    sides = items.select(F.col("id").alias("item_id"), "at", "size", "h", "slots", "tokens")
     pairs = found.join(sides, "h").where(F.size("slots") == F.size("doc_slots"))
     pairs = pairs.withColumn("shift", F.col("doc_at") - F.col("at")).withColumn("slot", F.arrays_zip("slots", "doc_slots"))
 
     def value(side: str):
         return lambda s: F.regexp_replace(s[side], "^[0-9]+:", "")
 
+    def covered(windows: Column) -> Column:
+        return F.flatten(F.transform(windows, lambda w: F.sequence(w["at"], w["at"] + w["size"] - 1)))
+
     same = F.transform("slot", lambda s: F.struct(value("slots")(s).alias("i"), value("doc_slots")(s).alias("d")))
-    lined = pairs.groupBy("doc_id", "item_id", "shift").agg(
-        F.collect_set("at").alias("at"),
-        F.array_distinct(F.flatten(F.collect_set(same))).alias("slots"),
-        F.max("windows").alias("windows"),
-    )
-    lined = lined.where(F.size("slots") == F.size(F.array_distinct("slots.i")))
-    whole = lined.groupBy("doc_id", "item_id").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("at")))).alias("matched"),
-        F.max("windows").alias("windows"),
-        F.max(F.exists("slots", lambda s: s["i"] != s["d"])).alias("reworded"),
+    lined = pairs.groupBy("doc_id", "item_id", "shift").agg(F.collect_set(F.struct("at", "size", same.alias("slots"))).alias("w"), F.max("tokens").alias("tokens"))
+    values = lined.withColumn("v", F.array_distinct(F.flatten("w.slots")))
+    torn = values.withColumn("torn", F.transform(F.filter("v", lambda s: F.size(F.filter("v", lambda o: o["i"] == s["i"])) > 1), lambda s: s["i"]))
+
+    def bad(w: Column) -> Column:
+        return F.exists(w["slots"], lambda s: F.array_contains("torn", s["i"]))
+
+    kept = torn.withColumn("good", F.filter("w", lambda w: ~bad(w))).where(F.size("good") >= F.size("w") * coverage)
+    whole = kept.groupBy("doc_id", "item_id").agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list(covered(F.col("good")))))).alias("matched"),
+        F.max("tokens").alias("tokens"),
+        F.max(F.exists(F.flatten("good.slots"), lambda s: s["i"] != s["d"])).alias("reworded"),
     )
-    share = F.col("matched") / F.col("windows")
+    share = F.col("matched") / F.col("tokens")
     return whole.withColumn("coverage", share).where(F.col("coverage") >= coverage)
 
 
