@@ -26,6 +26,14 @@ _CANDIDATE = r"(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{16,}={0,2}"
 _FOR = "pass|passwd|password|pwd|secret|token|key|apikey|auth|bearer|credential|private|access|login"
 _AGAINST = "commit|sha1|sha256|md5|checksum|digest|hash|etag|uuid|guid|revision|card|phone|isbn|serial|version|build|order|invoice|example|sample|dummy"
 _EXAMPLES = "test|example|sample|fixture|mock|demo|docs|spec|vendor|node_modules|lock"
+#: Paths of labelled findings: of sources; of examples, vendored code, lock and generated files.
+_PATHS = ["src/app.py", "src0", "conf/settings.ini", "web/page.html", "src12"]
+_EXAMPLE_PATHS = [
+    *["tests/app.py", "docs/usage.md", "examples/a.ini", "spec/fixtures/keys.json", "vendor/auth.go", "node_modules/a/b.js", "src/mock.py"],
+    *["poetry.lock", "go.sum", "web/logo.svg", "static/app.min.js", "static/app.map", "analysis.ipynb"],
+]
+_AFTER = ["and the", "", "now", "# set it", "; end", "was here", "thereof"]
+_EXAMPLE_AFTER = ["# example only", "(sample)", "dummy value", "// example key", "-- sample"]
 _DICTIONARY = (
     "password|passwd|token|secret|example|sample|dummy|change|your|here|insert|test|user|name|admin|default|value|placeholder"
     "|config|version|release|build|index|file|image|data|number|service|client|server|the|and|for|with|that|this|from|have"
@@ -71,13 +79,14 @@ def features(rows: DataFrame) -> DataFrame:
 
 
 def labelled_findings(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
-    """path, before, candidate, after, label (1: a secret): findings made from a rule, half of them secrets.
+    """path, before, candidate, after, label (1: a secret): findings made from a rule, a third of them secrets.
 
     Secrets: vendor keys, hex and base64 strings beside words that name credentials. Others: checksums, commits, card
-    and serial numbers, identifiers, placeholders, and random strings in files of examples.
+    and serial numbers, identifiers, placeholders, and the secrets' strings in files of examples, in vendored, lock and
+    generated files, and where the next words call them an example.
     """
     df = spark.range(min(rows, LABELLED)).withColumn("h", F.sha2(F.concat(F.lit("finding-"), F.col("id").cast("string")), 512))
-    kind, word = F.pmod("id", F.lit(16)), F.conv(F.substring("h", 121, 4), 16, 10).cast("int")
+    word = F.conv(F.substring("h", 121, 4), 16, 10).cast("int")
 
     def pick(values: list[str]) -> Column:
         return F.element_at(F.array(*map(F.lit, values)), F.pmod(word, F.lit(len(values))) + 1)
@@ -110,12 +119,16 @@ def labelled_findings(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
         (F.concat(names, F.lit("-"), F.pmod(word, F.lit(100)).cast("string")), text, 0),
         (F.concat(pick(["xxxxxxxxxxxxxxx1", "0000000000000000", "1234567890123456", "aaaaaaaaaaaa1234"]), F.lit("0")), secret_word, 0),
     ]
+    kind, place = F.pmod("id", F.lit(len(cases))), F.pmod(F.floor(F.col("id") / len(cases)), F.lit(6))
     candidate, before, label = F.lit(""), F.lit(""), F.lit(0)
     for at, (value, near, kind_label) in enumerate(cases):
         candidate, before = F.when(kind == at, value).otherwise(candidate), F.when(kind == at, near).otherwise(before)
         label = F.when(kind == at, kind_label).otherwise(label)
-    paths = pick(["src/app.py", "src0", "conf/settings.ini", "web/page.html", "src12"])
-    return df.select(paths.alias("path"), before.alias("before"), candidate.alias("candidate"), F.lit("and the").alias("after"), label.cast("double").alias("label"))
+    # In every sixth finding the path speaks against a secret, in another sixth the words after it.
+    path = F.when(place == 0, pick(_EXAMPLE_PATHS)).otherwise(pick(_PATHS))
+    after = F.when(place == 1, pick(_EXAMPLE_AFTER)).otherwise(pick(_AFTER))
+    label = F.when(place < 2, 0).otherwise(label).cast("double")
+    return df.select(path.alias("path"), before.alias("before"), candidate.alias("candidate"), after.alias("after"), label.alias("label"))
 
 
 def train(findings: DataFrame):
@@ -141,8 +154,8 @@ def candidates(docs: DataFrame) -> DataFrame:
 
     def near(i: Column) -> Column:
         word = F.get("words", i)
-        two = [F.coalesce(F.get("words", i - k), F.lit("")) for k in (2, 1)]
-        return F.struct(i.alias("at"), F.concat_ws(" ", *two).alias("before"), word.alias("word"), F.coalesce(F.get("words", i + 1), F.lit("")).alias("after"))
+        two, next_two = ([F.coalesce(F.get("words", i + k), F.lit("")) for k in ks] for ks in ((-2, -1), (1, 2)))
+        return F.struct(i.alias("at"), F.concat_ws(" ", *two).alias("before"), word.alias("word"), F.concat_ws(" ", *next_two).alias("after"))
 
     df = df.withColumn("found", F.transform("places", near)).select("doc_id", "path", F.explode_outer("found").alias("f"))
     df = df.withColumn("candidate", F.explode(F.array_distinct(F.regexp_extract_all("f.word", F.lit(f"({_CANDIDATE})"), F.lit(1)))))

@@ -1,0 +1,21 @@
+"""What the secret scan judges by, and what it finds."""
+
+from pyspark.sql import functions as F
+
+from foldlake.llm import secrets as sc
+
+SECRET = 'token = "1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae" now'
+
+
+def test_path_and_next_word_change_the_verdict(spark, documents):
+    paths = ["src/app.py", "tests/test_login.py", "vendor/keys/auth.go", "Cargo.lock", "conf/main.ini"]
+    rows = [(i, f"set {SECRET}", "en", path) for i, path in enumerate(paths)] + [(9, "set " + SECRET.replace("now", "# example only"), "en", "src/app.py")]
+    got = {r.doc_id: r.is_secret for r in sc.scan(documents(rows)).collect()}
+    assert got == {0: True, 1: False, 2: False, 3: False, 4: True, 9: False}
+
+
+def test_labelled_findings_vary_in_all_that_is_judged(spark):
+    found = sc.features(sc.labelled_findings(spark, 2048))
+    names = [c for c in found.columns if c.startswith("x_")]
+    spread = found.agg(*[F.stddev(c).alias(c) for c in names], F.countDistinct("after").alias("after")).first()
+    assert all(spread[c] > 0 for c in names) and spread["after"] > 1
