@@ -1,7 +1,7 @@
 """Secret scans: candidates in texts, and a random forest that removes false positives.
 
-A candidate is a run of 16 or more characters of base64, hex and identifiers that has a digit. The forest looks at its
-length, character classes and transitions, dictionary coverage, the path it was found in and the neighbouring words. It
+A candidate is a run of 16 or more characters of base64, hex and identifiers that has a digit; any value after a credential
+word with = or :; what follows a vendor's prefix; and the password of a connection URL. The forest looks at its length, character classes and transitions, dictionary coverage, the path it was found in and the neighbouring words. It
 is trained on labelled findings; any table with the columns of labelled_findings() will do. DataFrame functions and
 Spark's own DataFrame estimators only; a text passes through one projection without any shuffle.
 """
@@ -22,6 +22,15 @@ TREES, DEPTH, SEED = 40, 8, 11
 THRESHOLD = 0.5
 _BREAK = r"[ \t\n\x0B\f\r]+"
 _CANDIDATE = r"(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{16,}={0,2}"
+#: A credential word with its sign, within a word or at the end of the words before; a value after it; a vendor's key; a
+#: connection URL's user and password.
+_NAMED = r"(?i:passw(?:or)?d|passphrase|pass|pwd|secret|token|key|auth|authorization|bearer|credentials?|private|access|login)[\"'\])]*"
+_SIGN = r"(?::=|=>|==|[:=])"
+_VALUE = r"[^\s\"'`<>]*[^\s\"'`<>,;.()\[\]{}]"
+_ASSIGNED = rf"({_NAMED}{_SIGN}[\"'`(]*)({_VALUE})"
+_SIGNED = rf"(?:{_NAMED} ?{_SIGN}|(?i:bearer|basic))[\"'`(]*$"
+_VENDOR = r"(?<![A-Za-z0-9])((?:AKIA|ASIA|gh[pousr]_|github_pat_|sk-|sk_live_|xox[abp]-|AIza|glpat-|eyJ)[A-Za-z0-9+/_.\-]*[A-Za-z0-9+/_\-]={0,2})"
+_URL = r"(://[^/\s:@]*:)([^@\s/]+)@"
 #: Words that speak for and against a secret beside a candidate, of files that hold examples, and a dictionary.
 _FOR = "pass|passwd|password|pwd|secret|token|key|apikey|auth|bearer|credential|private|access|login"
 _AGAINST = "commit|sha1|sha256|md5|checksum|digest|hash|etag|uuid|guid|revision|card|phone|isbn|serial|version|build|order|invoice|example|sample|dummy"
@@ -71,6 +80,7 @@ def features(rows: DataFrame) -> DataFrame:
         "vendor": c.rlike("^(AKIA|ASIA|ghp_|gho_|github_pat_|sk-|sk_live_|xox[abp]-|AIza|glpat-|eyJ)").cast("int"),
         "for": near.rlike(_FOR).cast("int"),
         "against": near.rlike(_AGAINST).cast("int") + after.rlike(_AGAINST).cast("int"),
+        "url": near.rlike("://[^/ ]*:$").cast("int"),
         "assigned": near.rlike("[=:]\\s*[\"']?$").cast("int"),
         "example_path": path.rlike(_EXAMPLES).cast("int"),
         "lock_path": path.rlike(r"\.(lock|sum|svg|map|min\.js|ipynb)$").cast("int"),
@@ -81,7 +91,8 @@ def features(rows: DataFrame) -> DataFrame:
 def labelled_findings(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
     """path, before, candidate, after, label (1: a secret): findings made from a rule, a third of them secrets.
 
-    Secrets: vendor keys, hex and base64 strings beside words that name credentials. Others: checksums, commits, card
+    Secrets: vendor keys, hex and base64 strings and passwords beside words that name credentials, passwords of URLs. Others:
+    plain words, numbers and variables beside such words, prefixes alone, checksums, commits, card
     and serial numbers, identifiers, placeholders, and the secrets' strings in files of examples, in vendored, lock and
     generated files, and where the next words call them an example.
     """
@@ -101,6 +112,7 @@ def labelled_findings(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
     secret_word = F.concat(text, pick(["password=", "token = \"", "api_key: ", "secret=", "Authorization: Bearer ", "auth_token='"]))
     innocent = F.concat(text, pick(["commit ", "sha256:", "checksum ", "uuid=", "etag: ", "card ", "serial "]))
     aws = F.concat(F.lit("AKIA"), F.rpad(F.concat(upper, F.upper(F.substring("h", 40, 8))), 16, "J7X"))
+    password = F.concat(pick(["Tr0ub", "drag0n", "Blue", "corr3ct", "q", "Z"]), F.substring(b64, 1, 5), pick(["", "!", "#1", "7"]), F.pmod(word, F.lit(90)).cast("string"))
     cases = [
         (aws, text, 1),
         (aws, secret_word, 1),
@@ -118,6 +130,16 @@ def labelled_findings(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
         (F.concat(names, F.substring(F.col("id").cast("string"), 1, 2)), secret_word, 0),
         (F.concat(names, F.lit("-"), F.pmod(word, F.lit(100)).cast("string")), text, 0),
         (F.concat(pick(["xxxxxxxxxxxxxxx1", "0000000000000000", "1234567890123456", "aaaaaaaaaaaa1234"]), F.lit("0")), secret_word, 0),
+        (password, secret_word, 1),
+        (password, secret_word, 1),
+        (F.concat(F.substring(b64, 1, 3), pick(["$", "!", "#", "%x"]), F.substring(b64, 9, 5), pick(["!", "&", ""])), secret_word, 1),
+        (password, F.concat(text, pick(["postgres", "mysql", "amqp", "https"]), F.lit("://"), pick(["admin:", "user:", "app:"])), 1),
+        (F.concat(F.lit("AKIA"), F.substring(F.translate(upper, "23456789", "BCDFGHJK"), 1, 9), F.translate(F.substring("h", 60, 7), "0123456789abcdef", "QRSTUVWXYZABCDEF")), text, 1),
+        (pick(["it", "is", "the", "none", "null", "required", "string", "Bearer", "yes", "false", "optional", "about", "see"]), secret_word, 0),
+        (pick(["changeme", "your_password", "getpass", "placeholder", "example", "which", "default", "value", "ment", "hidden", "words"]), secret_word, 0),
+        (pick(["${TOKEN}", "$PASSWORD", "os.environ", "{{secret}}", "%s", "****", "xxxxxxxx", "self.token", "getenv(KEY"]), secret_word, 0),
+        (F.pmod(word, F.lit(999)).cast("string"), secret_word, 0),
+        (pick(["sk-learn", "sk-ip", "eyJ", "AIza", "sk-", "ASIA-pacific", "AKIA"]), text, 0),
     ]
     kind, place = F.pmod("id", F.lit(len(cases))), F.pmod(F.floor(F.col("id") / len(cases)), F.lit(6))
     candidate, before, label = F.lit(""), F.lit(""), F.lit(0)
@@ -144,10 +166,17 @@ def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, path, at (place of the word), before, candidate, after for each candidate of the whole texts."""
     words = F.array_remove(F.split(common.text_or_empty(), _BREAK), "")
     df = docs.select("doc_id", F.col("source").cast("string").alias("path"), words.alias("words"))
-    places = F.filter(
-        F.when(F.size("words") > 0, F.sequence(F.lit(0), F.size("words") - 1)),
-        lambda i: (F.length(F.get("words", i)) >= 16) & F.get("words", i).rlike(_CANDIDATE),
-    )
+
+    def follows(i: Column) -> Column:
+        sign = F.coalesce(F.get("words", i - 1).rlike(rf"[:=>][\"'`(]*$|(?i:bearer|basic)$"), F.lit(False))
+        return sign & F.concat_ws(" ", F.get("words", i - 2), F.get("words", i - 1)).rlike(_SIGNED)
+
+    def wanted(i: Column) -> Column:
+        word = F.get("words", i)
+        long = (F.length(word) >= 16) & word.rlike(_CANDIDATE)
+        return long | word.rlike(rf"{_ASSIGNED}|{_URL}|{_VENDOR}") | follows(i)
+
+    places = F.filter(F.when(F.size("words") > 0, F.sequence(F.lit(0), F.size("words") - 1)), wanted)
     # No filter on these columns, nor explode(), which implies one: it would be pushed below the projection, and the words
     # split again for each place.
     df = df.withColumn("places", places)
@@ -158,9 +187,21 @@ def candidates(docs: DataFrame) -> DataFrame:
         return F.struct(i.alias("at"), F.concat_ws(" ", *two).alias("before"), word.alias("word"), F.concat_ws(" ", *next_two).alias("after"))
 
     df = df.withColumn("found", F.transform("places", near)).select("doc_id", "path", F.explode_outer("found").alias("f"))
-    df = df.withColumn("candidate", F.explode(F.array_distinct(F.regexp_extract_all("f.word", F.lit(f"({_CANDIDATE})"), F.lit(1)))))
-    head = F.left("f.word", F.position("candidate", "f.word") - 1)
-    return df.select("doc_id", "path", F.col("f.at").alias("at"), F.concat_ws(" ", "f.before", head).alias("before"), "candidate", F.col("f.after").alias("after"))
+
+    def pairs(pattern: str) -> Column:
+        heads, values = (F.regexp_extract_all("f.word", F.lit(pattern), F.lit(k)) for k in (1, 2))
+        return F.zip_with(heads, values, lambda head, value: F.struct(head.alias("head"), value.alias("value")))
+
+    def alone(values: Column) -> Column:
+        return F.transform(values, lambda c: F.struct(F.left("f.word", F.position(c, "f.word") - 1).alias("head"), c.alias("value")))
+
+    after_sign = F.col("f.before").rlike(_SIGNED)
+    value = F.when(after_sign, F.regexp_extract_all("f.word", F.lit(rf"^[\"'`(]*({_VALUE})"), F.lit(1))).otherwise(F.array().cast("array<string>"))
+    single = [alone(F.regexp_extract_all("f.word", F.lit(pattern), F.lit(1))) for pattern in (_VENDOR, f"({_CANDIDATE})")]
+    every = F.concat(pairs(_ASSIGNED), alone(value), pairs(_URL), *single)
+    first = F.filter(every, lambda x, i: (F.array_position(F.transform(every, lambda y: y["value"]), x["value"]) == i + 1))
+    df = df.withColumn("c", F.explode(first))
+    return df.select("doc_id", "path", F.col("f.at").alias("at"), F.concat_ws(" ", "f.before", "c.head").alias("before"), F.col("c.value").alias("candidate"), F.col("f.after").alias("after"))
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
