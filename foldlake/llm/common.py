@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _CHECKPOINT = "spark.checkpoint.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: The ASCII white space that separates words: space and \x09-\x0D.
 WORD_BREAKS = " \t\n\x0b\x0c\r"
@@ -30,9 +32,14 @@ def _own_folder() -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share, from spark.checkpoint.dir.
 
-    Only where the session leaves it unset (a plain local session) a temporary folder is made, one for each process.
+    Where the session leaves it unset, a local master, whose executors are the driver, gets a temporary folder, one for
+    each process; on a cluster that is an error, as executors would not share such a folder.
     """
-    at = spark.conf.get(_CHECKPOINT, None) or _own_folder()
+    at = spark.conf.get(_CHECKPOINT, None)
+    if not at:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError(f"{_CHECKPOINT} must name a folder that the driver and all executors share")
+        at = _own_folder()
     return at.rstrip("/") if urlsplit(at).scheme else "file://" + at.rstrip("/")
 
 
@@ -41,11 +48,35 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting that holds within a block only."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read again: lineage ends here and survives lost executors."""
-    path = work_path(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df written as Parquet in the shared folder and read again: lineage ends here and survives lost executors.
+
+    The shuffle files behind it are of no more use once it is written, and go. The table goes with drop().
+    """
+    spark, path = df.sparkSession, work_path(df.sparkSession, name)
+    with setting(spark, _CLEANUP, "true"):
+        df.write.partitionBy(*partition_by).parquet(path) if partition_by else df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Deletes tables that materialize() wrote and nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -35,5 +35,6 @@ def components(edges: DataFrame) -> DataFrame:
         count, check = now.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
         if (count, check) == seen or not count:
             return now
-        seen = count, check
+        seen, before = (count, check), now
         now = common.materialize(_small_star(_large_star(now)), "edges")
+        common.drop(before)

@@ -3,18 +3,18 @@
 A document's set holds the 64-bit hashes of its distinct shingles. Documents with equal sets are one node. Two sets with
 Jaccard similarity t or more share t times the larger size at least, so
 
-- sets up to a boundary size share a subset of that size: each enumerates its subsets of the few sizes that partners can
-  ask for, and equal subsets meet;
+- sets up to a boundary size enumerate their subsets of the few sizes that the threshold asks of them and a partner:
+  sets with an equal subset of that size link at once, without being compared;
 - larger sets share one of the first `size - ceil(t * size) + 1` shingles of each in any common order. The order puts
   shingles first whose counter in a fixed-size count sketch of all documents is low, so the inverted lists of passages
   that many documents share are rarely scanned. The sketch only steers the order; any order finds every pair.
 
 The boundary is the size at which enumerating costs least in all, given the sizes of the sets and the mean length of the
-inverted lists. Lists longer than BLOCK are cut into blocks that meet in pairs.
-
-Within a list a set proposes first those that look most similar before and after it; what these links leave apart
-proposes all pairs that the size and bitmap bounds allow. So groups of copies of any size take a number of pairs near their size, and still
-no link between components is lost. Proposed pairs are verified on the whole sets.
+inverted lists. Of inverted lists with the same members one is scanned. Within a list a set first proposes those that
+look most similar before and after it, in blocks of at most about BLOCK that meet themselves; only in lists of three and
+more whose members these links leave apart, all pairs are proposed that the size and bitmap bounds allow. So groups of
+copies of any size take a number of rows near their size, and still no link between components is lost. Proposed pairs
+are verified on the whole sets. Tables are dropped once their successors are written.
 """
 
 from __future__ import annotations
@@ -39,10 +39,13 @@ SHINGLE = 4
 PERCENT = 85
 SKETCH_BITS = 22
 SMALL_MOST = 24
-BLOCK = 512
+#: What comparing a posting with another member of its list costs, in postings.
+COMPARED = 8
+BLOCK = 2048
 BITMAP_BYTES = 128
 WIDEST_BITS = 1 << 17
 
+_SUBSET = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("k", pa.int32())])
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 
 
@@ -88,13 +91,24 @@ def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
     return np.unique(shingles(words, size))
 
 
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
 def least_shared(size: int, percent: int) -> int:
     return -(-percent * size // 100)
 
 
+def shared_of(one: int, other: int, percent: int) -> int:
+    """How many elements two sets of these sizes share at least if they link."""
+    return -(-percent * (one + other) // (100 + percent))
+
+
 def subset_sizes(size: int, most: int, percent: int) -> set[int]:
-    """Sizes of the subsets that a set of this size enumerates to meet all sets of up to most elements."""
-    return {least_shared(other, percent) for other in range(size, min(most, 100 * size // percent) + 1)}
+    """Sizes of the subsets that a set of this size enumerates to meet all sets of up to most elements: what it and each
+    of them share at least."""
+    partners = range(least_shared(size, percent), min(most, 100 * size // percent) + 1)
+    return {k for k in (shared_of(size, other, percent) for other in partners) if k <= size}
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
@@ -116,8 +130,8 @@ def fold(bits: np.ndarray, size: int) -> np.ndarray:
 
 
 def describe(docs: DataFrame, order: np.ndarray, size: int, percent: int) -> DataFrame:
-    """doc_id, n, fp (128-bit hash of the set), prefix, bitmap (of BITMAP_BYTES), wide (the whole one), small (the set, if
-    it has SMALL_MOST elements at most)."""
+    """doc_id, n, fp (128-bit hash of the set), prefix, wide (the set's bitmap), small (the set, if it has SMALL_MOST
+    elements at most)."""
     spark = docs.sparkSession
     shared, mask = spark.sparkContext.broadcast(order), np.uint64(len(order) - 1)
 
@@ -130,24 +144,25 @@ def describe(docs: DataFrame, order: np.ndarray, size: int, percent: int) -> Dat
                 n = len(values)
                 take = n - least_shared(n, percent) + 1 if n else 0
                 first = values[np.lexsort((values, rank[(values & mask).astype(np.int64)]))[:take]]
-                signed = values.view(np.int64)
-                small = signed if n <= SMALL_MOST else None
-                wide = bitmap(values)
-                near = fold(np.frombuffer(wide, np.uint8), BITMAP_BYTES).tobytes()
-                out.append((n, xxhash.xxh128_digest(values.tobytes()), first.view(np.int64), near, wide, small))
-            kinds = (pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+                small = values.view(np.int64) if n <= SMALL_MOST else None
+                out.append((n, xxhash.xxh128_digest(values.tobytes()), first.view(np.int64), bitmap(values), small))
+            kinds = (pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()))
             columns = [pa.array(list(c), t) for c, t in zip(zip(*out), kinds)] if out else [pa.array([], t) for t in kinds]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], names=["doc_id", "n", "fp", "prefix", "bitmap", "wide", "small"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], names=["doc_id", "n", "fp", "prefix", "wide", "small"])
 
-    return docs.mapInArrow(describe_batches, "doc_id long, n int, fp binary, prefix array<long>, bitmap binary, wide binary, small array<long>")
+    return docs.mapInArrow(describe_batches, "doc_id long, n int, fp binary, prefix array<long>, wide binary, small array<long>")
 
 
 def choose_boundary(sizes: dict[int, int], mean_list: float, percent: int) -> int:
     """The largest size whose sets enumerate subsets: where subsets of sets up to it and scans of sets above it, and of
-    those just below that large sets can match, cost least in all."""
+    those just below that large sets can match, cost least in all.
+
+    The unit is one posting. An equal subset is a link at once; of a scanned list each other member costs COMPARED, as
+    bitmaps travel with its posting and whole sets are fetched to verify a pair.
+    """
 
     def scan(size: int) -> float:
-        return (size - least_shared(size, percent) + 1) * mean_list
+        return (size - least_shared(size, percent) + 1) * (1 + COMPARED * (mean_list - 1))
 
     def cost(most: int) -> float:
         total = 0.0
@@ -162,40 +177,69 @@ def choose_boundary(sizes: dict[int, int], mean_list: float, percent: int) -> in
 
 
 def subsets(nodes: DataFrame, most: int, percent: int) -> DataFrame:
-    """key, node, n for each enumerated subset of the sets of up to most elements."""
+    """key, node, n, k for each enumerated subset (of k elements) of the sets of up to most elements."""
 
     def enumerate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for node, values in zip(batch["node"].to_pylist(), batch["small"].to_pylist(), strict=True):
                 array = np.array(values, np.int64)
-                keys = {
-                    xxhash.xxh64_intdigest(array[list(some)].tobytes(), seed=k) - (1 << 63)
-                    for k in subset_sizes(len(values), most, percent)
-                    for some in combinations(range(len(values)), k)
-                }
-                n = len(keys)
-                yield pa.RecordBatch.from_pydict(
-                    {"key": pa.array(list(keys), pa.int64()), "node": pa.array([node] * n, pa.int64()), "n": pa.array([len(values)] * n, pa.int32())}
-                )
+                for k in sorted(subset_sizes(len(values), most, percent)):
+                    keys = [
+                        _signed(xxhash.xxh64_intdigest(array[list(some)].tobytes(), seed=k))
+                        for some in combinations(range(len(values)), k)
+                    ]
+                    rows = len(keys)
+                    columns = [keys, [node] * rows, [len(values)] * rows, [k] * rows]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _SUBSET.types)], schema=_SUBSET)
 
-    return nodes.where(F.col("n") <= most).select("node", "small").mapInArrow(enumerate_batches, "key long, node long, n int")
+    return nodes.where(F.col("n") <= most).select("node", "small").mapInArrow(enumerate_batches, "key long, node long, n int, k int")
 
 
-def _repeated(postings: DataFrame) -> DataFrame:
-    """Keys of at least two postings, with their number c."""
-    return postings.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+def light_links(nodes: DataFrame, most: int, percent: int) -> DataFrame:
+    """a, b: links between sets of up to most elements, as many as join all that such links join.
+
+    Sets that share a subset of the size that the threshold asks of the two link, without more ado. The smallest member
+    of a subset's list asks least of each other member, so links to it alone leave nothing out: rows in proportion to the
+    list, and a partial minimum before the shuffle.
+    """
+    found = subsets(nodes, most, percent)
+    least = found.groupBy("key").agg(F.min(F.struct("n", "node")).alias("least"), F.count("*").alias("c")).where("c > 1").drop("c")
+    both = found.join(least, "key").where(F.col("node") != F.col("least.node"))
+    total = F.col("n") + F.col("least.n")
+    enough = F.col("k") * (100 + percent) >= percent * total
+    return both.where(enough).select(F.col("node").alias("a"), F.col("least.node").alias("b")).distinct()
 
 
-def lists(nodes: DataFrame, percent: int) -> DataFrame:
-    """key, node, n, c: the postings of subsets and of prefixes that more than one node has."""
+def lists(nodes: DataFrame, percent: int) -> tuple[DataFrame, int]:
+    """The inverted lists of prefixes as postings key, node, n, c (members), and the boundary.
+
+    Of lists with the same members one stays: near copies share most of their prefixes, and meet in one list then. Lists
+    of sets that all lie below the sizes that large sets can match are not made.
+    """
     scanned = nodes.select(F.explode("prefix").alias("key"))
-    counts = common.materialize(_repeated(scanned), "lists")
+    counts = common.materialize(scanned.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "counts")
     postings = nodes.agg(F.sum(F.size("prefix"))).first()[0] or 0
     several, squares = counts.agg(F.sum("c"), F.sum(F.col("c") * F.col("c"))).first()
     mean_list = (postings - (several or 0) + (squares or 0)) / max(1, postings)
     sizes = {r.n: r["count"] for r in nodes.where(F.col("n") <= SMALL_MOST).groupBy("n").count().collect()}
     most = choose_boundary(sizes, mean_list, percent)
     marks = Marks(counts, "key")
+    common.drop(counts)
+
+    large = nodes.where(F.col("n") >= least_shared(most + 1, percent)).select("node", "n", "prefix")
+    large = common.materialize(large.mapInArrow(_postings(marks), "key long, node long, n int"), "scanned")
+    members = [F.count("*").alias("c"), F.sum(F.xxhash64("node")).alias("s"), F.expr("bit_xor(xxhash64(node, 1))").alias("x")]
+    with common.setting(nodes.sparkSession, "spark.sql.ansi.enabled", "false"):  # the sum of hashes may wrap
+        each = large.groupBy("key").agg(*members).where("c > 1").groupBy("c", "s", "x").agg(F.min("key").alias("key"))
+        kept = common.materialize(each.select("key", "c"), "kept")
+    few = large.mapInArrow(_marked(Marks(kept, "key")), "key long, node long, n int")
+    out = common.materialize(few.join(kept, "key").select("key", "node", "n", "c"), "lists")
+    common.drop(large, kept)
+    return out, most
+
+
+def _postings(marks: Marks):
+    """Of each node's prefix the marked keys: key, node, n."""
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,20 +250,57 @@ def lists(nodes: DataFrame, percent: int) -> DataFrame:
             columns = [keys.take(pa.array(found)), batch["node"].take(rows), batch["n"].take(rows)]
             yield pa.RecordBatch.from_arrays(columns, names=["key", "node", "n"])
 
-    large = nodes.where(F.col("n") >= least_shared(most + 1, percent)).select("node", "n", "prefix")
-    large = large.mapInArrow(repeated, "key long, node long, n int").join(counts, "key").select("key", "node", "n", "c")
-    if not most:
-        return large
-    small = subsets(nodes, most, percent)
-    return large.unionByName(small.join(_repeated(small), "key").select("key", "node", "n", "c"))
+    return repeated
+
+
+def _marked(marks: Marks):
+    """The rows whose first column is marked."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.take(pa.array(np.flatnonzero(marks.of(batch[0].to_numpy(zero_copy_only=False)))))
+
+    return keep
+
+
+def bitmaps(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, n, bitmap (of BITMAP_BYTES) for the nodes that stand in wanted."""
+    marks = Marks(wanted, "node")
+
+    def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _marked(marks)(batches):
+            bits = [fold(np.frombuffer(w, np.uint8), BITMAP_BYTES).tobytes() for w in batch["wide"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["node"], batch["n"], pa.array(bits, pa.binary())], names=["node", "n", "bitmap"])
+
+    return nodes.select("node", "n", "wide").mapInArrow(folded, "node long, n int, bitmap binary")
 
 
 def in_blocks(postings: DataFrame) -> DataFrame:
-    """Adds i, j (the pair of blocks that meet) and own (the node's block): lists longer than BLOCK are cut."""
-    cuts = F.ceil(F.col("c") / BLOCK).cast("int")
-    df = postings.withColumn("cuts", cuts).withColumn("own", F.pmod(F.xxhash64("node", "key"), F.col("cuts").cast("long")).cast("int"))
-    df = df.withColumn("other", F.explode(F.expr("sequence(0, cuts - 1)")))
-    return df.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("cuts", "other")
+    """Adds i, j (the pair of blocks that meet) and own (the posting's block) to postings with label.
+
+    A list of up to BLOCK members is one block that meets itself. Of a longer one, the members of the label that most
+    have, which need not meet each other, are cut into blocks that meet only the blocks of all others. So a list of
+    which nearly all are linked makes rows in proportion to its length.
+    """
+    long = postings.where(F.col("c") > BLOCK)
+    by_label = long.groupBy("key", "label").agg(F.count("*").alias("size"), F.first("c").alias("c"))
+    bulk = by_label.groupBy("key").agg(F.max(F.struct("size", "label")).alias("top"), F.first("c").alias("c"))
+    blocks = lambda x: F.ceil(x / BLOCK).cast("int")
+    bulk = bulk.select("key", F.col("top.label").alias("most"), blocks(F.col("top.size")).alias("p"), blocks(F.col("c") - F.col("top.size")).alias("q"))
+    df = long.join(bulk, "key").withColumn("h", F.xxhash64("node", "key"))
+    first = F.col("label") == F.col("most")
+    df = df.withColumn("own", F.when(first, F.expr("int(pmod(h, p))")).otherwise(F.col("p") + F.expr("int(pmod(h, greatest(q, 1)))")))
+    df = df.withColumn("other", F.explode(F.when(first, F.expr("sequence(p, p + q - 1)")).otherwise(F.expr("sequence(0, p + q - 1)"))))
+    df = df.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    zero = F.lit(0)
+    short = postings.where(F.col("c") <= BLOCK).select("*", zero.alias("own"), zero.alias("i"), zero.alias("j"))
+    return short.unionByName(df.select(*short.columns))
+
+
+def own_blocks(postings: DataFrame) -> DataFrame:
+    """Adds i, j and own so that each block of a list meets itself only: one row for each posting."""
+    own = F.pmod(F.xxhash64("node", "key"), F.ceil(F.col("c") / BLOCK)).cast("int")
+    return postings.select("*", own.alias("own"), own.alias("i"), own.alias("j"))
 
 
 def _pairs(columns: dict[str, np.ndarray], percent: int, rest: bool) -> list[tuple[int, int]]:
@@ -291,7 +372,9 @@ def _pair_batch(found: set[tuple[int, int]]) -> pa.RecordBatch:
 
 def sieve(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs that the sizes and the whole bitmaps allow; of a node's sets under one id, any may allow it."""
-    sides = [nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("wide").alias(f"w{x}")) for x in "ab"]
+    ends_of = ends(pairs)
+    wanted = nodes.select("node", "n", "wide").mapInArrow(_marked(Marks(ends_of, "node")), "node long, n int, wide binary")
+    sides = [wanted.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("wide").alias(f"w{x}")) for x in "ab"]
     both = pairs.join(sides[0], "a").join(sides[1], "b")
 
     def allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +387,9 @@ def sieve(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                     keep.append(at)
             yield pa.RecordBatch.from_arrays([batch[c].take(pa.array(keep, pa.int64())) for c in "ab"], names=["a", "b"])
 
-    return both.mapInArrow(allowed, "a long, b long").distinct()
+    out = common.materialize(both.mapInArrow(allowed, "a long, b long").distinct(), "sieved")
+    common.drop(ends_of)
+    return out
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -314,8 +399,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_hashes()
-        for batch in batches:
-            batch = batch.take(pa.array(np.flatnonzero(marks.of(batch["doc_id"].to_numpy(zero_copy_only=False)))))
+        for batch in _marked(marks)(batches):
             for cut in range(0, batch.num_rows, 64):
                 part = batch.slice(cut, 64)
                 values = [shingle_set(known.of(t), size).view(np.int64) for t in part["text"].to_pylist()]
@@ -360,36 +444,43 @@ def link(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFr
     order = count_sketch(docs, hashes, SKETCH_BITS, levels)
     described = common.materialize(describe(docs, order, size, percent), "described")
     linked = described.where("n > 0 AND doc_id IS NOT NULL")
-    nodes = linked.groupBy("fp").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
-    nodes = common.materialize(nodes, "nodes")
+    nodes = common.materialize(linked.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
     known = nodes.select(F.col("fp").alias("k_fp"), "node")
     can_link = (F.col("fp") == F.col("k_fp")) & F.col("doc_id").isNotNull()
     assigned = common.materialize(described.select("doc_id", "n", "fp").join(known, can_link, "left").drop("fp", "k_fp"), "assigned")
     ids = assigned.where("node IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y")
     same = assigned.join(ids, "doc_id").where("node <> x").select(F.col("node").alias("a"), F.col("x").alias("b"))
-
     firsts = linked.dropDuplicates(["doc_id", "fp"]).join(nodes.select("fp", F.col("node").alias("doc_id")), ["fp", "doc_id"])
-    firsts = firsts.select(F.col("doc_id").alias("node"), "n", "prefix", "bitmap", "wide", "small")
-    firsts = common.materialize(firsts, "firsts")
-
-    postings = common.materialize(lists(firsts, percent), "postings")
-    maps = firsts.select("node", "n", "bitmap").join(postings.select("node").distinct(), "node")
-    postings = common.materialize(in_blocks(postings).join(maps, ["node", "n"]), "postings")
-    pairs = propose(postings.withColumn("label", F.lit(0).cast("long")), percent, rest=False)
-    pairs = common.materialize(sieve(pairs, firsts, percent), "pairs")
-    sets = common.materialize(whole_sets(docs, ends(pairs), size), "sets")
-    first = components(verify(pairs, sets, percent).union(same))
-
+    firsts = common.materialize(firsts.select(F.col("doc_id").alias("node"), "n", "prefix", "wide", "small"), "firsts")
+    common.drop(described, nodes)
+
+    postings, most = lists(firsts, percent)
+    maps = common.materialize(bitmaps(firsts, postings), "bitmaps")
+    pairs = propose(own_blocks(postings.withColumn("label", F.lit(0).cast("long"))).join(maps, ["node", "n"]), percent, rest=False)
+    pairs = common.materialize(pairs, "pairs")
+    sieved = sieve(pairs, firsts, percent)
+    wanted = ends(sieved)
+    sets = common.materialize(whole_sets(docs, wanted, size), "sets")
+    light = light_links(firsts, most, percent)
+    first = components(verify(sieved, sets, percent).union(light).union(same))
+    common.drop(pairs, sieved, wanted)
+
+    # All members of a list of two have met; of longer ones those that are still apart.
     labels = first.select(F.col("a").alias("node"), F.col("b").alias("to"))
-    labelled = postings.join(labels, "node", "left").withColumn("label", F.coalesce("to", "node")).drop("to")
-    apart = labelled.groupBy("key", "i", "j").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-    more = propose(labelled.join(apart.select("key", "i", "j"), ["key", "i", "j"]), percent, rest=True)
-    more = common.materialize(sieve(more, firsts, percent), "pairs")
-    lacking = ends(more).join(sets.select(F.col("doc_id").alias("node")), "node", "left_anti")
-    lacking = common.materialize(lacking, "lacking")
+    labelled = postings.where("c > 2").join(labels, "node", "left").withColumn("label", F.coalesce("to", "node")).drop("to")
+    apart = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+    labelled = common.materialize(labelled.join(apart.select("key"), "key"), "labelled")
+    more = common.materialize(propose(in_blocks(labelled).join(maps, ["node", "n"]), percent, rest=True), "pairs")
+    common.drop(postings)
+    sieved = sieve(more, firsts, percent)
+    wanted = ends(sieved)
+    lacking = common.materialize(wanted.join(sets.select(F.col("doc_id").alias("node")), "node", "left_anti"), "lacking")
+    both = sets
     if lacking.limit(1).count():
-        sets = sets.unionByName(common.materialize(whole_sets(docs, lacking, size), "sets"))
-    found = components(first.union(verify(more, sets, percent)))
+        later = common.materialize(whole_sets(docs, lacking, size), "sets")
+        both = sets.unionByName(later)
+    found = components(first.union(verify(sieved, both, percent)))
+    common.drop(first, firsts, maps, labelled, more, sieved, wanted, lacking, sets, *([later] if both is not sets else []))
     to = found.select(F.col("a").alias("node"), F.col("b").alias("component"))
     out = assigned.join(to, "node", "left").select("doc_id", "n", F.coalesce("component", "node", "doc_id").alias("component_id"))
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")

@@ -75,9 +75,79 @@ def test_cases(spark, documents):
 
 
 def test_boundary_follows_cost():
-    assert jj.choose_boundary({5: 1000}, 50.0, 85) >= 5
-    assert jj.choose_boundary({24: 1000}, 1.0, 85) < 24
-    assert jj.subset_sizes(5, 10, 85) == {5} and jj.subset_sizes(6, 10, 85) == {6}
+    assert 13 <= jj.choose_boundary({8: 1000, 13: 1000}, 2.0, 85) <= 16  # 14 subsets cost less than two scans
+    assert jj.choose_boundary({24: 1000}, 1.0, 85) < 24  # 301 subsets cost more than scans of lists without others
+    assert jj.choose_boundary({24: 1000}, 50.0, 85) == 24
+    assert jj.subset_sizes(5, 10, 85) == {5} and jj.subset_sizes(7, 13, 85) == {7} and jj.subset_sizes(13, 13, 85) == {12}
+
+
+def test_subset_sizes_are_what_the_threshold_asks():
+    for one in range(1, 25):
+        for other in range(one, 25):
+            asked = jj.shared_of(one, other, 85)
+            for shared in range(one + 1):
+                assert (100 * shared >= 85 * (one + other - shared)) == (shared >= asked)
+
+
+def sets_of(rng, count):
+    """Small sets as nodes: groups of equal size with one shingle changed, and of which one shingle was left out."""
+    out = []
+    for _ in range(count):
+        base = [rng.getrandbits(60) for _ in range(rng.choice([6, 7, 9, 12, 13]))]
+        changed = [rng.getrandbits(60) if i == 0 else x for i, x in enumerate(base)]
+        out += [base, changed, base[1:], base[2:]]
+    return [(i, len(v), sorted(v)) for i, v in enumerate(out)]
+
+
+def test_light_half_links_near_copies(spark):
+    nodes = sets_of(random.Random(3), 40)
+    got = {tuple(r) for r in jj.light_links(spark.createDataFrame(nodes, "node long, n int, small array<long>"), 13, 85).collect()}
+    want = {
+        (a, b) for a, na, va in nodes for b, nb, vb in nodes if a < b and 100 * len(set(va) & set(vb)) >= 85 * len(set(va) | set(vb))
+    }
+    assert want and all(set(nodes[a][2]) != set(nodes[b][2]) for a, b in want)
+    assert {(min(p), max(p)) for p in got} <= want
+    grouped = lambda pairs: sorted(tuple(sorted(c)) for c in groups_of(pairs))
+    assert grouped(got) == grouped(want)
+
+
+def groups_of(pairs):
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        parent[find(a)] = find(b)
+    out = {}
+    for x in parent:
+        out.setdefault(find(x), []).append(x)
+    return out.values()
+
+
+def test_long_lists_make_rows_in_proportion(spark, monkeypatch):
+    """One label of 200 and eight others: the 200 meet the others only."""
+    monkeypatch.setattr(jj, "BLOCK", 16)
+    rows = [(5, i, 100, 208, 1 if i < 200 else 1000 + i) for i in range(208)]
+    out = jj.in_blocks(spark.createDataFrame(rows, "key long, node long, n int, c long, label long")).collect()
+    met = {(a.node, b.node) for a in out for b in out if (a.i, a.j) == (b.i, b.j) and (a.own, b.own) in ((a.i, a.j), (a.j, a.i))}
+    assert all((a, b) in met for a in range(200, 208) for b in range(208) if a != b)
+    assert len(out) < 2 * 208
+
+
+def test_working_tables_are_dropped(spark, documents):
+    import os
+
+    from foldlake.llm import common
+
+    at = common.shared_dir(spark).removeprefix("file://")
+    before = set(os.listdir(at))
+    jj.link(documents(corpus(8, 20, 5, [30, 60]))).count()
+    left = {x.split("-")[0] for x in set(os.listdir(at)) - before}
+    assert left <= {"assigned", "edges"}
 
 
 def test_components(spark):
