@@ -1,7 +1,8 @@
 """Benchmark decontamination by template windows.
 
 Words become tokens in which numbers, names and units are typed placeholders, so that a question whose numbers or names
-were changed has the template of the original. Windows of the documents are hash-joined to those of the benchmark items.
+were changed has the template of the original. Number words are numbers; single letters are units after a number; and a
+capitalised word is a name inside a sentence, and at its beginning unless the benchmark has it in lower case. Windows of the documents are hash-joined to those of the benchmark items.
 Windows have WINDOW tokens, in items of fewer than 20 tokens two fifths of the item, so that one changed word, wherever it
 stands, leaves 60 percent of the item's tokens in windows; items of fewer than WINDOW tokens are one window. A window counts
 where its slots agree: in an alignment, windows with a value of the item that stands at several values of the document are
@@ -37,6 +38,12 @@ UNITS = frozenset(
     " mins minute minutes h hr hrs hour hours day days week weeks month months year years hz khz mhz ghz w kw mw j kj"
     " cal kcal v mv a ma k c f percent degree degrees dollar dollars cent cents euro euros usd eur mph kmh kph".split()
 )
+#: Number words; fixed values.
+NUMBERS = frozenset(
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen"
+    " eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen half"
+    " twice thrice double triple first second third fourth fifth sixth seventh eighth ninth tenth".split()
+)
 NUMBER, NAME, UNIT = 1, 2, 3
 _NUMBER = re.compile(r"[+-]?[$€£]?\d+(?:[.,:/]\d+)*(?:st|nd|rd|th|%|[a-z]{1,3})?")
 _EDGES = ".,;:!?\"'()[]{}«»“”‘’…*_"
@@ -46,19 +53,21 @@ _M = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 
 
 class Canonical(dict):
-    """For a word as it stands: token hash (or placeholder), bare word, whether a sentence ends after it, and whether it
-    begins with a capital. Remembers a bounded number of words."""
+    """For a word as it stands: token hash (or placeholder), bare word, whether a sentence ends after it, whether it
+    begins with a capital, and whether it is a unit of one letter. Remembers a bounded number of words."""
 
     MOST = 150_000
 
-    def __missing__(self, word: str) -> tuple[int, str, bool, bool]:
+    def __missing__(self, word: str) -> tuple[int, str, bool, bool, bool]:
         bare = word.strip(_EDGES)
         low = bare.lower()
-        if low[:1].isdigit() or _NUMBER.fullmatch(low):
-            code = NUMBER if _NUMBER.fullmatch(low) else 0
+        if _NUMBER.fullmatch(low) or all(x in NUMBERS for x in low.split("-")):
+            code = NUMBER
         else:
             code = UNIT if low in UNITS and len(low) > 1 else 0
-        value = (code or xxhash.xxh64_intdigest(low), bare, word[-1:] in ".!?:…" or word[-2:-1] in (".", "!", "?"), bare[:1].isupper() and not bare.isupper())
+        ends = word[-1:] in ".!?:…" or word[-2:-1] in (".", "!", "?")
+        capital = bare[:1].isupper() and not bare.isupper()
+        value = (code or xxhash.xxh64_intdigest(low), bare, ends, capital, len(low) == 1 and low in UNITS)
         self[word] = value
         return value
 
@@ -68,24 +77,42 @@ def canonical() -> Canonical:
     return Canonical()
 
 
-def tokens(text: str, known: Canonical) -> tuple[np.ndarray, list[str]]:
-    """Token codes (placeholders below 4) and bare words. A capitalised word inside a sentence is a name."""
+def tokens(text: str, known: Canonical, lower: Marks | None = None) -> tuple[np.ndarray, list[str]]:
+    """Token codes (placeholders below 4) and bare words. lower marks the words that the benchmark has in lower case; a
+    capitalised word that begins a sentence is a name if it is none of them."""
     if len(known) > known.MOST:
         known.clear()
-    words, codes, first = [], [], True
+    words, codes, first, before = [], [], True, 0
     for line in text.split("\n"):
         first = True
         for word in line.split():
-            code, bare, ends, capital = known[word]
+            code, bare, ends, capital, letter = known[word]
             if not bare:
                 first = first or ends
                 continue
-            codes.append(NAME if capital and not first and code > 3 else code)
+            if code > 3:
+                if letter and before == NUMBER:
+                    code = UNIT
+                elif capital and not (first and (lower is None or lower.has(code))):
+                    code = NAME
+            codes.append(code)
             words.append(bare)
-            first = ends
+            first, before = ends, code
     return np.array(codes, np.uint64), words
 
 
+def lower_words(items: DataFrame) -> Marks:
+    """Marks of the hashes of the words that the items (id, text) have in lower case."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = canonical()
+        for batch in batches:
+            codes = {known[w][0] for text in batch["text"].to_pylist() for w in text.split() if known[w][1][:1].islower()}
+            yield pa.RecordBatch.from_pydict({"h": pa.array(np.array(list(codes), np.uint64).view(np.int64), pa.int64())})
+
+    return Marks(items.mapInArrow(found, "h long").distinct(), "h")
+
+
 def window_size(n: int, size: int) -> int:
     """Tokens in a window of an item of n tokens."""
     return n if n < size else min(size, max(3, 2 * n // 5))
@@ -129,7 +156,7 @@ def _table(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(zip(*rows), fields, strict=True)], names=[name for name, _ in fields])
 
 
-def _item_windows(items: DataFrame, size: int) -> DataFrame:
+def _item_windows(items: DataFrame, lower: Marks, size: int) -> DataFrame:
     """id, at, size, exact, h, slots, tokens of the windows of items (id, text): the usable ones, and how many tokens are in
     those. Items of fewer than size tokens, and those without usable windows, have windows of the words as they stand."""
 
@@ -138,7 +165,7 @@ def _item_windows(items: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             out = []
             for key, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                codes, words = tokens(text, known)
+                codes, words = tokens(text, known, lower)
                 if not len(codes):
                     continue
                 own = window_size(len(codes), size)
@@ -155,7 +182,7 @@ def _item_windows(items: DataFrame, size: int) -> DataFrame:
     return items.mapInArrow(cut, _ITEMS)
 
 
-def _doc_windows(texts: DataFrame, marks: tuple[Marks, Marks], sizes: set[int], exact: set[int]) -> DataFrame:
+def _doc_windows(texts: DataFrame, lower: Marks, marks: tuple[Marks, Marks], sizes: set[int], exact: set[int]) -> DataFrame:
     """id, at, h, slots of the windows of texts (id, text), of the sizes, that marks name; exact: sizes of windows of the
     words as they stand."""
 
@@ -164,7 +191,7 @@ def _doc_windows(texts: DataFrame, marks: tuple[Marks, Marks], sizes: set[int],
         for batch in batches:
             out = []
             for key, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                codes, words = tokens(text, known)
+                codes, words = tokens(text, known, lower)
                 if not len(codes):
                     continue
                 for wanted, own, bare in ((sizes, codes, False), (exact, _exact(words) if exact else codes, True)):
@@ -189,12 +216,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, coverage:
     """
     common.small_batches(docs.sparkSession)
     items = benchmark.where("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("id"), common.text_or_empty().alias("text"))
-    items = common.materialize(_item_windows(items, size), "benchmark-windows")
+    lower = lower_words(items)
+    items = common.materialize(_item_windows(items, lower, size), "benchmark-windows")
     kinds = items.select("size", "exact").distinct().collect()
     texts = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("id"), common.text_or_empty().alias("text"))
     hashes = items.select("h", F.shiftright("h", _SHIFT).alias("high")).distinct()
     marks = Marks(hashes, "h"), Marks(hashes, "high")
-    found = _doc_windows(texts, marks, {k["size"] for k in kinds if not k["exact"]}, {k["size"] for k in kinds if k["exact"]})
+    found = _doc_windows(texts, lower, marks, {k["size"] for k in kinds if not k["exact"]}, {k["size"] for k in kinds if k["exact"]})
     found = found.select(F.col("id").alias("doc_id"), F.col("at").alias("doc_at"), "h", F.col("slots").alias("doc_slots"))
     sides = items.select(F.col("id").alias("item_id"), "at", "size", "h", "slots", "tokens")
     pairs = found.join(sides, "h").where(F.size("slots") == F.size("doc_slots"))

@@ -69,3 +69,9 @@ class Marks:
     def of(self, values: np.ndarray) -> np.ndarray:
         at = (_mixed(values) & self.mask).astype(np.int64)
         return (self.shared.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)
+
+    def has(self, value: int) -> bool:
+        """of() for a single value."""
+        mixed = value * int(_ODD) & 0xFFFFFFFFFFFFFFFF
+        at = (mixed ^ (mixed >> 32)) & int(self.mask)
+        return bool(self.shared.value[at >> 3] >> (7 - (at & 7)) & 1)

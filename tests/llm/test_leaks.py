@@ -44,3 +44,33 @@ def test_short_items_and_items_without_words_of_their_own(spark, documents):
     numbers = " ".join(str(i * i) for i in range(11, 23))
     docs = ["they ask Where is it kept now", numbers, " ".join(str(i * i + i % 2) for i in range(11, 23)), "where is it put now"]
     assert found(spark, documents, docs, ["Where is it kept", numbers]) == {(1, 1), (2, 2)}
+
+
+QUESTIONS = [
+    "{A} has {x} cows and {y} horses on a farm near {P}. If {A} buys {z} more cows, how many animals are there on the farm now?",
+    "A train leaves {P} at {t} and travels {x} {u} before it stops. After the stop it goes on for {y} {u}. How long is the whole way?",
+    "{A} reads {x} pages of a book every day. The book has {z} pages in all. How many days does it take {A} to finish the book?",
+    "In the school of {P} there are {x} classes with {y} pupils each. On Monday {z} pupils are ill. How many pupils come to school?",
+    "The garden of {A} is {x} {u} long and {y} {u} wide. What is the area of the garden, and how long is the fence around it?",
+    "{A} and {B} share {z} apples so that {A} gets {x} more than {B}. How many apples does each of the two get in the end?",
+    "How much does it cost to send {x} parcels from {P} if every parcel weighs {y} {v} and the post takes {t} for each of them?",
+]
+ENGLISH = "a and on if how many are there the at it in of with each is does to take all every so that gets more than from long before after".split()
+
+
+def asked(rng, question):
+    pick = lambda *values: values[rng.integers(len(values))]
+    number = lambda: pick("two", "nine", "twelve", str(rng.integers(2, 90)), str(rng.integers(100, 900)))
+    a, b = rng.permutation(["Tom", "Anna", "Mehmet", "Yuki", "Olga"])[:2]
+    return question.format(A=a, B=b, P=pick("Lisbon", "Oslo", "Quito"), x=number(), y=number(), z=number(), t=pick("5", "11", "seven"), u=pick("m", "ft", "km"), v=pick("g", "kg", "lb"))
+
+
+def test_questions_with_other_numbers_names_and_units(spark, documents):
+    rng = np.random.default_rng(12)
+    items = [asked(rng, q) for q in QUESTIONS] + [" ".join(ENGLISH)]
+    docs = [(k, asked(rng, q)) for k, q in enumerate(QUESTIONS, 1) for _ in range(15)]
+    clean = [" ".join(rng.choice(ENGLISH + words(9, 40), 60)) for _ in range(100)]
+    got = found(spark, documents, [t for _, t in docs] + clean, items)
+    right = {(i, k) for i, (k, _) in enumerate(docs, 1)}
+    assert len(got & right) >= 0.9 * len(right), len(got & right) / len(right)
+    assert got <= right
