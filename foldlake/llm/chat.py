@@ -1,6 +1,7 @@
 """Chat formatting: records of many layouts become canonical turns and then one marked text with a loss mask.
 
-The nested field paths of a record are hashed to its schema fingerprint, which selects a declarative mapping (Layout).
+The nested field paths of a record are hashed to its schema fingerprint, which selects a declarative mapping (Layout):
+that of the most required paths, all of which the record has. Other fields are allowed.
 The text marks turns with control strings; control strings inside roles and texts are escaped reversibly.
 """
 
@@ -12,11 +13,10 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import combinations
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldlake.llm import common
@@ -45,8 +45,9 @@ def unescape(text: str) -> str:
 class Layout:
     """How records of one layout become turns.
 
-    turns is the path of the list of messages, whose role and text fields are named; or it is empty and fields lists
-    pairs of role and field, in order. Fields in optional may be absent; empty optional texts give no turn. roles renames roles.
+    turns is the path of the list of messages, whose role and text fields are named, and fields lists what stands before
+    them; or turns is empty and fields lists pairs of role and field, in order. Fields in optional may be absent; empty
+    optional texts give no turn. roles renames roles.
     """
 
     name: str
@@ -57,29 +58,25 @@ class Layout:
     optional: tuple[str, ...] = ()
     roles: tuple[tuple[str, str], ...] = ()
 
-    def shapes(self) -> Iterator[frozenset[str]]:
-        """The sets of field paths of records of this layout."""
-        if self.turns:
-            base = {self.turns, f"{self.turns}[]", f"{self.turns}[].{self.role}", f"{self.turns}[].{self.text}"}
-            yield frozenset({self.turns})
-        else:
-            base = {field for _, field in self.fields} - set(self.optional)
-        for n in range(len(self.optional) + 1):
-            for some in combinations(self.optional, n):
-                yield frozenset(base | set(some))
+    def required(self) -> frozenset[str]:
+        """The field paths that a record of this layout has, an empty list of messages apart."""
+        fields = {field for _, field in self.fields} - set(self.optional)
+        return frozenset(fields | ({self.turns, f"{self.turns}[].{self.role}", f"{self.turns}[].{self.text}"} if self.turns else set()))
 
 
 _NAMES = (("human", "user"), ("gpt", "assistant"), ("bot", "assistant"), ("model", "assistant"))
+_SYSTEM = (("system", "system"),)
 LAYOUTS = (
-    Layout("messages", "messages", "role", "content"),
-    Layout("sharegpt", "conversations", "from", "value", optional=("id",), roles=_NAMES),
+    Layout("messages", "messages", "role", "content", _SYSTEM, ("system",)),
+    Layout("sharegpt", "conversations", "from", "value", _SYSTEM, ("system",), _NAMES),
+    Layout("conversation", "conversation", "role", "content", _SYSTEM, ("system",), _NAMES),
     Layout("dialogue", "dialogue", "speaker", "utterance", roles=_NAMES),
-    Layout("prompt", fields=(("system", "system"), ("user", "prompt"), ("assistant", "completion")), optional=("system",)),
-    Layout("response", fields=(("system", "system"), ("user", "prompt"), ("assistant", "response")), optional=("system",)),
-    Layout("question", fields=(("user", "question"), ("assistant", "answer"))),
+    Layout("prompt", fields=(*_SYSTEM, ("user", "prompt"), ("assistant", "completion")), optional=("system",)),
+    Layout("response", fields=(*_SYSTEM, ("user", "prompt"), ("assistant", "response")), optional=("system",)),
+    Layout("question", fields=(*_SYSTEM, ("user", "question"), ("assistant", "answer")), optional=("system",)),
     Layout(
         "instruction",
-        fields=(("system", "system"), ("user", "instruction"), ("user", "input"), ("assistant", "output")),
+        fields=(*_SYSTEM, ("user", "instruction"), ("user", "input"), ("assistant", "output")),
         optional=("system", "input"),
     ),
 )
@@ -101,26 +98,56 @@ def fingerprint(fields: set[str] | frozenset[str]) -> int:
     return xxhash.xxh64_intdigest("\n".join(sorted(fields))) - (1 << 63)
 
 
+class Mappings(dict):
+    """Layouts (or None) by fingerprint, of the schemas met so far, up to a bound."""
+
+    MOST = 10_000
+
+    def of(self, mark: int, fields: set[str]) -> Layout | None:
+        if mark not in self:
+            if len(self) >= self.MOST:
+                self.clear()
+            fits = [x for x in LAYOUTS if x.required() <= fields or x.turns and x.turns in fields and f"{x.turns}[]" not in fields]
+            self[mark] = max(fits, key=lambda x: len(x.required()), default=None)
+        return self[mark]
+
+
 @lru_cache(1)
-def mappings() -> dict[int, Layout]:
-    return {fingerprint(shape): layout for layout in LAYOUTS for shape in layout.shapes()}
+def mappings() -> Mappings:
+    return Mappings()
+
+
+def text_of(value) -> str:
+    """The text of a field: of a list of parts their texts one after the other, of other parts (images) none."""
+    if isinstance(value, str):
+        return value
+    if value is None:
+        return ""
+    if isinstance(value, list):
+        return "".join(map(text_of, value))
+    if isinstance(value, dict):
+        return text_of(value.get("text"))
+    return json.dumps(value)
 
 
 def turns_of(record: dict, layout: Layout) -> list[tuple[str, str]]:
-    """The canonical turns of a record; null roles and texts are empty."""
+    """The canonical turns of a record; null roles and texts are empty, and what stands among messages but is none is a
+    text without role."""
     renamed = dict(layout.roles)
-    if layout.turns:
-        found = [(str(m.get(layout.role) or ""), m.get(layout.text) or "") for m in record[layout.turns] or ()]
-        return [(renamed.get(role, role), str(text)) for role, text in found]
     out: list[tuple[str, str]] = []
     for role, field in layout.fields:
-        text = str(record.get(field) or "")
+        text = text_of(record.get(field))
         if field in layout.optional and not text:
             continue
         if out and out[-1][0] == role:
             out[-1] = (role, f"{out[-1][1]}\n\n{text}")
         else:
             out.append((role, text))
+    if layout.turns:
+        messages = record[layout.turns]
+        for m in messages if isinstance(messages, list) else []:
+            role, text = (text_of(m.get(layout.role)), text_of(m.get(layout.text))) if isinstance(m, dict) else ("", text_of(m))
+            out.append((renamed.get(role, role), text))
     return out
 
 
@@ -157,8 +184,9 @@ def format_records(records: DataFrame) -> DataFrame:
                     record = json.loads(text or "null")
                 except ValueError:
                     record = None
-                mark = fingerprint(set(paths(record))) if isinstance(record, dict) else None
-                layout = known.get(mark)
+                fields = set(paths(record)) if isinstance(record, dict) else set()
+                mark = fingerprint(fields) if isinstance(record, dict) else None
+                layout = known.of(mark, fields) if fields else None
                 turns = turns_of(record, layout) if layout else []
                 out.append((mark, layout.name if layout else None, len(turns), *render(turns)))
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.list_(pa.int32()))
@@ -173,15 +201,27 @@ def format_records(records: DataFrame) -> DataFrame:
 
 
 def records_of(rows: DataFrame) -> DataFrame:
-    """conv_id and record of the layout `messages` from rows of single turns (conv_id, turn, role, text).
+    """conv_id and record from rows of single turns (conv_id, turn, role, text), in three layouts chosen by the id's crc32:
+    messages, messages whose contents are lists of parts, and from/value pairs.
 
     Turns are ordered by turn, then role and text, nulls first; repeated turns stay. A null conv_id is a conversation of
-    its own. The turns of one conversation meet in one row, as it is one record.
+    its own. Conversations with a role that the third layout renames are messages. The turns of one conversation meet in
+    one row, as it is one record.
     """
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content"))
     groups = rows.groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    messages = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
-    return groups.select("conv_id", F.to_json(F.struct(messages.alias("messages")), {"ignoreNullFields": "false"}).alias("record"))
+    part = lambda text: F.array(F.struct(F.lit("text").alias("type"), text.alias("text")))
+    plain = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
+    parts = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), part(t["content"]).alias("content")))
+    pairs = F.transform("turns", lambda t: F.struct(t["role"].alias("from"), t["content"].alias("value")))
+    kind = F.coalesce(F.crc32(F.col("conv_id").cast("string").cast("binary")) % 3, F.lit(0))
+    renamed = F.exists("turns", lambda t: t["role"].isin([name for name, _ in _NAMES]))
+
+    def json_of(name: str, value: Column) -> Column:
+        return F.to_json(F.struct(F.col("conv_id").alias("id"), value.alias(name)), {"ignoreNullFields": "false"})
+
+    record = F.when((kind == 1), json_of("messages", parts)).when((kind == 2) & ~renamed, json_of("conversations", pairs))
+    return groups.select("conv_id", record.otherwise(json_of("messages", plain)).alias("record"))
 
 
 def digests(formatted: DataFrame) -> DataFrame:
