@@ -11,7 +11,7 @@ Jaccard similarity t or more share t times the larger size at least, so
 
 The boundary is the size at which enumerating costs least in all, given the sizes of the sets and the mean length of the
 inverted lists. Of inverted lists with the same members one is scanned. Within a list a set first proposes those that
-look most similar before and after it, in blocks of at most about BLOCK that meet themselves; only in lists of three and
+look most similar before and after it, in blocks of about OWN_BLOCK that meet themselves; only in lists of three and
 more whose members these links leave apart, all pairs are proposed that the size and bitmap bounds allow. So groups of
 copies of any size take a number of rows near their size, and still no link between components is lost. Proposed pairs
 are verified on the whole sets. Tables are dropped once their successors are written.
@@ -41,7 +41,8 @@ SKETCH_BITS = 22
 SMALL_MOST = 24
 #: What comparing a posting with another member of its list costs, in postings.
 COMPARED = 8
-BLOCK = 2048
+#: Members of a list that meet each other first, and members of a block of what is compared afterwards.
+OWN_BLOCK, BLOCK = 512, 2048
 BITMAP_BYTES = 128
 WIDEST_BITS = 1 << 17
 
@@ -299,7 +300,7 @@ def in_blocks(postings: DataFrame) -> DataFrame:
 
 def own_blocks(postings: DataFrame) -> DataFrame:
     """Adds i, j and own so that each block of a list meets itself only: one row for each posting."""
-    own = F.pmod(F.xxhash64("node", "key"), F.ceil(F.col("c") / BLOCK)).cast("int")
+    own = F.pmod(F.xxhash64("node", "key"), F.ceil(F.col("c") / OWN_BLOCK)).cast("int")
     return postings.select("*", own.alias("own"), own.alias("i"), own.alias("j"))
 
 
