@@ -39,10 +39,10 @@ def chain_sequence(atoms: DataFrame, by_number: bool = True) -> DataFrame:
     return out.select("structure_id", F.array_join(F.transform("r", lambda x: x["letter"]), "").alias("sequence"), F.transform("r", lambda x: F.struct(x["chain"], x["number"])).alias("places"))
 
 
-def counterparts(human: DataFrame, mouse: DataFrame) -> DataFrame:
-    """structure_id, chain, number, m_chain, m_number: mouse residues aligned to human ones. Both sides are keyed by the
-    structure_id of the pair."""
-    a = chain_sequence(human).select("structure_id", F.col("sequence").alias("sa"), F.col("places").alias("pa"))
+def counterparts(human: DataFrame, mouse: DataFrame, by_number: bool = True) -> DataFrame:
+    """structure_id, chain, number, m_chain, m_number: mouse residues aligned to human ones, which are taken by number or
+    in file order. Both sides are keyed by the structure_id of the pair."""
+    a = chain_sequence(human, by_number).select("structure_id", F.col("sequence").alias("sa"), F.col("places").alias("pa"))
     b = chain_sequence(mouse, by_number=False).select("structure_id", F.col("sequence").alias("sb"), F.col("places").alias("pb"))
     pairs = a.join(b, "structure_id").withColumn("p", F.explode(affine_pairs("sa", "sb")))
     at, to = F.get("pa", F.col("p.a")), F.get("pb", F.col("p.b"))
@@ -71,3 +71,11 @@ def validate(human: DataFrame, antibody: DataFrame, mouse: DataFrame, distance:
     out = counts.join(same, "structure_id", "left").join(far, "structure_id", "left")
     out = out.withColumn("epitope_identity", F.coalesce("epitope_identity", F.lit(0.0))).withColumn("epitope_rmsd", F.coalesce("epitope_rmsd", F.lit(float("inf"))))
     return out.withColumn("is_consistent", (F.col("epitope_identity") >= identity) & (F.col("epitope_rmsd") <= rmsd))
+
+
+def carbon_pairs(human: DataFrame, mouse: DataFrame) -> DataFrame:
+    """structure_id, x, y, z, fx, fy, fz: alpha carbons of mouse residues and of the human ones that they are aligned to."""
+    left = alpha_carbons(human).select("structure_id", "chain", "number", *[F.col(c).alias(f"f{c}") for c in "xyz"])
+    right = alpha_carbons(mouse).select("structure_id", F.col("chain").alias("m_chain"), F.col("number").alias("m_number"), "x", "y", "z")
+    both = counterparts(human, mouse, by_number=False).join(left, ["structure_id", "chain", "number"]).join(right, ["structure_id", "m_chain", "m_number"])
+    return both.select("structure_id", "x", "y", "z", "fx", "fy", "fz")

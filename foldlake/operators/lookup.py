@@ -16,17 +16,43 @@ def first_match(left: DataFrame, right: DataFrame, on: Sequence[str], order: Seq
     return left.join(first_rows(right, on, order), list(on), "left")
 
 
+#: Lengths of the pieces by which names are found that hold a key.
+PIECES = (1, 2, 4, 8)
+
+
+def holding(keys: DataFrame, names: DataFrame, key: str, name: str) -> DataFrame:
+    """key, name: the distinct pairs in which the name holds the key; empty keys are in none.
+
+    Names are indexed by their pieces, at most one of each length of PIECES for each character, and a key meets the names
+    that have its first piece of the greatest length it reaches. So both sides meet in an equi-join, not each with all.
+    """
+    wanted = keys.select(F.col(key).alias("_k")).where("_k <> ''").distinct()
+    size = F.lit(0)
+    for length in PIECES:
+        size = F.when(F.length("_k") >= length, F.lit(length)).otherwise(size)
+    wanted = wanted.withColumn("_size", size).withColumn("_piece", F.expr("substring(_k, 1, _size)"))
+    pieces = [
+        F.expr(f"IF(length(_n) >= {x}, transform(sequence(1, length(_n) - {x - 1}), i -> struct({x} AS size, substring(_n, i, {x}) AS piece)), array())")
+        for x in PIECES
+    ]
+    index = names.select(F.col(name).alias("_n")).where("_n <> ''").distinct()
+    index = index.select("_n", F.explode(F.array_distinct(F.concat(*pieces))).alias("_p"))
+    index = index.select("_n", F.col("_p.size").alias("_size"), F.col("_p.piece").alias("_piece"))
+    met = wanted.join(index, ["_size", "_piece"]).where(F.col("_n").contains(F.col("_k")))
+    return met.select(F.col("_k").alias(key), F.col("_n").alias(name))
+
+
 def tiered(left: DataFrame, right: DataFrame, key: str, name: str) -> DataFrame:
     """Rows of right for each row of left, with tier: 1 where names are equal, trimmed and in lower case; for rows of
     left without any such match, 2 where the name holds left's key. Empty keys match nothing.
 
-    The exact tier is an equi-join. Only keys that it leaves over meet all names, each of both once.
+    Both tiers are equi-joins: of whole names, and of pieces of them for the keys that are left over (holding).
     """
     wanted = left.withColumn("_key", F.lower(F.trim(key)))
     named = right.withColumn("_name", F.lower(F.trim(name)))
     exact = wanted.join(named, F.col("_key") == F.col("_name")).withColumn("tier", F.lit(1))
     rest = wanted.join(named.select(F.col("_name").alias("_key")).distinct(), "_key", "left_anti").where("_key <> ''")
-    found = rest.select("_key").distinct().join(named.select("_name").distinct(), F.col("_name").contains(F.col("_key"))).withColumn("tier", F.lit(2))
+    found = holding(rest, named, "_key", "_name").withColumn("tier", F.lit(2))
     partial = rest.join(found, "_key").join(named, "_name").select(exact.columns)
     return exact.unionByName(partial).drop("_key", "_name")
 
@@ -68,6 +94,7 @@ def complex_status(threshold: float, dry_run: bool) -> tuple[Column, Column]:
     own = F.col("sabdab_pdb").isNotNull()
     low = ~own & (F.col("identity") < threshold)
     message = F.format_string("Sequence identity %.1f%% below threshold", F.col("identity"))
+    # The messages of the build's table.
     cases = [
         (F.col("uniprot").isNull(), "failed", "Could not map antigen chain to UniProt"),
         (F.col("protein_name_found").isNull(), "failed", "Could not retrieve UniProt info"),

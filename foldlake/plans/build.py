@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldlake.functions.alignment import lcs_identity
@@ -46,15 +46,26 @@ def mouse_candidates(df: DataFrame, wanted: DataFrame, options: Options) -> Data
 
 
 def orthologs(proteins: DataFrame, options: Options) -> DataFrame:
-    """For each human protein: the first reviewed mouse protein of its gene, else the most identical one whose gene
-    matches in any case or holds it."""
-    own = proteins.where((F.col("taxon_id") == HUMAN) & (F.col("gene_name") != "")).select(F.col("accession").alias("uniprot"), "gene_name", F.col("sequence").alias("own"))
-    mice = proteins.where(F.col("taxon_id") == MOUSE).select(F.col("accession").alias("ortholog"), F.col("gene_name").alias("mouse_gene"), F.col("sequence").alias("other"), "reviewed")
-    exact = own.join(mice.where("reviewed"), F.col("gene_name") == F.col("mouse_gene"))
-    rest = own.join(exact.select("uniprot").distinct(), "uniprot", "left_anti")
-    broad = rest.join(mice, F.lower("mouse_gene").contains(F.lower("gene_name")))
-    broad = broad.withColumn("identity", lcs_identity("own", "other"))
-    both = lookup.fallback(own, exact.withColumn("identity", lcs_identity("own", "other")), broad, "uniprot", "identity", ["ortholog"])
+    """For each human protein: the first reviewed mouse protein of its gene, of the first exact_hits ones; else the most
+    identical one of the first broad_hits whose gene matches in any case or holds it. Hits are in order of hit_rank (if
+    proteins has it) and accession. Genes meet by pieces of their names; sequences travel with the hits only."""
+    ranked = proteins if "hit_rank" in proteins.columns else proteins.withColumn("hit_rank", F.lit(None).cast("int"))
+    own = ranked.where((F.col("taxon_id") == HUMAN) & (F.col("gene_name") != "")).select(F.col("accession").alias("uniprot"), "gene_name", F.col("sequence").alias("own"))
+    mice = ranked.where(F.col("taxon_id") == MOUSE).select(F.col("accession").alias("ortholog"), F.col("gene_name").alias("mouse_gene"), F.col("sequence").alias("other"), "reviewed", "hit_rank")
+    order = [F.col("hit_rank").asc_nulls_last(), "ortholog"]
+    names = mice.select("ortholog", "mouse_gene", "reviewed", "hit_rank").withColumn("_low", F.lower("mouse_gene"))
+    genes = own.select("uniprot", "gene_name")
+
+    def hits(found: DataFrame, most: int) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy("uniprot").orderBy(*order))
+        few = found.withColumn("_hit", rank).where(F.col("_hit") <= most).select("uniprot", "ortholog", "hit_rank")
+        return few.join(own, "uniprot").join(mice.drop("hit_rank"), "ortholog").withColumn("identity", lcs_identity("own", "other"))
+
+    exact = genes.join(names.where("reviewed"), F.col("gene_name") == F.col("mouse_gene"))
+    rest = genes.join(exact.select("uniprot").distinct(), "uniprot", "left_anti").withColumn("_key", F.lower("gene_name"))
+    held = lookup.holding(rest, names, "_key", "_low")
+    broad = rest.join(held, "_key").join(names, "_low")
+    both = lookup.fallback(own, hits(exact, options.exact_hits), hits(broad, options.broad_hits), "uniprot", "identity", order)
     return both.select("uniprot", "ortholog", "mouse_gene", "identity")
 
 
@@ -101,39 +112,51 @@ def data_points(df: DataFrame, chain_map: DataFrame, proteins: DataFrame, struct
     )
 
 
+def pair_name():
+    """The name of a point's pair, safe for files."""
+    return F.concat_ws("_", sanitize("gene_name", "Human"), sanitize("mouse_gene_name", "Mouse"))
+
+
+#: Columns of a data point, in the order of the summary table.
+FIELDS = (
+    "id pdb_id_human pdb_id_mouse human_antigen_chain mouse_antigen_chain heavy_chain light_chain human_uniprot mouse_uniprot"
+    " gene_name protein_name sequence_identity resolution_human resolution_mouse alignment_rmsd status error_message created_at"
+    " human_antigen_chains epitope_identity epitope_rmsd epitope_consistent mouse_structure_source mouse_gene_name"
+).split()
+
+
 def pairs(points: DataFrame) -> DataFrame:
-    """The pairs table, a row for each success: names made safe for files, the parts of each side, the measures. Measures
-    that points lacks (alignment_rmsd, epitope_*) are null."""
+    """The pairs table, a row for each success: names made safe for files, the parts of each side with the files that the
+    structure phases write, the measures. Measures that points lacks (alignment_rmsd, epitope_*) are null."""
     kinds = {"alignment_rmsd": "double", "epitope_identity": "double", "epitope_rmsd": "double", "epitope_consistent": "boolean"}
     for name, kind in kinds.items():
         if name not in points.columns:
             points = points.withColumn(name, F.lit(None).cast(kind))
-    pair = F.concat_ws("_", sanitize("gene_name", "Human"), sanitize("mouse_gene_name", "Mouse"))
-    folder = F.concat(F.lit("HumanMouse/"), F.col("pair_name"))
+    split = F.concat(F.lit("SAbDab/{0}/"), F.col("pdb_id_human"), F.lit("_{0}.cif"))
 
-    def file(name: str):
-        return F.concat(folder, F.lit("/"), F.col("pair_name"), F.lit(f"_{name}.cif"))
+    def part(name: str):
+        return F.replace(split, F.lit("{0}"), F.lit(name))
 
     columns = {
-        "pair_dir": folder,
+        "pair_dir": F.concat(F.lit("HumanMouse/"), F.col("pair_name")),
         "human_antigen_pdb": F.col("pdb_id_human"),
         "human_antigen_chains": F.array_join("human_antigen_chains", ","),
         "human_antigen_gene": F.col("gene_name"),
         "human_antigen_uniprot": F.col("human_uniprot"),
         "human_antigen_name": F.col("protein_name"),
-        "human_antigen_file": file("human_ag"),
+        "human_antigen_file": part("antigen"),
         "mouse_antigen_pdb": F.col("pdb_id_mouse"),
         "mouse_antigen_chain": F.col("mouse_antigen_chain"),
         "mouse_antigen_gene": F.col("mouse_gene_name"),
         "mouse_antigen_uniprot": F.col("mouse_uniprot"),
         "mouse_antigen_source": F.col("mouse_structure_source"),
-        "mouse_antigen_file": file("mouse_ag"),
+        "mouse_antigen_file": F.concat(F.lit("MouseAntigen/"), sanitize("mouse_gene_name", "Mouse"), F.lit(".cif")),
         "antibody_pdb": F.col("pdb_id_human"),
         "antibody_heavy_chain": F.col("heavy_chain"),
         "antibody_light_chain": F.col("light_chain"),
-        "antibody_file": file("antibody"),
+        "antibody_file": part("antibody"),
     }
-    ok = points.where("status = 'success'").withColumn("pair_name", pair)
+    ok = points.where("status = 'success'").withColumn("pair_name", pair_name())
     return ok.select("pair_name", *[c.alias(n) for n, c in columns.items()], "sequence_identity", *kinds)
 
 

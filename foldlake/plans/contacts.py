@@ -46,10 +46,13 @@ def filter_contacts(rows: DataFrame, antibody: DataFrame, antigen: DataFrame, di
 
 
 def triplets(pairs: DataFrame, existing: DataFrame, files: tuple[str, ...] = ("human_antigen_file", "mouse_antigen_file", "antibody_file")) -> DataFrame:
-    """pairs with triplet_name and complete: whether every file that the row names is in existing (path)."""
+    """pairs with triplet_name (of both genes and the human entry) and complete: whether every file that the row names is
+    in existing (path)."""
     known = existing.select("path").distinct()
     out = pairs.withColumn("complete", F.lit(True))
     for name in files:
         seen = known.select(F.col("path").alias(name), F.lit(True).alias("_seen"))
         out = out.join(seen, name, "left").withColumn("complete", F.col("complete") & F.col("_seen").isNotNull()).drop("_seen")
-    return out.withColumn("triplet_name", F.concat(F.lit("triplet_"), "pair_name"))
+    parts = ("human_antigen_gene", "mouse_antigen_gene", "human_antigen_pdb")
+    named = F.concat_ws("_", *parts) if set(parts) <= set(pairs.columns) else F.concat(F.lit("triplet_"), "pair_name")
+    return out.withColumn("triplet_name", named)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Texts that stand for a missing value; fixed values.
-MISSING = ("", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "n/a", "<NA>", "#N/A", "-nan", "-NaN")
+MISSING = ("", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "n/a", "<NA>", "#N/A", "#NA", "#N/A N/A", "-nan", "-NaN", "-1.#IND", "-1.#QNAN", "1.#IND", "1.#QNAN")
 
 
 def fetch(url: str, path: str, force: bool = False, timeout: float = 60.0) -> str:

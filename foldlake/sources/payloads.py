@@ -17,8 +17,10 @@ ENTITY = "entity_poly struct<pdbx_strand_id:string>"
 
 
 def proteins(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """accession, gene_name, taxon_id, organism, sequence, sequence_length, protein_name, ensembl_ids, reviewed."""
-    p = df.select(F.from_json(payload, PROTEIN).alias("p")).where("p IS NOT NULL")
+    """accession, gene_name, taxon_id, organism, sequence, sequence_length, protein_name, ensembl_ids, reviewed,
+    hit_rank (the column rank of df, the place of the protein among the hits of its search, if there is one)."""
+    rank = F.col("rank") if "rank" in df.columns else F.lit(None)
+    p = df.select(F.from_json(payload, PROTEIN).alias("p"), rank.cast("int").alias("hit_rank")).where("p IS NOT NULL")
     ids = F.transform(F.filter(F.coalesce("p.uniProtKBCrossReferences", F.array()), lambda x: x["database"] == "Ensembl"), lambda x: x["id"])
     gene = F.try_element_at("p.genes", F.lit(1))["geneName"]["value"]
     return p.select(
@@ -31,6 +33,7 @@ def proteins(df: DataFrame, payload: str = "payload") -> DataFrame:
         F.coalesce("p.proteinDescription.recommendedName.fullName.value", F.lit("Unknown")).alias("protein_name"),
         ids.alias("ensembl_ids"),
         F.coalesce(F.col("p.entryType").contains("reviewed") & ~F.col("p.entryType").contains("unreviewed"), F.lit(True)).alias("reviewed"),
+        "hit_rank",
     )
 
 

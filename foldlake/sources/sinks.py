@@ -55,22 +55,26 @@ def structure_files(atoms: DataFrame, key: str = "structure_id") -> DataFrame:
     return pdb_lines(atoms).groupBy(key).agg(F.concat(body, F.lit("\nEND\n")).alias("text"))
 
 
-def write_texts(df: DataFrame, out: str, key: str, text: str, suffix: str) -> DataFrame:
-    """Writes text of each row to out/key + suffix, under its name only when whole; returns key, path. The folder must be
-    one that all executors share."""
+def write_texts(df: DataFrame, out: str, key: str, text: str, suffix: str = "") -> DataFrame:
+    """Writes text (a string, or bytes) of each row to out/key + suffix, under its name only when whole; returns key,
+    path. Keys may name folders below out. The folder must be one that all executors share."""
+    kind = dict(df.dtypes)[text]
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from uuid import uuid4
+
         from pyarrow import fs
 
         system, base = fs.FileSystem.from_uri(out)
-        system.create_dir(base, recursive=True)
         for batch in batches:
             done = []
             for name, body in zip(batch[key], batch[text], strict=True):
                 path = f"{base}/{name}{suffix}"
-                with system.open_output_stream(f"{path}.part") as stream:
-                    stream.write((body or "").encode())
-                system.move(f"{path}.part", path)
+                system.create_dir(path.rpartition("/")[0], recursive=True)
+                part = f"{path}.{uuid4().hex}.part"
+                with system.open_output_stream(part) as stream:
+                    stream.write(bytes(body or b"") if kind == "binary" else (body or "").encode())
+                system.move(part, path)
                 done.append((name, path))
             yield pd.DataFrame(done, columns=[key, "path"])
 

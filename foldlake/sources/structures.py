@@ -133,33 +133,42 @@ def pdb_atoms(structure: str, text: str) -> list[tuple]:
     return out
 
 
-def _structure_id(path: str) -> str:
-    return re.sub(r"\.(cif|mmcif|pdb|ent)$", "", path.rsplit("/", 1)[-1], flags=re.I)
-
-
 def files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """path and content of the files below a folder."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path).select("path", "content")
 
 
+def _keyed(found: DataFrame) -> DataFrame:
+    """found with structure_id: its own, or the stem of the file's name. Files of one name in several folders need ids of
+    their own (relative_id)."""
+    stem = F.regexp_replace(F.regexp_extract("path", r"([^/]*)$", 1), r"(?i)\.(cif|mmcif|pdb|ent)$", "")
+    return found if "structure_id" in found.columns else found.withColumn("structure_id", stem)
+
+
+def relative_id(found: DataFrame, base: str) -> DataFrame:
+    """found with structure_id: the path below the folder base, without suffix, so that no two files share one."""
+    path = F.regexp_replace("path", r"^[a-z0-9]+:/+", "/")
+    below = F.regexp_replace(path, F.lit("^.*" + re.escape("/" + base.strip("/") + "/").replace("\\/", "/")), F.lit(""))
+    return found.withColumn("structure_id", F.regexp_replace(below, r"(?i)\.(cif|mmcif|pdb|ent)$", ""))
+
+
 def _parsed(found: DataFrame, schema: str, parse) -> DataFrame:
     names = [c.split()[0] for c in schema.split(",")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"], strict=True):
-                rows = parse(path, bytes(content).decode("utf-8", "replace"))
+            for path, key, content in zip(batch["path"], batch["structure_id"], batch["content"], strict=True):
+                rows = parse(path, key, bytes(content).decode("utf-8", "replace"))
                 if rows:
                     yield pd.DataFrame(rows, columns=names)
 
-    return found.mapInPandas(run, schema)
+    return _keyed(found).select("path", "structure_id", "content").mapInPandas(run, schema)
 
 
 def atom_site(found: DataFrame) -> DataFrame:
     """Atoms of mmCIF and PDB files, in file order by atom_serial."""
 
-    def parse(path: str, text: str) -> list[tuple]:
-        structure = _structure_id(path)
+    def parse(path: str, structure: str, text: str) -> list[tuple]:
         try:
             rows = pdb_atoms(structure, text) if path.lower().endswith((".pdb", ".ent")) else cif_atoms(structure, text)
             error = None if rows else "no atoms"
@@ -173,10 +182,10 @@ def atom_site(found: DataFrame) -> DataFrame:
 def entity_poly(found: DataFrame) -> DataFrame:
     """Polymer entities of mmCIF files, with their sequence text and comma list of strands."""
 
-    def parse(path: str, text: str) -> list[tuple]:
+    def parse(path: str, structure: str, text: str) -> list[tuple]:
         rows = cif_tables(text).get("_entity_poly", ())
         get = ("entity_id", "pdbx_seq_one_letter_code", "pdbx_strand_id", "type")
-        return [(_structure_id(path), *(r.get(k) for k in get)) for r in rows]
+        return [(structure, *(r.get(k) for k in get)) for r in rows]
 
     return _parsed(found, ENTITY_POLY, parse)
 
@@ -184,9 +193,9 @@ def entity_poly(found: DataFrame) -> DataFrame:
 def struct_conn(found: DataFrame) -> DataFrame:
     """Connections of mmCIF files."""
 
-    def parse(path: str, text: str) -> list[tuple]:
+    def parse(path: str, structure: str, text: str) -> list[tuple]:
         get = ["conn_type_id"] + [f"ptnr{i}_label_{k}_id" for i in (1, 2) for k in ("asym", "seq", "comp")]
-        return [(_structure_id(path), *(r.get(k) for k in get)) for r in cif_tables(text).get("_struct_conn", ())]
+        return [(structure, *(r.get(k) for k in get)) for r in cif_tables(text).get("_struct_conn", ())]
 
     return _parsed(found, STRUCT_CONN, parse)
 
@@ -194,13 +203,13 @@ def struct_conn(found: DataFrame) -> DataFrame:
 def refine(found: DataFrame) -> DataFrame:
     """Resolution of each file, from the refinement category or the REMARK 2 line; null if it has none."""
 
-    def parse(path: str, text: str) -> list[tuple]:
+    def parse(path: str, structure: str, text: str) -> list[tuple]:
         if path.lower().endswith((".pdb", ".ent")):
             got = re.search(r"^REMARK   2 RESOLUTION\.\s+([0-9.]+)", text, re.M)
             value = _number(got[1]) if got else None
         else:
             value = _number((cif_tables(text).get("_refine") or [{}])[0].get("ls_d_res_high"))
-        return [(_structure_id(path), value)]
+        return [(structure, value)]
 
     return _parsed(found, REFINE, parse)
 
@@ -237,19 +246,23 @@ def cif_text(name: str, tables: dict[str, list[dict[str, str | None]]]) -> str:
 def cif_texts(found: DataFrame) -> DataFrame:
     """structure_id, text of mmCIF files (path, content) with the atoms of some chains, moved; other categories stay.
 
-    Columns chains (author chains to keep, null or empty for all), rotation (nine numbers by rows) and shift (null: stay
-    in place) say what to do with each file. Water is dropped. A file without atoms gives a text without them.
+    Columns chains (author chains to keep, null or empty for all), rotation (nine numbers by rows), shift (null: stay in
+    place) and, if there is one, hetero (false: leave hetero atoms out) say what to do with each file. Water is dropped. A
+    file without atoms gives a text without them; a PDB file gives its atoms.
     """
 
     def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for path, content, chains, turn, shift in batch[["path", "content", "chains", "rotation", "shift"]].itertuples(index=False):
-                tables = cif_tables(bytes(content).decode("utf-8", "replace"))
+            for path, name, content, chains, turn, shift, hetero in batch[list(names)].itertuples(index=False):
+                text = bytes(content).decode("utf-8", "replace")
+                tables = {"_atom_site": [_site(r) for r in pdb_atoms(name, text)]} if path.lower().endswith((".pdb", ".ent")) else cif_tables(text)
                 rows, keep = [], set() if chains is None else set(chains)
                 for row in tables.get("_atom_site", ()):
                     if row.get("label_comp_id") == "HOH" or keep and (row.get("auth_asym_id") or row.get("label_asym_id")) not in keep:
                         continue
+                    if not hetero and row.get("group_PDB") == "HETATM":
+                        continue
                     if turn is not None and shift is not None:
                         at = [_number(row.get(f"Cartn_{c}")) or 0.0 for c in "xyz"]
                         moved = [sum(turn[3 * i + j] * at[j] for j in range(3)) + shift[i] for i in range(3)]
@@ -257,8 +270,18 @@ def cif_texts(found: DataFrame) -> DataFrame:
                     rows.append(row)
                 if "_atom_site" in tables:
                     tables["_atom_site"] = rows
-                name = _structure_id(path)
-                out.append((name, cif_text(name, tables)))
+                out.append((name, cif_text(name.rsplit("/", 1)[-1], tables)))
             yield pd.DataFrame(out, columns=["structure_id", "text"])
 
-    return found.select("path", "content", "chains", "rotation", "shift").mapInPandas(convert, "structure_id string, text string")
+    names = ("path", "structure_id", "content", "chains", "rotation", "shift", "hetero")
+    found = _keyed(found)
+    found = found if "hetero" in found.columns else found.withColumn("hetero", F.lit(True))
+    return found.select(*names).mapInPandas(convert, "structure_id string, text string")
+
+
+def _site(row: tuple) -> dict[str, str | None]:
+    """An atom of a PDB file as a row of the mmCIF category."""
+    _, model, serial, group, label, auth, comp, seq, auth_seq, ins, atom, alt, occupancy, b_factor, element, x, y, z, _ = row
+    plain = {"group_PDB": group, "id": serial + 1, "type_symbol": element, "label_atom_id": atom, "label_alt_id": alt, "label_comp_id": comp, "label_asym_id": label, "label_seq_id": seq}
+    plain |= {"pdbx_PDB_ins_code": ins, "Cartn_x": x, "Cartn_y": y, "Cartn_z": z, "occupancy": occupancy, "B_iso_or_equiv": b_factor, "auth_seq_id": auth_seq, "auth_asym_id": auth, "pdbx_PDB_model_num": model}
+    return {k: None if v is None else str(v) for k, v in plain.items()}

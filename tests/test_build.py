@@ -50,8 +50,8 @@ def test_build(spark, tmp_path):
     pairs = build.pairs(build.data_points(df, chains, proteins, structures, entity, build.Options()))
     assert len(pairs.columns) == 23
     assert {(r.pair_name, r.human_antigen_chains, r.mouse_antigen_file) for r in pairs.collect()} == {
-        ("A1_A1", "A,B", "HumanMouse/A1_A1/A1_A1_mouse_ag.cif"),
-        ("B1_B1", "C", "HumanMouse/B1_B1/B1_B1_mouse_ag.cif"),
+        ("A1_A1", "A,B", "MouseAntigen/A1.cif"),
+        ("B1_B1", "C", "MouseAntigen/B1.cif"),
     }
     dry = build.data_points(df, chains, proteins, structures, entity, build.Options(dry_run=True))
     assert {r.status for r in dry.collect()} == {"failed", "dry_run"}
@@ -67,3 +67,15 @@ def test_stream(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert sorted(r.pdb for r in spark.table("kept").collect()) == ["2BBB", "4DDD", "5FUO", "6EEE"]
+
+
+def test_hits_are_limited_and_ordered(spark):
+    schema = "accession string, gene_name string, taxon_id int, sequence string, protein_name string, reviewed boolean, hit_rank int"
+    human = [("U1", "A1", 9606, "ACDE", "x", True, 0), ("U2", "B1", 9606, "ACDE", "x", True, 0)]
+    exact = [(f"M{9 - i}", "A1", 10090, "ACDF" if i else "AAAA", "x", True, i) for i in range(4)]
+    broad = [(f"N{i:02}", f"b1{i}", 10090, "ACDE" if i == 12 else "ACDD" if i == 9 else "AAAA", "x", False, i) for i in range(13)]
+    got = {r.uniprot: (r.ortholog, r.identity) for r in build.orthologs(spark.createDataFrame(human + exact + broad, schema), build.Options()).collect()}
+    assert got["U1"][0] == "M9"  # the first hit, not the first accession or the most identical one
+    assert got["U2"][0] == "N09"  # the most identical of the first ten hits
+    plan = build.orthologs(spark.createDataFrame(human + exact + broad, schema), build.Options())._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
