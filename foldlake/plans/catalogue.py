@@ -78,8 +78,8 @@ def best_candidate(t):
     return out.select("l_partkey", "l_orderkey", "l_suppkey", "l_linenumber")
 
 
-@query("""WITH k AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS q FROM part UNION SELECT DISTINCT p_name FROM part WHERE p_partkey <= 20),
-p AS (SELECT p_partkey, p_name FROM part WHERE p_partkey <= 200),
+@query("""WITH k AS (SELECT DISTINCT split_part(p_name, ' ', 1) AS q FROM part UNION SELECT DISTINCT p_name FROM part),
+p AS (SELECT p_partkey, p_name FROM part),
 ex AS (SELECT q, p_partkey, 1 AS tier FROM k JOIN p ON lower(trim(q)) = lower(trim(p_name))),
 pa AS (SELECT q, p_partkey, 2 AS tier FROM k JOIN p ON lower(trim(q)) <> '' AND contains(lower(trim(p_name)), lower(trim(q)))
 WHERE NOT EXISTS (SELECT 1 FROM ex WHERE ex.q = k.q))
@@ -177,8 +177,8 @@ def _points(t, mark: str, first: bool) -> DataFrame:
     return _side(t, first).select(F.col("vec_id").alias(f"{mark}_id"), F.col("label").alias("label"), *xyz)
 
 
-_NEAR = """WITH g AS (SELECT vec_id AS g_id, label, CAST(embedding[1] AS DOUBLE)*10 AS gx, CAST(embedding[2] AS DOUBLE)*10 AS gy, CAST(embedding[3] AS DOUBLE)*10 AS gz FROM embeddings WHERE vec_id < 250),
-b AS (SELECT vec_id AS b_id, label, CAST(embedding[1] AS DOUBLE)*10 AS bx, CAST(embedding[2] AS DOUBLE)*10 AS by_, CAST(embedding[3] AS DOUBLE)*10 AS bz FROM embeddings WHERE vec_id >= 250 AND vec_id < 500),
+_NEAR = """WITH m AS (SELECT (min(vec_id) + max(vec_id) + 1) / 2.0 AS m FROM embeddings), g AS (SELECT vec_id AS g_id, label, CAST(embedding[1] AS DOUBLE)*10 AS gx, CAST(embedding[2] AS DOUBLE)*10 AS gy, CAST(embedding[3] AS DOUBLE)*10 AS gz FROM embeddings, m WHERE coalesce(vec_id < m.m, false)),
+b AS (SELECT vec_id AS b_id, label, CAST(embedding[1] AS DOUBLE)*10 AS bx, CAST(embedding[2] AS DOUBLE)*10 AS by_, CAST(embedding[3] AS DOUBLE)*10 AS bz FROM embeddings, m WHERE NOT coalesce(vec_id < m.m, false)),
 near AS (SELECT g_id, b_id, g.label FROM g JOIN b ON g.label = b.label AND (gx-bx)*(gx-bx)+(gy-by_)*(gy-by_)+(gz-bz)*(gz-bz) <= 1.5*1.5)"""
 
 
@@ -203,8 +203,9 @@ def epitope_semi(t):
     return near.select("label", "g_id").distinct()
 
 
-@query("""WITH g AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS k, embedding AS e FROM embeddings WHERE vec_id < 250),
-b AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS k, embedding AS e FROM embeddings WHERE vec_id >= 250 AND vec_id < 500)
+@query("""WITH m AS (SELECT (min(vec_id) + max(vec_id) + 1) / 2.0 AS m FROM embeddings),
+g AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS k, embedding AS e FROM embeddings, m WHERE coalesce(vec_id < m.m, false)),
+b AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS k, embedding AS e FROM embeddings, m WHERE NOT coalesce(vec_id < m.m, false))
 SELECT g.label, CAST(count(*) AS BIGINT) AS n_pairs, round(sqrt(avg(pow(CAST(g.e[1] AS DOUBLE)-CAST(b.e[1] AS DOUBLE),2)+pow(CAST(g.e[2] AS DOUBLE)-CAST(b.e[2] AS DOUBLE),2)
 +pow(CAST(g.e[3] AS DOUBLE)-CAST(b.e[3] AS DOUBLE),2))), 6) AS rmsd FROM g JOIN b ON g.label = b.label AND g.k = b.k GROUP BY g.label""")
 def paired_rmsd(t):
@@ -235,8 +236,8 @@ def sanitize_names(t):
     return t("pages").select("page_id", text.sanitize("url").alias("name"), F.concat(F.lit("DP_"), F.col("page_id").cast("string"), F.lit("_A")).alias("id"))
 
 
-@query(r"""SELECT doc_id, regexp_replace(regexp_replace(replace(regexp_replace(upper(replace(left(text, 200), 'ß', 's')) || '(MSE)(ABC)', '[\n\r ]', '', 'g'), '(MSE)', 'M'), '\([A-Z]{3}\)', 'X', 'g'), '[^\p{Lu}]', '', 'g') AS sequence
-FROM documents WHERE lang = 'en'""")
+@query(r"""SELECT doc_id, regexp_replace(regexp_replace(replace(regexp_replace(upper(replace(text, 'ß', 's')) || '(MSE)(ABC)', '[\n\r ]', '', 'g'), '(MSE)', 'M'), '\([A-Z]{3}\)', 'X', 'g'), '[^\p{Lu}]', '', 'g') AS sequence
+FROM documents""")
 def clean_sequence(t):
     rows = t("documents").select("doc_id", F.concat(F.upper(F.replace("text", F.lit("ß"), F.lit("s"))), F.lit("(MSE)(ABC)")).alias("s"))
     return rows.select("doc_id", residues.clean_sequence("s").alias("sequence"))
@@ -302,8 +303,11 @@ def json_extract(t):
 SELECT 1, l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R'""")
 def union_parts(t):
     rows = t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
-    parts = [rows.where(F.col("l_returnflag") == f).drop("l_returnflag").withColumn("part", F.lit(i)) for i, f in enumerate("AR")]
-    return parts[0].unionByName(parts[1])
+    from foldlake.operators.chains import merge
+
+    none = rows.withColumns({"label_comp_id": F.lit("ALA"), "group_pdb": F.lit("ATOM")})
+    merged = merge([none.where(F.col("l_returnflag") == f) for f in "AR"])
+    return merged.select("part", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE (l_returnflag IN ('A', 'F') OR l_linestatus IN ('A', 'F')) AND l_quantity <> 10 AND l_tax <> 0""")
@@ -329,7 +333,15 @@ def component_label(t):
     return rows.select("page_id", text.component_label("f").alias("label"))
 
 
-@query()
+@query("""WITH RECURSIVE p AS (SELECT DISTINCT p_name AS a, p_type AS b FROM part WHERE p_name IS NOT NULL AND p_type IS NOT NULL),
+d(a, b, i, r) AS (
+  SELECT a, b, 0, list_transform(range(0, length(b) + 1), lambda j: 0) FROM p
+  UNION ALL
+  SELECT a, b, i + 1, list_transform(range(1, length(b) + 2), lambda j: list_max(list_transform(range(1, j + 1),
+    lambda k: CASE WHEN k > 1 AND a[i + 1] = b[k - 1] THEN greatest(r[k], r[k - 1] + 1) ELSE r[k] END))) FROM d WHERE i < length(a)
+), l AS (SELECT a, b, r[length(b) + 1] AS n FROM d WHERE i = length(a))
+SELECT p_partkey, round(CASE WHEN coalesce(length(p_name), 0) = 0 OR coalesce(length(p_type), 0) = 0 THEN 0.0
+ELSE n * 100.0 / (length(p_name) + length(p_type) - n) END, 6) AS identity FROM part LEFT JOIN l ON l.a = p_name AND l.b = p_type""")
 def alignment_identity(t):
     return t("part").select("p_partkey", F.round(lcs_identity("p_name", "p_type"), 6).alias("identity"))
 
@@ -339,7 +351,16 @@ def affine_alignment(t):
     return t("part").select("p_partkey", F.round(affine_identity("p_name", "p_type"), 6).alias("identity"))
 
 
-@query()
+# The rmsd in closed form: the roots of the characteristic polynomial of S'S, S being the covariance of the two sides.
+@query("""WITH e AS (SELECT label, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y, CAST(embedding[3] AS DOUBLE) AS z, CAST(embedding[4] AS DOUBLE) AS u, CAST(embedding[5] AS DOUBLE) AS v, CAST(embedding[6] AS DOUBLE) AS w FROM embeddings), c AS (SELECT *, avg(x) OVER (PARTITION BY label) AS mx, avg(y) OVER (PARTITION BY label) AS my, avg(z) OVER (PARTITION BY label) AS mz, avg(u) OVER (PARTITION BY label) AS mu, avg(v) OVER (PARTITION BY label) AS mv, avg(w) OVER (PARTITION BY label) AS mw FROM e),
+s AS (SELECT label, count(*) AS n, sum((x - mx) * (x - mx) + (y - my) * (y - my) + (z - mz) * (z - mz) + (u - mu) * (u - mu) + (v - mv) * (v - mv) + (w - mw) * (w - mw)) AS g, sum((x - mx) * (u - mu)) AS sxu, sum((x - mx) * (v - mv)) AS sxv, sum((x - mx) * (w - mw)) AS sxw, sum((y - my) * (u - mu)) AS syu, sum((y - my) * (v - mv)) AS syv, sum((y - my) * (w - mw)) AS syw, sum((z - mz) * (u - mu)) AS szu, sum((z - mz) * (v - mv)) AS szv, sum((z - mz) * (w - mw)) AS szw FROM c GROUP BY label),
+t AS (SELECT *, sxu * sxu + syu * syu + szu * szu AS tuu, sxv * sxv + syv * syv + szv * szv AS tvv, sxw * sxw + syw * syw + szw * szw AS tww, sxu * sxv + syu * syv + szu * szv AS tuv, sxu * sxw + syu * syw + szu * szw AS tuw, sxv * sxw + syv * syw + szv * szw AS tvw, sxu * (syv * szw - syw * szv) - sxv * (syu * szw - syw * szu) + sxw * (syu * szv - syv * szu) AS d FROM s),
+q AS (SELECT *, (tuu + tvv + tww) / 3 AS m FROM t),
+p AS (SELECT *, sqrt(((tuu - m) * (tuu - m) + (tvv - m) * (tvv - m) + (tww - m) * (tww - m) + 2 * (tuv * tuv + tuw * tuw + tvw * tvw)) / 6) AS p FROM q),
+r AS (SELECT *, acos(greatest(-1.0, least(1.0, ((tuu - m) * ((tvv - m) * (tww - m) - tvw * tvw) - tuv * (tuv * (tww - m) - tvw * tuw)
+  + tuw * (tuv * tvw - (tvv - m) * tuw)) / (2 * p * p * p)))) / 3 AS f FROM p),
+k AS (SELECT *, m + 2 * p * cos(f) AS k1, m + 2 * p * cos(f + 2 * pi() / 3) AS k3 FROM r)
+SELECT label, CAST(n AS BIGINT) AS n, round(sqrt(greatest(0.0, (g - 2 * (sqrt(greatest(k1, 0.0)) + sqrt(greatest(3 * m - k1 - k3, 0.0)) + sign(d) * sqrt(greatest(k3, 0.0)))) / n)), 6) AS rmsd FROM k""")
 def superposition(t):
     rows = t("embeddings").select("label", *[F.col("embedding")[i].alias(c) for i, c in enumerate("xyz")], *[F.col("embedding")[i + 3].alias(f"f{c}") for i, c in enumerate("xyz")])
     return superpose(rows, "label").select("label", "n", F.round("rmsd", 6).alias("rmsd"))

@@ -98,3 +98,35 @@ def test_rmsd_of_same_point_is_zero(spark):
     assert paired_rmsd(df, df, "k", "o", ("x", "y", "z")).first().rmsd == 0.0
     far = df.withColumn("x", F.lit(2.0))
     assert math.isclose(paired_rmsd(df, far, "k", "o", ("x", "y", "z")).first().rmsd, 1.0)
+
+
+def best_score(a, b, match, mismatch, opening, extending):
+    """The greatest score of a global alignment, by its three states."""
+    low = -1e9
+    last = {(0, 0): (0.0, low, low)}
+    for i in range(len(a) + 1):
+        for j in range(len(b) + 1):
+            if (i, j) == (0, 0):
+                continue
+            both = max(last[i - 1, j - 1]) + (match if a[i - 1] == b[j - 1] else mismatch) if i and j else low
+            up = max(last[i - 1, j][0] + opening, last[i - 1, j][1] + extending, last[i - 1, j][2] + opening) if i else low
+            left = max(last[i, j - 1][0] + opening, last[i, j - 1][2] + extending, last[i, j - 1][1] + opening) if j else low
+            last[i, j] = (both, up, left)
+    return max(last[len(a), len(b)])
+
+
+def score_of(a, b, pairs, match, mismatch, opening, extending):
+    """The score of an alignment given by its pairs; between two pairs stand at most one gap of each side."""
+    total, ends = 0.0, [(-1, -1), *pairs, (len(a), len(b))]
+    for (i, j), (k, m) in zip(ends, ends[1:]):
+        for gap in (k - i - 1, m - j - 1):
+            total += opening + extending * (gap - 1) if gap else 0.0
+    return total + sum(match if a[i] == b[j] else mismatch for i, j in pairs)
+
+
+@given(st.text("ACD", max_size=9), st.text("ACD", max_size=9), st.sampled_from([(2.0, -1.0, -10.0, -0.5), (1.0, 0.0, -1.0, -0.5), (2.0, -1.0, -1.5, -0.25)]))
+@settings(max_examples=300, deadline=None)
+def test_affine_alignment_is_a_best_one(a, b, scores):
+    if a and b:
+        pairs = alignment.affine(a, b, *scores)
+        assert abs(score_of(a, b, pairs, *scores) - best_score(a, b, *scores)) < 1e-6

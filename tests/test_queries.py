@@ -17,19 +17,19 @@ def duck(data):
     return con
 
 
-def rows(frame):
-    frame = frame[sorted(frame.columns)]
-    return sorted(map(str, (tuple(list(v) if hasattr(v, "tolist") and getattr(v, "ndim", 0) else v for v in r) for r in frame.astype(object).where(frame.notna(), None).itertuples(index=False))))
+def plain(rows, names):
+    """The rows as sorted texts, with columns by name."""
+    order = sorted(range(len(names)), key=names.__getitem__)
+    return sorted(repr(tuple(row[i] for i in order)) for row in rows)
 
 
 @pytest.mark.parametrize("name", sorted(catalogue.ORACLE_SQL))
 def test_query_equals_sql(spark, duck, data, name):
-    got = catalogue.QUERIES[name](spark, data).toPandas()
-    want = duck.sql(catalogue.ORACLE_SQL[name]).df()
-    assert sorted(got.columns) == sorted(want.columns)
-    assert len(got) == len(want)
-    if name != "source_priority":  # nullable integers differ in pandas only
-        assert rows(got) == rows(want)
+    got = catalogue.QUERIES[name](spark, data)
+    want = duck.execute(catalogue.ORACLE_SQL[name])
+    names = [x[0] for x in want.description]
+    assert sorted(got.columns) == sorted(names)
+    assert plain(got.collect(), got.columns) == plain(want.fetchall(), names)
 
 
 def test_entry_and_registry(spark, data):
