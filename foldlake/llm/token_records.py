@@ -13,6 +13,7 @@ number of ids, so records can be read singly and in any order (`read_at`, `shuff
 from __future__ import annotations
 
 import io
+import json
 import os
 import random
 import re
@@ -81,12 +82,13 @@ def unframe(file) -> bytes | None:
 
 
 class PieceEncoder:
-    """Encodes texts with a byte-level BPE file of the tokenizers library, remembering pieces seen before.
+    """Encodes texts as a file of the tokenizers library does with add_special_tokens=False, remembering pieces seen before.
 
-    The pre-tokenizer of these files starts a new token at a single space between two characters that are no white
-    space, so a text can be cut there and its pieces encoded on their own; it also separates a word from the marks
-    after it. Texts are cut only there. Of the pieces, those used since the last two times that GENERATION new ones
-    were met are remembered.
+    A byte-level pre-tokenizer starts a new token at a single space between two characters that are no white space, so a
+    text can be cut there and its pieces encoded on their own; it also separates a word from the marks after it. Texts
+    are cut only there, and only if the file has that pre-tokenizer and no normalizer; with any other file each text is
+    encoded whole. Added tokens that stand in a text are found first, as the library does it. Of the pieces, those used
+    since the last two times that GENERATION new ones were met are remembered.
     """
 
     def __init__(self, path: str):
@@ -94,8 +96,19 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        parts = json.loads(self.tokenizer.to_str())
+        before, added = parts.get("pre_tokenizer") or {}, parts.get("added_tokens") or []
+        self.cuts = (
+            before.get("type") == "ByteLevel"
+            and before.get("use_regex", True)
+            and not before.get("add_prefix_space")
+            and parts.get("normalizer") is None
+            and parts["model"].get("type") == "BPE"
+            and not any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added)
+        )
+        self.added = {t["content"]: t["id"] for t in added}
+        self.at_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
         self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -120,9 +133,20 @@ class PieceEncoder:
         return [x[1:] if x[:1] == " " and x[1:2] != " " and x != " " else " " + x for x in out]
 
     def learn(self, stems: list[str], others: list[str]) -> None:
-        """Puts the ids of keys into known. Stems, words of letters only, go to the library joined by newlines, which is
-        one call for many of them."""
+        """Puts the ids of keys into known. Stems are words of letters only: those of ASCII letters are their own bytes'
+        symbols and go to the model at once, the others to the library joined by newlines, one call for many of them."""
         known, wide = self.known, self.width
+        merge = self.tokenizer.model.tokenize
+        ascii_stems = [x for x in stems if x.isascii()]
+        ids, stops = [], []
+        for key in ascii_stems:
+            ids += [t.id for t in merge("\u0120" + key)]
+            stops.append(len(ids))
+        data, start = self.pack(ids), 0
+        for key, stop in zip(ascii_stems, stops, strict=True):
+            known[key] = data[start * wide : stop * wide]
+            start = stop
+        stems = [x for x in stems if not x.isascii()]
         if len(self.newline) != 1:
             stems, others = [], stems + others
         for at in range(0, len(stems), 512):
@@ -140,50 +164,42 @@ class PieceEncoder:
             for key, got in zip(some, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
                 known[key] = self.pack(got.ids)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text. Texts of several CHUNKs are encoded part by part."""
-        if len(texts) == 1 and len(texts[0]) > 2 * CHUNK:
-            return [b"".join(self._encode([part])[0] for part in _PARTS.findall(texts[0]))]
-        return self._encode(texts)
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(text) for text in texts]
-        self.meet(set().union(*cut))
-        return [b"".join(map(self.known.__getitem__, keys)) for keys in cut]
-
-    def meet(self, keys: set[str]) -> None:
-        """Sees to it that the ids of all keys are in known."""
+    def encode(self, text: str) -> bytes:
+        """The ids of one text. Texts of several CHUNKs are encoded part by part where they can be cut."""
+        if not self.cuts:
+            return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if self.at_added and self.at_added.search(text):
+            return b"".join(self.pack([self.added[x]]) if x in self.added else self.encode(x) for x in self.at_added.split(text) if x)
+        parts = _PARTS.findall(text) if len(text) > 2 * CHUNK else [text]
+        return b"".join(value for part in parts for value in self.values(self.pieces(part)))
+
+    def values(self, keys: list[str]) -> list[bytes]:
+        """The ids of each key; those not known are learned, singly."""
+        known = self._remembered(keys)
+        return [known[key] for key in keys]
+
+    def _remembered(self, keys: list[str], stems: bool = False) -> dict[str, bytes]:
+        """known, holding all keys. stems: whether they are words of letters only."""
         if len(self.known) > GENERATION:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
-        new = keys.difference(known)
-        again = new.intersection(older)
-        for key in again:
-            known[key] = older[key]
-        new -= again
-        stems, others, joined = set(), [], []
-        for key in new:
-            stem = key.rstrip(MARKS)
-            if not stem.isalpha():
-                others.append(key)
-            else:
-                stems.add(stem)
-                if len(stem) < len(key):
-                    joined.append((key, stem, " " + key[len(stem) :]))
-        stems.difference_update(known)
-        marks = {mark for _, _, mark in joined}.difference(known)
-        self.learn(list(stems), [*others, *marks])
-        for key, stem, mark in joined:
-            known[key] = known[stem] + known[mark]
+        new = set(keys).difference(known)
+        again = [key for key in new if key in older]
+        known.update((key, older[key]) for key in again)
+        new.difference_update(again)
+        self.learn(*((list(new), []) if stems else ([], list(new))))
+        return known
 
     def encode_column(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text of an Arrow column. Texts that can be cut at each space are cut, told apart and put
-        together as columns, so that Python sees each different piece of them once."""
-        unsafe = pc.match_substring_regex(texts, _UNSAFE_RE2).to_numpy(zero_copy_only=False)
+        together as columns: Python sees each different word once, without the marks after it."""
+        unsafe = pc.match_substring_regex(texts, _UNSAFE_RE2)
+        for content in self.added:
+            unsafe = pc.or_(unsafe, pc.match_substring(texts, content))
+        unsafe = unsafe.to_numpy(zero_copy_only=False) if self.cuts else np.ones(len(texts), bool)
         out: list[bytes] = [b""] * len(texts)
-        where = np.flatnonzero(unsafe)
-        for at in where.tolist():
-            out[at] = self.encode([texts[at].as_py()])[0]
+        for at in np.flatnonzero(unsafe).tolist():
+            out[at] = self.encode(texts[at].as_py())
         where = np.flatnonzero(~unsafe)
         if not len(where):
             return out
@@ -191,20 +207,37 @@ class PieceEncoder:
         offsets = parts.offsets.to_numpy()
         offsets = offsets - offsets[0]
         coded = parts.flatten().dictionary_encode()
-        pieces, index = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        pieces, index = coded.dictionary, coded.indices.to_numpy().astype(np.int32)
         first = offsets[:-1]
-        starts = [" " + pieces[i] for i in index[first].tolist()]  # the first piece of a text has no space before it
+        starts = [" " + x for x in pieces.take(pa.array(index[first])).to_pylist()]  # no space stands before a text
         index[first] = np.arange(len(pieces), len(pieces) + len(starts))
-        keys = pieces + starts
-        self.meet(set(keys))
-        values = list(map(self.known.__getitem__, keys))
-        lengths = np.fromiter(map(len, values), np.int64, len(values)) // self.width
-        ids = np.frombuffer(b"".join(values), f"<u{self.width}")
-        begin = np.cumsum(lengths) - lengths
-        each = lengths[index]
-        ends = np.cumsum(each)
-        data = ids[np.repeat(begin[index] - (ends - each), each) + np.arange(ends[-1])].tobytes()
-        stops = (ends[offsets[1:] - 1] * self.width).tolist()
+
+        # Pieces of letters and then marks are put together from both, all others are looked up whole.
+        bare = pc.utf8_rtrim(pieces, MARKS)
+        letters = pc.utf8_is_alpha(bare)
+        marked = pc.and_(letters, pc.less(pc.binary_length(bare), pc.binary_length(pieces))).to_numpy(zero_copy_only=False)
+        stems = bare.filter(letters).dictionary_encode()
+        letters = letters.to_numpy(zero_copy_only=False)
+        tails = pc.replace_substring_regex(pieces.filter(pa.array(marked)), f"^.*?([{re.escape(MARKS)}]*)$", " \\1").dictionary_encode()
+        words, others = stems.dictionary.to_pylist(), pieces.filter(pa.array(~letters)).to_pylist() + starts
+        marks = tails.dictionary.to_pylist()
+        known = self._remembered(words, stems=True)
+        values = [known[key] for key in words]
+        known = self._remembered(others + marks)
+        values += [known[key] for key in others]
+        values += [known[key] for key in marks]
+        values.append(b"")
+        head = np.empty(len(pieces) + len(starts), np.int32)
+        head[: len(pieces)][letters] = stems.indices.to_numpy()
+        head[: len(pieces)][~letters] = len(words) + np.arange(len(others) - len(starts))
+        head[len(pieces) :] = len(words) + len(others) - len(starts) + np.arange(len(starts))
+        tail = np.full(len(head), len(values) - 1, np.int32)
+        tail[: len(pieces)][marked] = len(words) + len(others) + tails.indices.to_numpy()
+        sizes = np.fromiter(map(len, values), np.int32, len(values)) // self.width
+        whole = _gather(np.frombuffer(b"".join(values), f"<u{self.width}"), sizes, np.column_stack([head, tail]).reshape(-1))
+        sizes = sizes[head] + sizes[tail]
+        data = _gather(whole, sizes, index).tobytes()
+        stops = (np.cumsum(sizes[index], dtype=np.int64)[offsets[1:] - 1] * self.width).tolist()
         start = 0
         for at, stop in zip(where.tolist(), stops, strict=True):
             out[at] = data[start:stop]
@@ -212,6 +245,14 @@ class PieceEncoder:
         return out
 
 
+def _gather(items: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """The runs of items, whose sizes are given in order, in the order that index names them."""
+    begin = np.cumsum(sizes, dtype=np.int32) - sizes
+    each = sizes[index]
+    ends = np.cumsum(each, dtype=np.int32)
+    return items[np.repeat(begin[index] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
+
+
 @lru_cache(1)
 def encoder(path: str) -> PieceEncoder:
     """One encoder for each Python worker, which runs many tasks."""
