@@ -2,8 +2,10 @@
 
 A classifier trained on labelled documents predicts, for every document, the posterior of each domain. Projected-gradient
 least squares then fits a nonnegative rate for each document so that the expected tokens of the domains, sums of rate *
-tokens * posterior, match the targets. Everything is DataFrame functions and Spark's own DataFrame estimators. The
-driver sees only sums over domains; the rates stay an expression of the posteriors, written out now and then.
+tokens * posterior, match the targets. As a rate depends on the posteriors only, the fit runs over cells of a fixed grid of
+posteriors, with their tokens and mean posteriors, so documents are read once; each document then goes through the same
+steps with its own posteriors. Everything is DataFrame functions and Spark's own DataFrame estimators, and the driver
+sees only sums over domains.
 """
 
 from __future__ import annotations
@@ -17,12 +19,15 @@ from pyspark.sql import functions as F
 from foldlake.llm import common
 
 DOMAINS = ("good", "poor", "toxic")
-#: Shares of the mixture's expected tokens.
+#: Shares of the mixture's expected tokens: mostly good text; a little poor text, as it is what users write; of toxic text
+#: no more than what lets a model recognise it.
 WEIGHTS = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
 #: The classifier is fitted to at most so many labelled documents, chosen by the md5 of their id.
 LABELLED_SAMPLE = 8192
 FEATURES, LEAST_TEXTS = 512, 5
-ITERATIONS, TOLERANCE, WRITE_EVERY = 60, 1e-7, 6
+ITERATIONS, TOLERANCE = 60, 1e-7
+#: Steps of the grid of posteriors along each domain; its cells number (GRID + 1) * (GRID + 2) / 2 at most.
+GRID = 512
 #: In sampling without repetition, the main domain's target is set so far above its tokens that its rates reach 1.
 SLACK = 1.02
 _BREAK = r"[ \t\n\x0B\f\r]+"
@@ -110,38 +115,63 @@ def targets_of(totals: list[float], weights: dict[str, float], budget: float | N
     return out
 
 
+def _rate(p: list[Column], moves: list[list[float]], most: float | None) -> Column:
+    """The rate after the gradient steps, from 1 on: each moves it along the posteriors, and back to 0 (to most)."""
+    if not moves:
+        return F.lit(1.0)
+    steps = F.array(*[F.array(*map(F.lit, move)) for move in moves])
+
+    def stepped(rate: Column, move: Column) -> Column:
+        moved = rate - sum((F.get(move, F.lit(i)) * p[i] for i in range(len(p))), F.lit(0.0))
+        moved = F.greatest(moved, F.lit(0.0))
+        return moved if most is None else F.least(moved, F.lit(float(most)))
+
+    return F.aggregate(steps, F.lit(1.0), stepped)
+
+
+def cells_of(scored: DataFrame) -> DataFrame:
+    """tokens, q0, q1...: tokens and mean posteriors, weighted by tokens, of each cell of the grid that holds documents."""
+    k = range(len(DOMAINS))
+    tokens = F.col("n_tokens").cast("double")
+    places = [F.round(F.get("p", F.lit(i)) * GRID).alias(f"at{i}") for i in k]
+    sums = [F.sum(tokens * F.get("p", F.lit(i))).alias(f"q{i}") for i in k]
+    found = scored.where("n_tokens > 0").groupBy(*places).agg(F.sum(tokens).alias("tokens"), *sums)
+    return found.select("tokens", *[(F.col(f"q{i}") / F.col("tokens")).alias(f"q{i}") for i in k])
+
+
 def fit_rates(scored: DataFrame, weights: dict[str, float], budget: float | None = None, most: float | None = None) -> DataFrame:
     """scored (doc_id, n_tokens, p) with rate: minimises the squared gaps to the targets, each domain's scaled by its
-    tokens, from rate 1 on by projected gradient steps onto rates of 0 (to most)."""
+    tokens, from rate 1 on by projected gradient steps onto rates of 0 (to most).
+
+    Expected totals are exact while no rate is cut off. Where rates are, a cell's documents count as if all had its mean
+    posteriors; within a cell these differ by 1 / GRID at most.
+    """
     k = range(len(DOMAINS))
-    scored = common.materialize(scored.withColumn("rate", F.lit(1.0)), "posteriors")
-    p = [F.get("p", F.lit(i)) for i in k]
-    tokens = F.col("n_tokens").cast("double")
+    scored = common.materialize(scored, "posteriors")
+    cells = common.materialize(cells_of(scored), "cells")
+    q, tokens = [F.col(f"q{i}") for i in k], F.col("tokens")
 
     def sums(columns: list[Column]) -> list[float]:
-        return [float(x or 0.0) for x in scored.agg(*[F.sum(c) for c in columns]).first()]
+        return [float(x or 0.0) for x in cells.agg(*[F.sum(c) for c in columns]).first()]
 
-    totals = sums([tokens * p[i] for i in k])
-    gram = sums([tokens * p[i] * p[j] for i in k for j in k])
+    totals = sums([tokens * q[i] for i in k])
+    gram = sums([tokens * q[i] * q[j] for i in k for j in k])
     scale = [max(gram[i * len(k) + i], 1.0) for i in k]
     # The scaled Gram matrix has nonnegative entries, so its largest row sum bounds its eigenvalues.
     step = 1.0 / max(1e-9, max(sum(gram[i * len(k) + j] / (scale[i] * scale[j]) ** 0.5 for j in k) for i in k))
     wanted = targets_of(totals, weights, budget, most)
-    rate, last = F.col("rate"), None
-    for turn in range(1, ITERATIONS + 1):
-        gaps = [a - b for a, b in zip(sums([tokens * p[i] * rate for i in k]), wanted, strict=True)]
+    moves: list[list[float]] = []
+    last = None
+    while len(moves) < ITERATIONS:
+        rate = _rate(q, moves, most)
+        gaps = [a - b for a, b in zip(sums([tokens * q[i] * rate for i in k]), wanted, strict=True)]
         error = sum(g * g / s for g, s in zip(gaps, scale, strict=True))
         if error <= TOLERANCE**2 * sum(scale) or last is not None and last - error <= 1e-6 * last:
             break
         last = error
-        move = F.lit(0.0)
-        for i in k:
-            move = move + F.lit(step * gaps[i] / scale[i]) * p[i]
-        rate = F.greatest(rate - move, F.lit(0.0)) if most is None else F.least(F.greatest(rate - move, F.lit(0.0)), F.lit(float(most)))
-        if turn % WRITE_EVERY == 0:
-            scored = common.materialize(scored.withColumn("rate", rate), "rates")
-            rate = F.col("rate")
-    return scored.withColumn("rate", rate)
+        moves.append([step * gaps[i] / scale[i] for i in k])
+    common.drop(cells)
+    return scored.withColumn("rate", _rate([F.get("p", F.lit(i)) for i in k], moves, most))
 
 
 def uniform() -> Column:
