@@ -91,7 +91,7 @@ def features(rows: DataFrame) -> DataFrame:
 def labelled_findings(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
     """path, before, candidate, after, label (1: a secret): findings made from a rule, a third of them secrets.
 
-    Secrets: vendor keys, hex and base64 strings and passwords beside words that name credentials, passwords of URLs. Others:
+    Secrets: vendor keys, hex and base64 strings, tokens of three parts, random letters, and passwords (also of plain words) beside words that name credentials, passwords of URLs. Others:
     plain words, numbers and variables beside such words, prefixes alone, checksums, commits, card
     and serial numbers, identifiers, placeholders, and the secrets' strings in files of examples, in vendored, lock and
     generated files, and where the next words call them an example.
@@ -113,6 +113,11 @@ def labelled_findings(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
     innocent = F.concat(text, pick(["commit ", "sha256:", "checksum ", "uuid=", "etag: ", "card ", "serial "]))
     aws = F.concat(F.lit("AKIA"), F.rpad(F.concat(upper, F.upper(F.substring("h", 40, 8))), 16, "J7X"))
     password = F.concat(pick(["Tr0ub", "drag0n", "Blue", "corr3ct", "q", "Z"]), F.substring(b64, 1, 5), pick(["", "!", "#1", "7"]), F.pmod(word, F.lit(90)).cast("string"))
+    # Words that people make passwords of, and the sign right before, as in code and settings.
+    people = ["hunter", "summer", "dragon", "monkey", "tiger", "horse", "battery", "staple", "correct", "winter", "sunny", "magic", "robot", "coffee", "guitar", "purple", "wizard", "rocket"]
+    said = [F.element_at(F.array(*map(F.lit, people)), F.pmod(F.conv(F.substring("h", 101 + 4 * i, 3), 16, 10).cast("int"), F.lit(len(people))) + 1) for i in range(3)]
+    assigned = F.concat(text, pick(["password=", "passwd=", "api_key=", "secret=", "pwd: ", "db_password = \""]))
+    letters = F.translate(F.sha2(F.concat(F.lit("letters-"), F.col("id").cast("string")), 256), "0123456789", "ghijklmnop")
     cases = [
         (aws, text, 1),
         (aws, secret_word, 1),
@@ -139,6 +144,10 @@ def labelled_findings(spark: SparkSession, rows: int = LABELLED) -> DataFrame:
         (pick(["changeme", "your_password", "getpass", "placeholder", "example", "which", "default", "value", "ment", "hidden", "words"]), secret_word, 0),
         (pick(["${TOKEN}", "$PASSWORD", "os.environ", "{{secret}}", "%s", "****", "xxxxxxxx", "self.token", "getenv(KEY"]), secret_word, 0),
         (F.pmod(word, F.lit(999)).cast("string"), secret_word, 0),
+        (F.concat(said[0], F.pmod(word, F.lit(100)).cast("string"), said[1]), assigned, 1),
+        (F.concat(said[1], said[0], said[2]), assigned, 1),
+        (F.concat(F.substring(letters, 1, 20), F.lit("")), assigned, 1),
+        (F.concat(F.lit("eyJ"), F.substring(b64, 1, 17), F.lit(".eyJ"), F.substring(b64, 20, 20), F.lit("."), F.substring(b64, 30, 30)), text, 1),
         (pick(["sk-learn", "sk-ip", "eyJ", "AIza", "sk-", "ASIA-pacific", "AKIA"]), text, 0),
     ]
     kind, place = F.pmod("id", F.lit(len(cases))), F.pmod(F.floor(F.col("id") / len(cases)), F.lit(6))
@@ -197,8 +206,11 @@ def candidates(docs: DataFrame) -> DataFrame:
 
     after_sign = F.col("f.before").rlike(_SIGNED)
     value = F.when(after_sign, F.regexp_extract_all("f.word", F.lit(rf"^[\"'`(]*({_VALUE})"), F.lit(1))).otherwise(F.array().cast("array<string>"))
-    single = [alone(F.regexp_extract_all("f.word", F.lit(pattern), F.lit(1))) for pattern in (_VENDOR, f"({_CANDIDATE})")]
-    every = F.concat(pairs(_ASSIGNED), alone(value), pairs(_URL), *single)
+    vendor, runs = (alone(F.regexp_extract_all("f.word", F.lit(pattern), F.lit(1))) for pattern in (_VENDOR, f"({_CANDIDATE})"))
+    named = F.concat(pairs(_ASSIGNED), alone(value), pairs(_URL), vendor)
+    # A run that is part of a longer value (a token of several parts) is no candidate of its own.
+    runs = F.filter(runs, lambda x: ~F.exists(named, lambda y: (F.length(y["value"]) > F.length(x["value"])) & y["value"].contains(x["value"])))
+    every = F.concat(named, runs)
     first = F.filter(every, lambda x, i: (F.array_position(F.transform(every, lambda y: y["value"]), x["value"]) == i + 1))
     df = df.withColumn("c", F.explode(first))
     return df.select("doc_id", "path", F.col("f.at").alias("at"), F.concat_ws(" ", "f.before", "c.head").alias("before"), F.col("c.value").alias("candidate"), F.col("f.after").alias("after"))
