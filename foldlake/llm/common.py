@@ -92,6 +92,14 @@ def small_batches(spark: SparkSession, most: str = "8m") -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """name, with underscores before it until no column of df has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -263,8 +263,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that hold no benchmark item, with their columns unchanged. Rows without doc_id stay."""
-    found = contaminated(docs, benchmark).select(F.col("doc_id").alias("_leak"))
-    out = docs.join(found, F.col("doc_id").cast("long") == F.col("_leak"), "left_anti")
+    leak = common.free_name(docs, "_leak")
+    found = contaminated(docs, benchmark).select(F.col("doc_id").alias(leak))
+    out = docs.join(found, F.col("doc_id").cast("long") == F.col(leak), "left_anti")
     return out.select(*docs.columns)
 
 

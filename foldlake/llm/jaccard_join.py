@@ -494,11 +494,12 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
     copies of anything and stay.
     """
     found = common.materialize(link(docs, size, percent).where("doc_id IS NOT NULL"), "links")
-    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct()
-    out = docs.join(copies, F.col("doc_id").cast("long") == F.col("_copy"), "left_anti").select(*docs.columns)
+    copy, place = common.free_name(docs, "_copy"), common.free_name(docs, "_place")
+    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias(copy)).distinct()
+    out = docs.join(copies, F.col("doc_id").cast("long") == F.col(copy), "left_anti").select(*docs.columns)
     if found.groupBy("doc_id").count().where("count > 1").limit(1).count():
         first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last()))
-        several = out.where("doc_id IS NOT NULL").select("*", first.alias("_first")).where("_first = 1").select(*docs.columns)
+        several = out.where("doc_id IS NOT NULL").select("*", first.alias(place)).where(F.col(place) == 1).select(*docs.columns)
         out = several.unionByName(out.where("doc_id IS NULL"))
     return out
 

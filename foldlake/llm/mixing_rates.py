@@ -197,8 +197,9 @@ def sample(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGH
     doc_id determines. Rows without doc_id, and rows with the same, share their fate by doc_id and lowest rate.
     """
     fitted = fit_rates(posteriors(docs, labels), weights, most=1.0)
-    gone = fitted.where(F.col("rate") <= uniform()).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti").select(*docs.columns)
+    name = common.free_name(docs, "_gone")
+    gone = fitted.where(F.col("rate") <= uniform()).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti").select(*docs.columns)
 
 
 def op10_mixing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
