@@ -37,7 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     at = spark.conf.get(_CHECKPOINT, None)
     if not at:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", None) or "local"):
             raise ValueError(f"{_CHECKPOINT} must name a folder that the driver and all executors share")
         at = _own_folder()
     return at.rstrip("/") if urlsplit(at).scheme else "file://" + at.rstrip("/")

@@ -1,3 +1,5 @@
+import pytest
+
 from foldlake.llm import common
 
 
@@ -19,6 +21,17 @@ def test_shared_folder(spark):
     assert common.shared_dir(_Session) == "file:///a/b"
 
 
+def test_no_folder_of_its_own_on_a_cluster(spark):
+    class Cluster:
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return "spark://host:7077" if key == "spark.master" else default
+
+    with pytest.raises(ValueError):
+        common.shared_dir(Cluster)
+
+
 def test_materialize_and_files(spark, tmp_path):
     df = common.materialize(spark.range(10), "numbers")
     assert df.count() == 10 and "parquet" in df.inputFiles()[0]
