@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from foldlake.llm import chat
 from foldlake.llm.quality import OP4_SQL
+from foldlake.llm.repeats import OP12_SQL
 from foldlake.llm.spelling import OP11_SQL
 
 _CONTROLS = "|".join("".join(f"\\{c}" if c in "|[]" else c for c in s) for s in chat.CONTROLS)
@@ -55,4 +56,11 @@ SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, CAST(least(w.do
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS b FROM r GROUP BY a) m ON m.a = w.doc_id
 """
 
-ORACLE_SQL = {"op4_quality_rules": OP4_SQL, "op6_warc_segments": OP6_SQL, "op7_chat_format": OP7_SQL, "op8_jaccard_join": OP8_SQL, "op11_spelling_variants": OP11_SQL}
+ORACLE_SQL = {
+    "op4_quality_rules": OP4_SQL,
+    "op6_warc_segments": OP6_SQL,
+    "op7_chat_format": OP7_SQL,
+    "op8_jaccard_join": OP8_SQL,
+    "op11_spelling_variants": OP11_SQL,
+    "op12_repeat_removal": OP12_SQL,
+}

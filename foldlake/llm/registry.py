@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foldlake.llm import chat, decontaminate, html_text, jaccard_join, lm_scoring, mixing_rates, oracles, quality, secrets, spelling, token_records, warc
+from foldlake.llm import chat, decontaminate, html_text, jaccard_join, lm_scoring, mixing_rates, oracles, quality, repeats, secrets, spelling, token_records, warc
 
 QUERIES = {
     "op1_html_text": html_text.op1_html_text,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_mixing_rates": mixing_rates.op10_mixing_rates,
     "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_repeat_removal": repeats.op12_repeat_removal,
 }
 
 ORACLE_SQL: dict[str, str] = oracles.ORACLE_SQL
