@@ -15,10 +15,12 @@ bytes, and their alphabet is that of phrases.
    intervals and are not followed further. Only blocks and counts move, in joins on their hashes.
 3. What a repeated interval covers is removed. Strings that reach beyond the whole phrases are left: those windows whose
    whole phrases are repeated and that are not covered yet. They meet windows with the same inner bytes and the same place
-   of their first anchor, by the hash of all their bytes. Texts with copies need no such check, as they are covered.
+   of their first anchor, first in cells of CELL neighbours: where the bytes that all windows of a cell share are found
+   once, none of them is repeated; where all bytes of the cell are found twice, every one is. The windows of what is left
+   are compared by the hash of all their bytes. Texts with copies need no such check, as they are covered.
 
 Rounds are bounded by MOST_PHRASES; windows in blocks that are shorter than the length by then (phrases of few bytes, as in
-runs of one character) are all compared by their bytes, so nothing is lost. Hashes of 64 bits stand for phrases, blocks
+runs of one character) are all compared by their bytes, first those of one text, so nothing is lost. Hashes of 64 bits stand for phrases, blocks
 and windows, the latter two of them for each comparison. A shard holds SHARD phrases, or one text; a text meets its own
 marks only. Texts are known by two hashes of 64 bits, so copies are treated once.
 """
@@ -41,7 +43,11 @@ LENGTH = 400
 #: Phrases of a shard, and bytes that are looked at in one step.
 SHARD, SLICE = 150_000, 1 << 20
 #: Phrases that blocks are followed for, phrases that each round puts before them, and how deep shards are sorted.
-MOST_PHRASES, STEPS, DEPTH = 28, 3, 32
+MOST_PHRASES, STEPS, DEPTH = 13, 3, 16
+#: Windows that lie next to each other and are first compared together, at most.
+CELL = 16
+#: Rows of a batch that goes back to Spark, about.
+BATCH_ROWS = 20_000
 #: The reach of a suffix whose blocks were not followed to their end.
 OPEN = 1 << 30
 
@@ -59,6 +65,10 @@ def shape(length: int) -> tuple[int, int]:
     return span, min(8, span)
 
 
+def cell_size(length: int) -> int:
+    return max(1, min(CELL, shape(length)[0] // 4))
+
+
 @lru_cache(4)
 def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
     """The powers of the base, and of its inverse, modulo 2**64."""
@@ -100,17 +110,25 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     out = np.empty(len(starts), np.uint64)
     cuts = np.searchsorted(starts, np.arange(0, len(data) + SLICE, SLICE))
     for at, first, last in zip(range(0, len(data), SLICE), cuts[:-1], cuts[1:]):
-        if first == last:
-            continue
-        a, b = starts[first:last] - at, ends[first:last] - at
-        end = int(b.max())
-        power, inverse = _powers(1 << max(21, end.bit_length()))
-        sums = np.zeros(end + 1, np.uint64)
-        np.cumsum((data[at : at + end].astype(np.uint64) + np.uint64(1)) * power[:end], out=sums[1:])
-        out[first:last] = mixed((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64) * _LENGTH)
+        if first < last:
+            a, b = starts[first:last] - at, ends[first:last] - at
+            out[first:last] = hashes_by_sums(sums_of(data[at : at + int(b.max())]), a, b)
     return out
 
 
+def sums_of(data: np.ndarray) -> np.ndarray:
+    """Running sums of the bytes, each times the power of its place."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    power = _powers(1 << max(21, len(data).bit_length()))[0]
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
+    return sums
+
+
+def hashes_by_sums(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    inverse = _powers(1 << max(21, (len(sums) - 1).bit_length()))[1]
+    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * _LENGTH)
+
+
 def _changes(values: np.ndarray) -> np.ndarray:
     """Where a run of equal values begins."""
     return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
@@ -179,7 +197,7 @@ def shards(texts: DataFrame, length: int) -> DataFrame:
     """The shards of texts (k1, k2, text as binary, of the length at least): for each row of the transform the phrase
     before it (bwt), the bytes of its phrase (sizes), the number of its text (docs) and its place in there (places);
     keys holds k1 and k2 of each text. All are packed numbers."""
-    span, gram = shape(length)
+    (span, gram), most = shape(length), SHARD
     fields = [(x, pa.binary()) for x in ("bwt", "sizes", "docs", "places", "keys")]
     schema = pa.schema([("shard", pa.int64()), *fields])
 
@@ -217,7 +235,7 @@ def shards(texts: DataFrame, length: int) -> DataFrame:
                 if a < b:
                     parts.append((named[a:b], sizes[a:b], owner[a:b] - at, anchors[a:b] - starts[owner[a:b]], keys[at:last]))
                     held += b - a
-                if held >= SHARD:
+                if held >= most:
                     yield packed(task << 32 | made, parts)
                     parts, held, made = [], 0, made + 1
         if parts:
@@ -288,8 +306,10 @@ def interleave(made: DataFrame, length: int) -> list[DataFrame]:
 
 
 def reaches(blocks: DataFrame, made: DataFrame, length: int) -> DataFrame:
-    """k1, k2, places, reach of each text with repeated phrases: anchors and how many bytes of whole phrases from there are
-    repeated; OPEN where that is not known."""
+    """k1, k2, places, reach of each text that may hold repeated windows: anchors and how many bytes of whole phrases from
+    there are repeated; OPEN where that is not known. Anchors whose reach ends before the last whole phrase of every
+    window that they are the first anchor of are left out."""
+    (span, gram), most = shape(length), MOST_PHRASES
     schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("places", pa.list_(pa.int32())), ("reach", pa.list_(pa.int32()))])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -299,12 +319,13 @@ def reaches(blocks: DataFrame, made: DataFrame, length: int) -> DataFrame:
         docs, places = np.frombuffer(row["docs"], np.int32), np.frombuffer(row["places"], np.int32)
         keys = np.frombuffer(row["keys"], np.int64).reshape(-1, 2)
         size, depth, lo, hi = (left[c].to_numpy() for c in ("size", "depth", "lo", "hi"))
-        size = np.where((size < length) & (depth >= MOST_PHRASES), OPEN, size).astype(np.int32)
+        size = np.where((size < length) & (depth >= most), OPEN, size).astype(np.int32)
         rows, owner = _ranges(lo, hi)
         reach = np.zeros(len(docs), np.int32)
         np.maximum.at(reach, rows, size[owner])
-        some = np.flatnonzero(reach)
-        some = some[np.lexsort((places[some], docs[some]))]
+        order = np.lexsort((places, docs))
+        at = places[order].astype(np.int64)
+        some = order[(reach[order] > 0) & (at + reach[order] >= np.maximum(at - span + 1, 0) + length - span - gram + 1)]
         at = _changes(docs[some])
         offsets = pa.array(np.append(at, len(some)).astype(np.int32))
         own = keys[docs[some[at]]]
@@ -319,7 +340,7 @@ class Windows:
     """The windows of one text, given its anchors' reach."""
 
     def __init__(self, row: dict, length: int):
-        self.length, self.copies = length, row["copies"]
+        self.length, self.copies, self._sums = length, row["copies"], None
         span, gram = shape(length)
         self.data = np.frombuffer(row["text"], np.uint8)
         size = len(self.data)
@@ -335,6 +356,8 @@ class Windows:
         self.removed = self._cover(places[whole], places[whole] + reach[whole])
         if self.copies > 1:
             self.removed[:] = True
+        elif (reach >= OPEN).any():
+            self._remove_own_repeats()
         gaps = np.concatenate([[0], np.cumsum(~self.removed)])
         #: Those of them with bytes that no repeated interval covers.
         self.doubtful = self.possible & (gaps[length:] > gaps[:many])
@@ -345,22 +368,47 @@ class Windows:
         np.add.at(marks, ends, -1)
         return np.cumsum(marks[:-1]) > 0
 
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """hashes() of the text; its sums are kept unless it is very long."""
+        if len(self.data) > SLICE:
+            order = np.argsort(starts, kind="stable")
+            out = np.empty(len(starts), np.uint64)
+            out[order] = hashes(self.data, starts[order], ends[order])
+            return out
+        self._sums = sums_of(self.data) if self._sums is None else self._sums
+        return hashes_by_sums(self._sums, starts, ends)
+
+    def _remove_own_repeats(self) -> None:
+        """Removes windows that start twice in this text, as those of runs of few bytes do."""
+        some = np.flatnonzero(self.possible)
+        _, group, count = np.unique(self.hashes(some, some + self.length), return_inverse=True, return_counts=True)
+        twice = some[count[group] > 1]
+        self.remove(twice, twice + self.length)
+
     def inner(self, anchors: np.ndarray) -> np.ndarray:
         """The hash of the bytes that every window with this first anchor holds behind it."""
-        return hashes(self.data, anchors, anchors + self.length - shape(self.length)[0] + 1)
+        return self.hashes(anchors, anchors + self.length - shape(self.length)[0] + 1)
 
-    def remove(self, starts: np.ndarray) -> None:
-        self.removed |= self._cover(starts, starts + self.length)
+    def remove(self, starts: np.ndarray, ends: np.ndarray) -> None:
+        self.removed |= self._cover(starts, ends)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
-        for at in range(batch.num_rows):
-            yield from batch.slice(at, 1).to_pylist()
+        yield from batch.to_pylist()
 
 
-def _many(columns: list[list[np.ndarray]], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), t) for c, t in zip(columns, schema.types)], schema=schema)
+def _together(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of parts in batches of about BATCH_ROWS."""
+    held, rows = [], 0
+    for part in parts:
+        held.append(part)
+        rows += part.num_rows
+        if rows >= BATCH_ROWS:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, rows = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def anchor_groups(touched: DataFrame, length: int) -> DataFrame:
@@ -387,48 +435,91 @@ def anchor_groups(touched: DataFrame, length: int) -> DataFrame:
             arrays = [pa.array(c, t) for c, t in zip(columns, schema.types)] + [pa.array(x.astype(np.int32), mask=none) for x in (low, high)]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    return touched.mapInArrow(run, "inner long, k1 long, k2 long, anchor int, low int, high int")
+    return touched.mapInArrow(lambda batches: _together(run(batches)), "inner long, k1 long, k2 long, anchor int, low int, high int")
+
+
+def _asked(own: Windows, asks: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the windows with repeated whole phrases that are asked for, in order, and their first anchors."""
+    wanted = np.array(sorted((x["anchor"], x["low"], x["high"]) for x in asks), np.int64).reshape(-1, 3)
+    since = np.maximum(wanted[:, 0] - wanted[:, 2], 0)
+    starts, owner = _ranges(since, np.maximum(wanted[:, 0] - wanted[:, 1] + 1, since))
+    inside = starts < len(own.first)
+    starts, anchors = starts[inside], wanted[owner[inside], 0]
+    right = (own.first[starts] == anchors) & own.possible[starts]
+    return starts[right], anchors[right]
+
+
+def cells(asked: DataFrame, length: int) -> DataFrame:
+    """core, hull, inner, copies, k1, k2, anchor, low, start, end, doubt of the cells of the windows asked for: asks lists
+    anchors and distances low to high.
+
+    A cell holds the windows low to low + cell_size() - 1 before their first anchor. core is the hash of the bytes that all of them
+    share, hull of all their bytes, start to end, null if the text ends before; doubt is whether one is doubtful.
+    """
+    size = cell_size(length)
+    longs = [(x, pa.int64()) for x in ("core", "hull", "inner", "copies", "k1", "k2")]
+    schema = pa.schema([*longs, *[(x, pa.int32()) for x in ("anchor", "low", "start", "end")], ("doubt", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            own = Windows(row, length)
+            starts, anchors = _asked(own, row["asks"])
+            if not len(starts):
+                continue
+            low = (anchors - starts) // size * size
+            at = np.unique(np.concatenate([_changes(anchors), _changes(low)]))
+            doubt = np.logical_or.reduceat(own.doubtful[starts], at)
+            anchors, low = anchors[at], low[at]
+            last, first = anchors - low, anchors - low - size + 1
+            whole = (first >= 0) & (last + length <= len(own.data))
+            core, hull = own.hashes(last, first + length), np.zeros(len(at), np.uint64)
+            hull[whole] = own.hashes(first[whole], last[whole] + length)
+            inner = own.inner(anchors)
+            many = [core.view(np.int64), hull.view(np.int64), inner.view(np.int64), *[np.full(len(at), row[k]) for k in ("copies", *_KEY)], anchors, low, first, last + length, doubt]
+            arrays = [pa.array(c.astype(t.to_pandas_dtype()), t, mask=~whole if name == "hull" else None) for name, t, c in zip(schema.names, schema.types, many)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    return asked.mapInArrow(lambda batches: _together(run(batches)), "core long, hull long, inner long, copies long, k1 long, k2 long, anchor int, low int, start int, end int, doubt boolean")
 
 
 def window_hashes(asked: DataFrame, length: int) -> DataFrame:
-    """hash, inner, copies, k1, k2, at of the windows asked for: asks lists anchors and distances low to high. The place
-    `at` is null for windows that are not doubtful."""
+    """hash, inner, copies, k1, k2, at of the windows asked for, as cells() takes them. The place `at` is null for windows
+    that are not doubtful."""
     schema = pa.schema([("hash", pa.int64()), ("inner", pa.int64()), ("copies", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("at", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             own = Windows(row, length)
-            asks = np.array(sorted((x["anchor"], x["low"], x["high"]) for x in row["asks"]), np.int64).reshape(-1, 3)
-            since = np.maximum(asks[:, 0] - asks[:, 2], 0)
-            starts, owner = _ranges(since, np.maximum(asks[:, 0] - asks[:, 1] + 1, since))
-            inside = starts < len(own.first)
-            starts, owner = starts[inside], owner[inside]
-            right = (own.first[starts] == asks[owner, 0]) & own.possible[starts]
-            starts, owner = starts[right], owner[right]
+            starts, anchors = _asked(own, row["asks"])
             if not len(starts):
                 continue
-            inner = own.inner(asks[:, 0])[owner]
-            whole = hashes(own.data, starts, starts + length)
-            doubtful = own.doubtful[starts]
+            whole, inner, doubtful = own.hashes(starts, starts + length), own.inner(anchors), own.doubtful[starts]
             columns = [whole.view(np.int64), inner.view(np.int64), np.full(len(starts), own.copies)]
             arrays = [pa.array(c) for c in columns] + [pa.array(np.full(len(starts), row[k]), mask=~doubtful) for k in _KEY]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(starts.astype(np.int32), mask=~doubtful)], schema=schema)
 
-    return asked.mapInArrow(run, "hash long, inner long, copies long, k1 long, k2 long, at int")
+    return asked.mapInArrow(lambda batches: _together(run(batches)), "hash long, inner long, copies long, k1 long, k2 long, at int")
 
 
 def cut(touched: DataFrame, length: int) -> DataFrame:
-    """k1, k2, n_removed, n_spans, kept_sha256, spans (array<struct<start, end>>, in bytes) of texts with their reach and the
-    places of repeated windows (hits, may be null)."""
+    """k1, k2, n_removed, n_spans, kept_sha256, spans (array<struct<start, end>>, in bytes) of texts with their reach, the
+    spans of repeated cells and the places of repeated windows (wide and hits, both may be null)."""
     schema = pa.schema(
         [("k1", pa.int64()), ("k2", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
         + [("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]
     )
+    none = hashlib.sha256().hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
+            if row["copies"] > 1:
+                values = [row["k1"], row["k2"], len(row["text"]), 1, none, [{"start": 0, "end": len(row["text"])}]]
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, schema.types)], schema=schema)
+                continue
             own = Windows(row, length)
-            own.remove(np.array(row["hits"] or [], np.int64))
+            starts = np.array(row["hits"] or [], np.int64)
+            wide = np.array([(x["start"], x["end"]) for x in row["wide"] or []], np.int64).reshape(-1, 2)
+            own.remove(np.concatenate([starts, wide[:, 0]]), np.concatenate([starts + length, wide[:, 1]]))
             edge = np.flatnonzero(np.diff(np.concatenate([[False], own.removed, [False]]).astype(np.int8)))
             spans = [{"start": int(a), "end": int(b)} for a, b in edge.reshape(-1, 2)]
             digest = hashlib.sha256(own.data[~own.removed].tobytes()).hexdigest()
@@ -436,7 +527,7 @@ def cut(touched: DataFrame, length: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, schema.types)], schema=schema)
 
     kind = "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
-    return touched.mapInArrow(run, kind)
+    return touched.mapInArrow(lambda batches: _together(run(batches)), kind)
 
 
 def _filtered(texts: DataFrame, marks: Marks) -> DataFrame:
@@ -449,6 +540,11 @@ def _filtered(texts: DataFrame, marks: Marks) -> DataFrame:
     return texts.mapInArrow(run, "k1 long, k2 long, text binary")
 
 
+def _with_asks(touched: DataFrame, asks: DataFrame) -> DataFrame:
+    """The texts with asks, a list of the anchors and distances (anchor, low, high) that are asked of each."""
+    return touched.join(asks.groupBy(*_KEY).agg(F.collect_list(F.struct("anchor", "low", "high")).alias("asks")), _KEY)
+
+
 def find(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """k1, k2, n_removed, n_spans, kept_sha256, spans for each distinct text with bytes to remove, and for some without.
 
@@ -472,13 +568,24 @@ def find(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
         groups = common.materialize(anchor_groups(touched, length), "repeat-anchors")
         doubt = groups.where("low IS NOT NULL").groupBy("inner").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-        asks = groups.select("inner", *_KEY, "anchor").join(doubt, "inner").groupBy(*_KEY).agg(F.collect_list(F.struct("anchor", "low", "high")).alias("asks"))
-        windows = common.materialize(window_hashes(touched.join(asks, _KEY), length), "repeat-windows")
+        asks = groups.select("inner", *_KEY, "anchor").join(doubt, "inner")
+        near = common.materialize(cells(_with_asks(touched, asks), length), "repeat-cells")
         common.drop(groups)
+        twice = near.where("hull IS NOT NULL").groupBy("hull", "inner").agg(F.sum("copies").alias("_n")).where("_n > 1")
+        sure = near.where("doubt").join(twice, ["hull", "inner"]).select(*_KEY, "anchor", "low", "start", "end")
+        sure = common.materialize(sure, "repeat-sure")
+        left = near.where("doubt").join(sure.select(*_KEY, "anchor", "low"), [*_KEY, "anchor", "low"], "left_anti").select("core", "inner").distinct()
+        shared = near.groupBy("core", "inner").agg(F.sum("copies").alias("_n")).where("_n > 1").join(left, ["core", "inner"]).drop("_n")
+        shared = common.materialize(shared, "repeat-cores")
+        asks = near.join(shared, ["core", "inner"]).select(*_KEY, "anchor", "low", (F.col("low") + cell_size(length) - 1).alias("high"))
+        windows = common.materialize(window_hashes(_with_asks(touched, asks), length), "repeat-windows")
+        common.drop(near, shared)
         twice = windows.groupBy("hash", "inner").agg(F.sum("copies").alias("_n")).where("_n > 1").drop("_n")
+        twice = common.materialize(twice, "repeat-twice")
         hits = windows.where("at IS NOT NULL").join(twice, ["hash", "inner"]).groupBy(*_KEY).agg(F.collect_list("at").alias("hits"))
-        out = common.materialize(cut(touched.join(hits, _KEY, "left"), length), "repeat-spans")
-        common.drop(touched, windows)
+        wide = sure.groupBy(*_KEY).agg(F.collect_list(F.struct("start", "end")).alias("wide"))
+        out = common.materialize(cut(touched.join(hits, _KEY, "left").join(wide, _KEY, "left"), length), "repeat-spans")
+        common.drop(touched, windows, twice, sure)
     return out
 
 

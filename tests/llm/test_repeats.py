@@ -57,7 +57,6 @@ def corpus(seed, alphabet, words, length):
 @pytest.mark.parametrize(("seed", "alphabet", "words", "length"), [(1, "abcdefgh", 300, 40), (2, "ab", 30, 25), (3, "aé√bcde", 400, 60), (4, "abcdefghijkl", 500, 13), (5, "abcdefgh", 800, 400)])
 def test_equals_brute_force(spark, documents, monkeypatch, seed, alphabet, words, length):
     monkeypatch.setattr(repeats, "SHARD", 500)
-    monkeypatch.setattr(repeats, "SLICE", 777)
     rows = corpus(seed, alphabet, words, length)
     assert result(repeats.summarize(documents(rows).repartition(5), length)) == brute(rows, length)
 
@@ -111,6 +110,18 @@ def test_anchors_depend_on_content_only():
     assert (found[0] == found[1]).all() and (found[0] == found[2]).all()
 
 
+def test_slices_change_nothing(monkeypatch):
+    data = np.random.default_rng(4).integers(97, 101, 5000).astype(np.uint8)
+    starts = np.arange(0, 4900, 3)
+    once = repeats.least_places(data, 30, 8), repeats.hashes(data, starts, starts + 77)
+    monkeypatch.setattr(repeats, "SLICE", 777)
+    again = repeats.least_places(data, 30, 8), repeats.hashes(data, starts, starts + 77)
+    assert all((a == b).all() for a, b in zip(once, again))
+    assert len(np.unique(once[1])) == len({data[i : i + 77].tobytes() for i in starts})
+    grams = [data[i : i + 8].tobytes() for i in range(4993)]
+    assert all(grams[p] in grams[i : i + 30] and i <= p < i + 30 for i, p in enumerate(once[0][:500]))
+
+
 def test_query_equals_sql(spark, data):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{data}/documents.parquet'")
