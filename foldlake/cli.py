@@ -1,5 +1,5 @@
-"""Command line: build, to-yaml, filter-interactions, triplet. Lookup payloads are staged JSON lines and structures staged
-files; nothing is fetched but the catalogue, if a URL is given."""
+"""Command line: build, to-yaml, filter-interactions, triplet. Lookup payloads are staged JSON lines. The catalogue and
+missing structure files are fetched if their URLs are given; all else is staged."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from foldlake.functions.text import component_label
 from foldlake.operators import sequences, summary
 from foldlake.plans import build, contacts, phases
 from foldlake.session import session
-from foldlake.sources import catalogue, payloads, sinks, structures
+from foldlake.sources import catalogue, entries, payloads, sinks, structures
 
 
 def parser() -> argparse.ArgumentParser:
@@ -25,6 +25,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--output", default="./output")
     p.add_argument("--data-dir", default="./data", help="holds catalogue.tsv; proteins, chains, structures, entities as JSON; files, the structures by entry")
     p.add_argument("--url", help="where to fetch the catalogue if it is missing")
+    p.add_argument("--structure-url", help="template with {id} and {kind}, from which missing structure files are fetched")
     p.add_argument("--limit", type=int)
     p.add_argument("--resolution", type=float, default=2.5)
     p.add_argument("--identity", type=float, default=50.0)
@@ -34,6 +35,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--epitope-distance", type=float, default=5.0)
     p.add_argument("--epitope-identity", type=float, default=80.0)
     p.add_argument("--epitope-rmsd", type=float, default=1.5)
+    refining(p)
     p = sub.add_parser("to-yaml", help="sequence and bond documents of the CIF files below a folder")
     p.add_argument("--input", required=True)
     p.add_argument("--output", required=True)
@@ -48,9 +50,15 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--data-dir", default="./data", help="holds pairs.csv, or the pairs folder of build, and the files that it names")
     p.add_argument("--output")
     p.add_argument("--dry-run", action="store_true")
+    refining(p)
     return top
 
 
+def refining(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--refine-cycles", type=int, default=0, help="how often superposition drops pairs that do not fit; 0: never")
+    p.add_argument("--refine-cutoff", type=float, default=2.0, help="pairs farther apart than so many times the rmsd do not fit")
+
+
 def run_build(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     path = f"{a.data_dir}/catalogue.tsv"
     if a.url:
@@ -70,13 +78,18 @@ def run_build(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
         options,
     )
     if not a.dry_run:
+        points.write.mode("overwrite").parquet(f"{a.output}/resolved")
+        resolved = spark.read.parquet(f"{a.output}/resolved")
         staged = f"{a.data_dir}/files"
+        if a.structure_url:
+            needed = resolved.where("status = 'success'").select(F.explode(F.array("pdb_id_human", "pdb_id_mouse")).alias("structure_id"))
+            entries.fetch(needed, folder_uri(staged), a.structure_url).write.mode("overwrite").parquet(f"{a.output}/fetched")
         none = "://" not in staged and not os.path.isdir(staged)
         found = spark.createDataFrame([], "path string, content binary") if none else structures.files(spark, staged)
         files = phases.by_entry(found)
-        points.write.mode("overwrite").parquet(f"{a.output}/resolved")
-        resolved = spark.read.parquet(f"{a.output}/resolved")
-        points, motions = phases.process(resolved, files, a.epitope_distance, a.epitope_identity, a.epitope_rmsd)
+        parsed = structures.stage(files, f"{a.output}/atoms")
+        measured = (a.epitope_distance, a.epitope_identity, a.epitope_rmsd, a.refine_cycles, a.refine_cutoff)
+        points, motions = phases.process(resolved, parsed, *measured)
         motions.write.mode("overwrite").parquet(f"{a.output}/motions")
     else:
         points = with_fields(points)
@@ -84,7 +97,7 @@ def run_build(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     written = spark.read.parquet(f"{a.output}/points")
     if written.where("status = 'success'").limit(1).count():
         sinks.write_csv(build.pairs(written), f"{a.output}/pairs")
-        listed = phases.write(written, spark.read.parquet(f"{a.output}/motions"), files, folder_uri(a.output))
+        listed = phases.write(written, spark.read.parquet(f"{a.output}/motions"), files, parsed, folder_uri(a.output))
         listed.write.mode("overwrite").parquet(f"{a.output}/written")
     if written.limit(1).count():
         sinks.write_csv(written.select(*build.FIELDS), f"{a.output}/dataset_summary")
@@ -172,11 +185,6 @@ def run_filter(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return out
 
 
-def kept_of_total(found: DataFrame) -> DataFrame:
-    """kept, total of a result of run_filter."""
-    return found.agg(F.count_if("passed").alias("kept"), F.count("*").alias("total"))
-
-
 def run_triplet(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     at = next((p for p in (f"{a.data_dir}/pairs.csv", f"{a.data_dir}/pairs") if os.path.exists(p)), f"{a.data_dir}/pairs.csv")
     pairs = spark.read.option("header", True).csv(at)
@@ -190,7 +198,7 @@ def run_triplet(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
         out = out.withColumn("mouse_antigen_chain", F.lit("A"))
     if "human_antigen_chains" not in pairs.columns:
         out = out.withColumn("human_antigen_chains", F.lit("A"))
-    out, files = phases.align_triplets(out, found.withColumn("structure_id", F.col("path")))
+    out, files = phases.align_triplets(out, found.withColumn("structure_id", F.col("path")), a.refine_cycles, a.refine_cutoff)
     to = a.output or f"{a.data_dir}/HumanMouseAntigenAntibody"
     sinks.write_texts(files, folder_uri(to), "name", "text").write.format("noop").mode("overwrite").save()
     sinks.write_csv(out, f"{to}/triplets")

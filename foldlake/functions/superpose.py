@@ -1,4 +1,4 @@
-"""Least-squares superposition of paired points (Kabsch)."""
+"""Least-squares superposition of paired points (Kabsch), with rejection of outliers if asked."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LEAST_PAIRS = 3
+#: Distances up to this are rounding, not outliers.
+EXACT = 1e-6
 
 
 def kabsch(mobile: np.ndarray, fixed: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
@@ -21,22 +23,38 @@ def kabsch(mobile: np.ndarray, fixed: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return rotation, shift, rmsd
 
 
-def superpose(pairs: DataFrame, key: str) -> DataFrame:
-    """key, n, rmsd, rotation (nine numbers by rows), shift for each key of paired points (x, y, z, fx, fy, fz).
+def refined(mobile: np.ndarray, fixed: np.ndarray, cycles: int, cutoff: float) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
+    """kabsch() of the pairs that stay when those farther apart than cutoff times the rmsd are dropped and the rest is fitted
+    again, up to so many times, until none goes; and which pairs stay. Three pairs stay at least."""
+    kept = np.ones(len(mobile), bool)
+    rotation, shift, rmsd = kabsch(mobile, fixed)
+    for _ in range(cycles):
+        far = np.sqrt(((mobile @ rotation.T + shift - fixed) ** 2).sum(axis=1))
+        near = kept & (far <= max(cutoff * rmsd, EXACT))
+        if near.sum() < LEAST_PAIRS or (near == kept).all():
+            break
+        kept = near
+        rotation, shift, rmsd = kabsch(mobile[kept], fixed[kept])
+    return rotation, shift, rmsd, kept
 
-    Pairs with a null coordinate do not count; a key with fewer than three pairs has null results. One key's points are
-    one structure and meet in one task.
+
+def superpose(pairs: DataFrame, key: str, cycles: int = 0, cutoff: float = 2.0) -> DataFrame:
+    """key, n, kept, rmsd, rotation (nine numbers by rows), shift for each key of paired points (x, y, z, fx, fy, fz).
+
+    Pairs with a null coordinate do not count; a key with fewer than three pairs has null results. With cycles, pairs that
+    do not fit are rejected as refined() says, and kept tells how many stay. One key's points are one structure and meet in
+    one task.
     """
     kind = dict(pairs.dtypes)[key]
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         found = rows.dropna(subset=["x", "y", "z", "fx", "fy", "fz"])
-        out = {key: rows[key].iloc[0], "n": len(found), "rmsd": None, "rotation": None, "shift": None}
+        out = {key: rows[key].iloc[0], "n": len(found), "kept": None, "rmsd": None, "rotation": None, "shift": None}
         if len(found) >= LEAST_PAIRS:
-            rotation, shift, rmsd = kabsch(found[["x", "y", "z"]].to_numpy(float), found[["fx", "fy", "fz"]].to_numpy(float))
-            out |= {"rmsd": rmsd, "rotation": rotation.ravel().tolist(), "shift": shift.tolist()}
+            rotation, shift, rmsd, kept = refined(found[["x", "y", "z"]].to_numpy(float), found[["fx", "fy", "fz"]].to_numpy(float), cycles, cutoff)
+            out |= {"kept": int(kept.sum()), "rmsd": rmsd, "rotation": rotation.ravel().tolist(), "shift": shift.tolist()}
         return pd.DataFrame([out])
 
     points = [F.col(c).cast("double").alias(c) for c in ("x", "y", "z", "fx", "fy", "fz")]
-    schema = f"{key} {kind}, n long, rmsd double, rotation array<double>, shift array<double>"
+    schema = f"{key} {kind}, n long, kept long, rmsd double, rotation array<double>, shift array<double>"
     return pairs.select(key, *points).groupBy(key).applyInPandas(fit, schema)

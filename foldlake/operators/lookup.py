@@ -23,14 +23,17 @@ PIECES = (1, 2, 4, 8)
 def holding(keys: DataFrame, names: DataFrame, key: str, name: str) -> DataFrame:
     """key, name: the distinct pairs in which the name holds the key; empty keys are in none.
 
-    Names are indexed by their pieces, at most one of each length of PIECES for each character, and a key meets the names
-    that have its first piece of the greatest length it reaches. So both sides meet in an equi-join, not each with all.
+    Names are indexed by their pieces, at most one of each length of PIECES for each character. Of a key's pieces of the
+    greatest length it reaches the rarest one decides: the key meets the names with that piece. So both sides meet in an
+    equi-join, and names that all begin alike are met only by keys that hold nothing rarer. A key with a piece that no name
+    has is in none.
     """
     wanted = keys.select(F.col(key).alias("_k")).where("_k <> ''").distinct()
     size = F.lit(0)
     for length in PIECES:
         size = F.when(F.length("_k") >= length, F.lit(length)).otherwise(size)
-    wanted = wanted.withColumn("_size", size).withColumn("_piece", F.expr("substring(_k, 1, _size)"))
+    own = F.expr("array_distinct(transform(sequence(1, length(_k) - _size + 1), i -> substring(_k, i, _size)))")
+    own = wanted.withColumn("_size", size).withColumn("_own", own).select("_k", "_size", F.size("_own").alias("_many"), F.explode("_own").alias("_piece"))
     pieces = [
         F.expr(f"IF(length(_n) >= {x}, transform(sequence(1, length(_n) - {x - 1}), i -> struct({x} AS size, substring(_n, i, {x}) AS piece)), array())")
         for x in PIECES
@@ -38,7 +41,10 @@ def holding(keys: DataFrame, names: DataFrame, key: str, name: str) -> DataFrame
     index = names.select(F.col(name).alias("_n")).where("_n <> ''").distinct()
     index = index.select("_n", F.explode(F.array_distinct(F.concat(*pieces))).alias("_p"))
     index = index.select("_n", F.col("_p.size").alias("_size"), F.col("_p.piece").alias("_piece"))
-    met = wanted.join(index, ["_size", "_piece"]).where(F.col("_n").contains(F.col("_k")))
+    counted = own.join(index.groupBy("_size", "_piece").agg(F.count("*").alias("_c")), ["_size", "_piece"])
+    rarest = counted.groupBy("_k", "_size", "_many").agg(F.count("*").alias("_found"), F.min(F.struct("_c", "_piece")).alias("_r"))
+    chosen = rarest.where("_found = _many").select("_k", "_size", F.col("_r._piece").alias("_piece"))
+    met = chosen.join(index, ["_size", "_piece"]).where(F.col("_n").contains(F.col("_k")))
     return met.select(F.col("_k").alias(key), F.col("_n").alias(name))
 
 
@@ -93,7 +99,7 @@ def complex_status(threshold: float, dry_run: bool) -> tuple[Column, Column]:
     structure_pdb."""
     own = F.col("sabdab_pdb").isNotNull()
     low = ~own & (F.col("identity") < threshold)
-    message = F.format_string("Sequence identity %.1f%% below threshold", F.col("identity"))
+    message = F.format_string(f"Sequence identity %.1f%% below threshold {float(threshold)}%%", F.col("identity"))
     # The messages of the build's table.
     cases = [
         (F.col("uniprot").isNull(), "failed", "Could not map antigen chain to UniProt"),

@@ -64,3 +64,8 @@ def paired_rmsd(left: DataFrame, right: DataFrame, key: str, order: str, xyz: Se
     both = ranked(left, "_a").join(ranked(right, "_b"), [key, "_rank"])
     gap = sum(((F.col(f"_a{c}") - F.col(f"_b{c}")) * (F.col(f"_a{c}") - F.col(f"_b{c}")) for c in xyz), F.lit(0.0))
     return both.groupBy(key).agg(F.count("*").cast("long").alias("n_pairs"), F.sqrt(F.avg(gap)).alias("rmsd"))
+
+
+def kept_of_total(found: DataFrame) -> DataFrame:
+    """kept, total of rows with passed."""
+    return found.agg(F.count_if("passed").alias("kept"), F.count("*").alias("total"))

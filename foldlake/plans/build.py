@@ -42,7 +42,7 @@ def mouse_candidates(df: DataFrame, wanted: DataFrame, options: Options) -> Data
     found = found.where(number <= options.resolution)
     complete = catalogue.present("Hchain") & catalogue.present("Lchain")
     best = catalogue.best_candidates(found, ["antigen_name"], complete, number, ["m_ordinal"])
-    return best.select("antigen_name", F.col("m_pdb").alias("sabdab_pdb"), first_spaced("m_chains").alias("sabdab_chain"), "tier")
+    return best.select("antigen_name", F.col("m_pdb").alias("sabdab_pdb"), first_spaced("m_chains").alias("sabdab_chain"), F.col("m_name").alias("sabdab_name"), "tier")
 
 
 def orthologs(proteins: DataFrame, options: Options) -> DataFrame:
@@ -70,26 +70,33 @@ def orthologs(proteins: DataFrame, options: Options) -> DataFrame:
 
 
 def data_points(df: DataFrame, chain_map: DataFrame, proteins: DataFrame, structures: DataFrame, chains: DataFrame, options: Options) -> DataFrame:
-    """A row for each unique complex with its counterpart, status and message; a null antigen name takes no catalogue match."""
-    rows = complexes(df, options).withColumn("chain", first_chain("antigen_chain")).withColumn("pdb", F.lower("pdb"))
+    """A row for each unique complex with its counterpart, status and message; a null antigen name takes no catalogue match.
+
+    The mouse gene is that of the branch taken: the antigen name of a catalogue match, else the ortholog's gene. A row that
+    fails before a structure is chosen has no mouse entry, chain, source and gene; of its ortholog only the accession stays.
+    """
+    kept = complexes(df, options)
+    rows = kept.withColumn("chain", first_chain("antigen_chain")).withColumn("pdb", F.lower("pdb"))
     mapped = chain_map.select("pdb", "chain", F.col("accession").alias("uniprot"), "rank")
     rows = lookup.first_match(rows, mapped, ["pdb", "chain"], ["rank"]).drop("rank")
     info = proteins.select(F.col("accession").alias("uniprot"), F.col("protein_name").alias("protein_name_found"), "gene_name")
     rows = rows.join(info, "uniprot", "left")
     if options.use_catalogue_mice:
-        rows = rows.join(mouse_candidates(df, rows, options), "antigen_name", "left")
+        rows = rows.join(mouse_candidates(df, kept, options), "antigen_name", "left")
     else:
-        rows = rows.withColumns({c: F.lit(None).cast("string") for c in ("sabdab_pdb", "sabdab_chain")}).withColumn("tier", F.lit(None).cast("int"))
+        rows = rows.withColumns({c: F.lit(None).cast("string") for c in ("sabdab_pdb", "sabdab_chain", "sabdab_name")}).withColumn("tier", F.lit(None).cast("int"))
     rows = rows.join(orthologs(proteins, options), "uniprot", "left")
     hits = structures.select(F.col("accession").alias("ortholog"), F.col("pdb").alias("structure_pdb"), "entity", "rank")
     rows = lookup.first_match(rows, hits, ["ortholog"], ["rank"]).drop("rank")
     first = chains.select(F.upper("pdb").alias("structure_pdb"), "entity", F.try_element_at("chains", F.lit(1)).alias("structure_chain"))
     rows = rows.join(first, ["structure_pdb", "entity"], "left").withColumn("structure_chain", or_default("structure_chain", "A"))
-    sides = {"pdb_id_mouse": ("sabdab_pdb", "structure_pdb"), "mouse_antigen_chain": ("sabdab_chain", "structure_chain")}
+    sides = {"pdb_id_mouse": ("sabdab_pdb", "structure_pdb"), "mouse_antigen_chain": ("sabdab_chain", "structure_chain"), "mouse_gene_name": ("sabdab_name", "mouse_gene")}
     rows = lookup.prefer(rows, sides, "sabdab_pdb", ("SAbDab", "RCSB")).withColumnRenamed("source", "mouse_structure_source")
     state, message = lookup.complex_status(options.identity, options.dry_run)
     own = F.col("sabdab_pdb").isNotNull()
     rows = rows.withColumn("status", state).withColumn("error_message", message)
+    chosen = F.col("status") != "failed"
+    rows = rows.withColumns({c: F.when(chosen, F.col(c)) for c in (*sides, "mouse_structure_source")})
     return rows.select(
         F.concat(F.lit("DP_"), "pdb", F.lit("_"), "chain").alias("id"),
         F.col("pdb").alias("pdb_id_human"),
@@ -103,11 +110,11 @@ def data_points(df: DataFrame, chain_map: DataFrame, proteins: DataFrame, struct
         F.when(~own, F.col("ortholog")).alias("mouse_uniprot"),
         "gene_name",
         F.col("protein_name_found").alias("protein_name"),
-        F.when(own, 100.0).otherwise(F.col("identity")).alias("sequence_identity"),
+        F.when(own, F.when(chosen, 100.0)).otherwise(F.col("identity")).alias("sequence_identity"),
         "status",
         "error_message",
         "mouse_structure_source",
-        F.coalesce("mouse_gene", "gene_name").alias("mouse_gene_name"),
+        "mouse_gene_name",
         "ordinal",
     )
 
@@ -117,6 +124,22 @@ def pair_name():
     return F.concat_ws("_", sanitize("gene_name", "Human"), sanitize("mouse_gene_name", "Mouse"))
 
 
+def antigen_chains():
+    """All antigen chains of a point; the first one where there is no list."""
+    many = F.col("human_antigen_chains")
+    return F.when(F.size(many) > 0, many).otherwise(F.array("human_antigen_chain"))
+
+
+def point_key():
+    """The name of a point's own files: its id and its other antigen chains, as complexes of one entry may share an id."""
+    return sanitize(F.array_join(F.concat(F.array("id"), F.slice(antigen_chains(), 2, F.size(antigen_chains()))), "_"), "DP", 120)
+
+
+def pair_folder():
+    """The folder of a point's pair files: a folder for each success below that of its pair of genes."""
+    return F.concat(F.lit("HumanMouse/"), pair_name(), F.lit("/"), point_key())
+
+
 #: Columns of a data point, in the order of the summary table.
 FIELDS = (
     "id pdb_id_human pdb_id_mouse human_antigen_chain mouse_antigen_chain heavy_chain light_chain human_uniprot mouse_uniprot"
@@ -132,15 +155,15 @@ def pairs(points: DataFrame) -> DataFrame:
     for name, kind in kinds.items():
         if name not in points.columns:
             points = points.withColumn(name, F.lit(None).cast(kind))
-    split = F.concat(F.lit("SAbDab/{0}/"), F.col("pdb_id_human"), F.lit("_{0}.cif"))
+    split = F.concat(F.lit("SAbDab/{0}/"), point_key(), F.lit("_{0}.cif"))
 
     def part(name: str):
         return F.replace(split, F.lit("{0}"), F.lit(name))
 
     columns = {
-        "pair_dir": F.concat(F.lit("HumanMouse/"), F.col("pair_name")),
+        "pair_dir": pair_folder(),
         "human_antigen_pdb": F.col("pdb_id_human"),
-        "human_antigen_chains": F.array_join("human_antigen_chains", ","),
+        "human_antigen_chains": F.array_join(antigen_chains(), ","),
         "human_antigen_gene": F.col("gene_name"),
         "human_antigen_uniprot": F.col("human_uniprot"),
         "human_antigen_name": F.col("protein_name"),

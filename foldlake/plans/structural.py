@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldlake.operators import chains, epitopes, sequences
+from foldlake.functions.superpose import superpose
+from foldlake.operators import chains, epitopes, pairs, sequences, summary
 from foldlake.plans import build, phases
 from foldlake.plans.catalogue import query
 from foldlake.sources import payloads, sinks, structures
@@ -255,8 +256,8 @@ def _points(t) -> DataFrame:
 
 
 @query("""SELECT regexp_replace(o_orderpriority, '[^a-zA-Z0-9_-]', '_', 'g') || '_g_' || CAST(o_custkey % 10 AS VARCHAR) AS pair_name, CAST(o_orderkey AS VARCHAR) AS human_antigen_pdb,
-CASE WHEN o_custkey % 2 = 0 THEN 'A,B' ELSE '' END AS human_antigen_chains, 'SAbDab/antigen/' || CAST(o_orderkey AS VARCHAR) || '_antigen.cif' AS human_antigen_file,
-'MouseAntigen/g_' || CAST(o_custkey % 10 AS VARCHAR) || '.cif' AS mouse_antigen_file, 'SAbDab/antibody/' || CAST(o_orderkey AS VARCHAR) || '_antibody.cif' AS antibody_file,
+CASE WHEN o_custkey % 2 = 0 THEN 'A,B' ELSE 'A' END AS human_antigen_chains, 'SAbDab/antigen/DP_' || CAST(o_orderkey AS VARCHAR) || CASE WHEN o_custkey % 2 = 0 THEN '_B' ELSE '' END || '_antigen.cif' AS human_antigen_file,
+'MouseAntigen/g_' || CAST(o_custkey % 10 AS VARCHAR) || '.cif' AS mouse_antigen_file, 'SAbDab/antibody/DP_' || CAST(o_orderkey AS VARCHAR) || CASE WHEN o_custkey % 2 = 0 THEN '_B' ELSE '' END || '_antibody.cif' AS antibody_file,
 CAST(o_custkey % 10 AS DOUBLE) AS alignment_rmsd FROM orders WHERE o_orderstatus = 'F'""")
 def pair_table(t):
     return build.pairs(_points(t)).select("pair_name", "human_antigen_pdb", "human_antigen_chains", "human_antigen_file", "mouse_antigen_file", "antibody_file", "alignment_rmsd")
@@ -284,14 +285,14 @@ def build_log(t):
 FROM (SELECT o_custkey % 10 AS k, o_orderkey, o_custkey, min(o_orderkey) OVER (PARTITION BY o_custkey % 10) AS first FROM orders WHERE o_orderstatus = 'F') GROUP BY k""")
 def library_files(t):
     points = _points(t)
-    motions = points.select("id", F.array(F.lit(1.0)).alias("rotation"), F.array(F.lit(0.0)).alias("shift"))
+    motions = points.select(build.point_key().alias("id"), F.array(F.lit(1.0)).alias("rotation"), F.array(F.lit(0.0)).alias("shift"))
     return phases.library_jobs(points, motions).select("name", "entry")
 
 
 @query("""WITH o AS (SELECT o_orderkey, o_custkey % 11 AS k, CAST(o_totalprice / 5000 AS DOUBLE) AS i FROM orders)
 SELECT o_orderkey, CASE WHEN k IN (0, 1) OR k NOT IN (2, 3) AND (k = 4 OR i < 20 OR k = 5) THEN 'failed' ELSE 'success' END AS status,
 CASE WHEN k = 0 THEN 'Could not map antigen chain to UniProt' WHEN k = 1 THEN 'Could not retrieve UniProt info' WHEN k IN (2, 3) THEN ''
-WHEN k = 4 THEN 'No mouse ortholog found' WHEN i < 20 THEN printf('Sequence identity %.1f%% below threshold', i)
+WHEN k = 4 THEN 'No mouse ortholog found' WHEN i < 20 THEN printf('Sequence identity %.1f%% below threshold 20.0%%', i)
 WHEN k = 5 THEN 'No PDB structure found for mouse ortholog' ELSE '' END AS error_message FROM o""")
 def build_status(t):
     """The ladder of the build over orders that lack one thing or another."""
@@ -309,6 +310,74 @@ def build_status(t):
 
 @query("""SELECT CAST(count(*) FILTER (o_orderstatus = 'F') AS BIGINT) AS kept, CAST(count(*) AS BIGINT) AS total FROM orders""")
 def kept_of_total(t):
-    from foldlake.cli import kept_of_total as report
+    return summary.kept_of_total(t("orders").select((F.col("o_orderstatus") == "F").alias("passed")))
 
-    return report(t("orders").select((F.col("o_orderstatus") == "F").alias("passed")))
+
+@query(f"""{_SQL_ATOMS}, e AS (SELECT DISTINCT g.structure_id, g.vec_id FROM a g JOIN a b ON g.structure_id = b.structure_id AND g.chain = 'A' AND b.chain = 'B'
+AND (g.x-b.x)*(g.x-b.x)+(g.y-b.y)*(g.y-b.y)+(g.z-b.z)*(g.z-b.z) <= 1.0),
+n AS (SELECT structure_id, count(*) AS n FROM a WHERE chain = 'A' GROUP BY structure_id HAVING count(*) >= 3),
+m AS (SELECT structure_id, count(*) AS k, count(*) FILTER (vec_id % 7 <> 0) AS same FROM e GROUP BY structure_id)
+SELECT structure_id AS id, CAST(n AS BIGINT) AS n_pairs, CAST(0 AS DOUBLE) AS alignment_rmsd, CAST(k AS BIGINT) AS num_contacts, round(same * 100.0 / k, 6) AS epitope_identity,
+CASE WHEN k > 0 THEN CAST(0 AS DOUBLE) END AS epitope_rmsd, same * 100.0 / k >= 80 AS epitope_consistent FROM n LEFT JOIN m USING (structure_id)""")
+def pair_measures(t):
+    """All measures of a pair in one pass: a chain near another, against its copy that is moved and has other residues here
+    and there."""
+    atoms = _atoms(t)
+    own = atoms.where("auth_asym_id = 'A'")
+    roles = F.when(F.col("auth_asym_id") == "A", pairs.REFERENCE | pairs.ANTIGEN).otherwise(pairs.ANTIBODY)
+    changed = F.when(F.col("atom_serial") % 7 == 0, "TRP").otherwise(F.col("label_comp_id"))
+    copy = own.withColumns({"x": 5 - F.col("y"), "y": F.col("x") - 2, "z": F.col("z") + 1, "label_comp_id": changed, "roles": F.lit(pairs.OTHER)})
+    both = atoms.withColumn("roles", roles).unionByName(copy).withColumnRenamed("structure_id", "id")
+    out = pairs.measures(both, distance=1.0).where("n_pairs IS NOT NULL")
+    near = [(F.round(c, 6) + F.lit(0.0)).alias(c) for c in ("alignment_rmsd", "epitope_identity", "epitope_rmsd")]
+    return out.select("id", "n_pairs", "num_contacts", "epitope_consistent", *near)
+
+
+@query("""SELECT label, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (vec_id * 7919 % 100 >= 8) AS BIGINT) AS kept, CAST(0 AS DOUBLE) AS rmsd FROM embeddings GROUP BY label""")
+def refined_superposition(t):
+    """Points and their turned copies, of which some are put far away: those are rejected."""
+    place = [F.col("embedding")[i].cast("double") * 10 for i in range(3)]
+    away = F.when(F.col("vec_id") * 7919 % 100 < 8, F.lit(40.0) + F.col("vec_id") % 10).otherwise(0.0)
+    turned = [1 - place[1] + away, place[0] + 2 - away, place[2] + 3]
+    rows = t("embeddings").select("label", *[p.alias(c) for c, p in zip(_XYZ, place)], *[p.alias(f"f{c}") for c, p in zip(_XYZ, turned)])
+    return superpose(rows, "label", cycles=20).select("label", "n", "kept", (F.round("rmsd", 6) + F.lit(0.0)).alias("rmsd"))
+
+
+@query("""WITH o AS (SELECT o_orderkey, o_custkey % 40 AS k, o_custkey % 11 = 0 AS unmapped, o_custkey % 60 AS q FROM orders),
+s AS (SELECT s_suppkey, row_number() OVER (PARTITION BY s_suppkey % 30 ORDER BY s_suppkey) AS r FROM supplier),
+j AS (SELECT o.*, s_suppkey AS own, unmapped OR k % 13 = 0 AS early, k % 3 AS kind FROM o LEFT JOIN s ON s_suppkey % 30 = q AND r = 1),
+x AS (SELECT *, early OR own IS NULL AND (kind = 2 OR k % 5 = 0) AS failed FROM j)
+SELECT 'DP_o' || CAST(o_orderkey AS VARCHAR) || '_A' AS id, CASE WHEN failed THEN 'failed' ELSE 'success' END AS status,
+CASE WHEN unmapped THEN 'Could not map antigen chain to UniProt' WHEN early THEN 'Could not retrieve UniProt info' WHEN own IS NOT NULL THEN ''
+  WHEN kind = 2 THEN 'Sequence identity 0.0% below threshold 50.0%' WHEN k % 5 = 0 THEN 'No PDB structure found for mouse ortholog' ELSE '' END AS error_message,
+CASE WHEN NOT failed THEN CASE WHEN own IS NOT NULL THEN 'M' || CAST(own AS VARCHAR) ELSE 'X' || CAST(k AS VARCHAR) END END AS pdb_id_mouse,
+CASE WHEN NOT failed THEN CASE WHEN own IS NOT NULL THEN 'M' WHEN k % 2 = 1 THEN 'C' ELSE 'A' END END AS mouse_antigen_chain,
+CASE WHEN NOT failed THEN CASE WHEN own IS NOT NULL THEN 'SAbDab' ELSE 'RCSB' END END AS mouse_structure_source,
+CASE WHEN NOT failed THEN CASE WHEN own IS NOT NULL THEN 'Name ' || CAST(q AS VARCHAR) || '.' ELSE 'G' || CAST(k AS VARCHAR) || '.' END END AS mouse_gene_name,
+CASE WHEN NOT early AND own IS NULL THEN 'V' || CAST(k AS VARCHAR) END AS mouse_uniprot,
+CASE WHEN early THEN NULL WHEN own IS NOT NULL THEN 100.0 ELSE CASE kind WHEN 0 THEN 100.0 WHEN 1 THEN 60.0 ELSE 0.0 END END::DOUBLE AS sequence_identity FROM x""")
+def resolved_points(t):
+    """Orders as complexes through the whole resolution: counterparts of the catalogue (suppliers) or of orthologs, with all
+    ways to fail; the gene is that of the branch taken."""
+    text = lambda c: c.cast("string")
+    fixed = {"Hchain": "H", "Lchain": "L", "antigen_type": "protein", "resolution": "2.0"}
+    key, k = F.col("o_custkey"), F.col("o_custkey") % 40
+    human = t("orders").select(
+        F.concat(F.lit("O"), text(F.col("o_orderkey"))).alias("pdb"), F.lit("A").alias("antigen_chain"), F.lit("Homo sapiens").alias("antigen_species"),
+        F.concat(F.lit("name "), text(key % 60), F.lit(". ")).alias("antigen_name"), F.col("o_orderkey").alias("ordinal"), *[F.lit(v).alias(c) for c, v in fixed.items()],
+    )
+    mice = t("supplier").select(
+        F.concat(F.lit("M"), text(F.col("s_suppkey"))).alias("pdb"), F.lit("M | N").alias("antigen_chain"), F.lit("Mus musculus").alias("antigen_species"),
+        F.concat(F.lit("Name "), text(F.col("s_suppkey") % 30), F.lit(".")).alias("antigen_name"), F.col("s_suppkey").alias("ordinal"), *[F.lit(v).alias(c) for c, v in fixed.items()],
+    )
+    mapped = t("orders").where(key % 11 != 0).select(F.concat(F.lit("o"), text(F.col("o_orderkey"))).alias("pdb"), F.lit("A").alias("chain"), F.concat(F.lit("U"), text(k)).alias("accession"), F.lit(0).alias("rank"))
+    each = t("orders").select(k.alias("k")).distinct()
+    gene, yes = F.concat(F.lit("G"), text(F.col("k")), F.lit(".")), F.lit(True).alias("reviewed")
+    other = F.element_at(F.array(F.lit("ACDE"), F.lit("ACDF"), F.lit("WWWW")), (F.col("k") % 3 + 1).cast("int"))
+    own = each.where("k % 13 <> 0").select(F.concat(F.lit("U"), text(F.col("k"))).alias("accession"), gene.alias("gene_name"), F.lit(build.HUMAN).alias("taxon_id"), F.lit("ACDE").alias("sequence"), F.lit("p").alias("protein_name"), yes)
+    proteins = own.unionByName(each.select(F.concat(F.lit("V"), text(F.col("k"))).alias("accession"), gene.alias("gene_name"), F.lit(build.MOUSE).alias("taxon_id"), other.alias("sequence"), F.lit("p").alias("protein_name"), yes))
+    hits = each.where("k % 5 <> 0").select(F.concat(F.lit("V"), text(F.col("k"))).alias("accession"), F.concat(F.lit("X"), text(F.col("k"))).alias("pdb"), F.lit("1").alias("entity"), F.lit(0).alias("rank"))
+    strands = F.when(F.col("k") % 2 == 1, F.array(F.lit("C"))).otherwise(F.array().cast("array<string>"))
+    chain = each.select(F.concat(F.lit("x"), text(F.col("k"))).alias("pdb"), F.lit("1").alias("entity"), strands.alias("chains"))
+    out = build.data_points(human.unionByName(mice), mapped, proteins, hits, chain, build.Options())
+    return out.select("id", "status", "error_message", "pdb_id_mouse", "mouse_antigen_chain", "mouse_structure_source", "mouse_gene_name", "mouse_uniprot", F.col("sequence_identity").cast("double").alias("sequence_identity"))

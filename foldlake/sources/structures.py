@@ -24,6 +24,7 @@ STRUCT_CONN = (
     " ptnr2_label_asym_id string, ptnr2_label_seq_id string, ptnr2_label_comp_id string"
 )
 REFINE = "structure_id string, ls_d_res_high double"
+PARSED = ATOM_SITE + ", resolution double"
 
 _TOKEN = re.compile(r"""'(?:[^']|'(?=\S))*'(?=\s|$)|"(?:[^"]|"(?=\S))*"(?=\s|$)|\#[^\n]*|[^\s]+""")
 
@@ -106,8 +107,21 @@ def _number(text: str | None) -> float | None:
 
 
 def cif_atoms(structure: str, text: str) -> list[tuple]:
+    return _cif_rows(structure, cif_tables(text))
+
+
+def _cif_resolution(tables: dict[str, list[dict[str, str | None]]]) -> float | None:
+    return _number((tables.get("_refine") or [{}])[0].get("ls_d_res_high"))
+
+
+def _pdb_resolution(text: str) -> float | None:
+    got = re.search(r"^REMARK   2 RESOLUTION\.\s+([0-9.]+)", text, re.M)
+    return _number(got[1]) if got else None
+
+
+def _cif_rows(structure: str, tables: dict[str, list[dict[str, str | None]]]) -> list[tuple]:
     out = []
-    for at, r in enumerate(cif_tables(text).get("_atom_site", ())):
+    for at, r in enumerate(tables.get("_atom_site", ())):
         label, comp = r.get("label_asym_id"), r.get("label_comp_id")
         out.append(
             (structure, int(_number(r.get("pdbx_PDB_model_num")) or 1), at, r.get("group_PDB"), label, r.get("auth_asym_id") or label, comp)
@@ -179,6 +193,33 @@ def atom_site(found: DataFrame) -> DataFrame:
     return _parsed(found, ATOM_SITE, parse)
 
 
+def parsed(found: DataFrame) -> DataFrame:
+    """Atoms as atom_site() gives them, each with resolution, that of refine(), so that a file is parsed once for both. A
+    file without atoms has one row with its error."""
+
+    return _parsed(found, PARSED, parsed_rows)
+
+
+def parsed_rows(path: str, structure: str, text: str) -> list[tuple]:
+    """The rows of parsed() for one file."""
+    rows, error, value = [], "no atoms", None
+    try:
+        if path.lower().endswith((".pdb", ".ent")):
+            rows, value = pdb_atoms(structure, text), _pdb_resolution(text)
+        else:
+            tables = cif_tables(text)
+            rows, value = _cif_rows(structure, tables), _cif_resolution(tables)
+    except (ValueError, IndexError, KeyError) as e:
+        error = f"{type(e).__name__}: {e}"
+    return [(*r, value) for r in rows] or [(structure, *[None] * 17, error, value)]
+
+
+def stage(found: DataFrame, path: str) -> DataFrame:
+    """The parsed files written to path, sorted by structure so that readers skip what they do not ask for, and read again."""
+    parsed(found).repartition("structure_id").sortWithinPartitions("structure_id", "atom_serial").write.mode("overwrite").parquet(path)
+    return found.sparkSession.read.schema(PARSED).parquet(path)
+
+
 def entity_poly(found: DataFrame) -> DataFrame:
     """Polymer entities of mmCIF files, with their sequence text and comma list of strands."""
 
@@ -204,12 +245,8 @@ def refine(found: DataFrame) -> DataFrame:
     """Resolution of each file, from the refinement category or the REMARK 2 line; null if it has none."""
 
     def parse(path: str, structure: str, text: str) -> list[tuple]:
-        if path.lower().endswith((".pdb", ".ent")):
-            got = re.search(r"^REMARK   2 RESOLUTION\.\s+([0-9.]+)", text, re.M)
-            value = _number(got[1]) if got else None
-        else:
-            value = _number((cif_tables(text).get("_refine") or [{}])[0].get("ls_d_res_high"))
-        return [(structure, value)]
+        pdb = path.lower().endswith((".pdb", ".ent"))
+        return [(structure, _pdb_resolution(text) if pdb else _cif_resolution(cif_tables(text)))]
 
     return _parsed(found, REFINE, parse)
 
@@ -255,22 +292,8 @@ def cif_texts(found: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for path, name, content, chains, turn, shift, hetero in batch[list(names)].itertuples(index=False):
-                text = bytes(content).decode("utf-8", "replace")
-                tables = {"_atom_site": [_site(r) for r in pdb_atoms(name, text)]} if path.lower().endswith((".pdb", ".ent")) else cif_tables(text)
-                rows, keep = [], set() if chains is None else set(chains)
-                for row in tables.get("_atom_site", ()):
-                    if row.get("label_comp_id") == "HOH" or keep and (row.get("auth_asym_id") or row.get("label_asym_id")) not in keep:
-                        continue
-                    if not hetero and row.get("group_PDB") == "HETATM":
-                        continue
-                    if turn is not None and shift is not None:
-                        at = [_number(row.get(f"Cartn_{c}")) or 0.0 for c in "xyz"]
-                        moved = [sum(turn[3 * i + j] * at[j] for j in range(3)) + shift[i] for i in range(3)]
-                        row = row | {f"Cartn_{c}": f"{v:.3f}" for c, v in zip("xyz", moved, strict=True)}
-                    rows.append(row)
-                if "_atom_site" in tables:
-                    tables["_atom_site"] = rows
-                out.append((name, cif_text(name.rsplit("/", 1)[-1], tables)))
+                tables = _tables(path, name, bytes(content).decode("utf-8", "replace"))
+                out.append((name, _changed(name, tables, chains, turn, shift, hetero)))
             yield pd.DataFrame(out, columns=["structure_id", "text"])
 
     names = ("path", "structure_id", "content", "chains", "rotation", "shift", "hetero")
@@ -279,6 +302,42 @@ def cif_texts(found: DataFrame) -> DataFrame:
     return found.select(*names).mapInPandas(convert, "structure_id string, text string")
 
 
+def many_cif_texts(found: DataFrame) -> DataFrame:
+    """name, text of the mmCIF files that each file's jobs ask for (array of name, chains, rotation, shift, hetero), as
+    cif_texts() makes them; a file is parsed once for all its jobs, and its texts leave one by one."""
+
+    def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content, jobs in batch[["path", "content", "jobs"]].itertuples(index=False):
+                tables = _tables(path, "", bytes(content).decode("utf-8", "replace"))
+                for j in jobs:
+                    text = _changed(j["name"], tables, j["chains"], j["rotation"], j["shift"], j["hetero"])
+                    yield pd.DataFrame([(j["name"], text)], columns=["name", "text"])
+
+    return found.select("path", "content", "jobs").mapInPandas(convert, "name string, text string")
+
+
+def _tables(path: str, name: str, text: str) -> dict[str, list[dict[str, str | None]]]:
+    pdb = path.lower().endswith((".pdb", ".ent"))
+    return {"_atom_site": [_site(r) for r in pdb_atoms(name, text)]} if pdb else cif_tables(text)
+
+
+def _changed(name: str, tables: dict[str, list[dict[str, str | None]]], chains, turn, shift, hetero) -> str:
+    """The mmCIF text of tables with the atoms of some chains, without water and, if asked, hetero atoms, moved."""
+    rows, keep = [], set() if chains is None else set(chains)
+    for row in tables.get("_atom_site", ()):
+        if row.get("label_comp_id") == "HOH" or keep and (row.get("auth_asym_id") or row.get("label_asym_id")) not in keep:
+            continue
+        if not hetero and row.get("group_PDB") == "HETATM":
+            continue
+        if turn is not None and shift is not None:
+            at = [_number(row.get(f"Cartn_{c}")) or 0.0 for c in "xyz"]
+            moved = [sum(turn[3 * i + j] * at[j] for j in range(3)) + shift[i] for i in range(3)]
+            row = row | {f"Cartn_{c}": f"{v:.3f}" for c, v in zip("xyz", moved, strict=True)}
+        rows.append(row)
+    return cif_text(name.rsplit("/", 1)[-1], tables | ({"_atom_site": rows} if "_atom_site" in tables else {}))
+
+
 def _site(row: tuple) -> dict[str, str | None]:
     """An atom of a PDB file as a row of the mmCIF category."""
     _, model, serial, group, label, auth, comp, seq, auth_seq, ins, atom, alt, occupancy, b_factor, element, x, y, z, _ = row

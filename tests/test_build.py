@@ -45,12 +45,14 @@ def test_build(spark, tmp_path):
     a, b, d, e = (got[k] for k in ("DP_5fuo_A", "DP_2bbb_C", "DP_4ddd_E", "DP_6eee_F"))
     assert (a.status, a.mouse_structure_source, a.pdb_id_mouse, a.mouse_antigen_chain, a.sequence_identity) == ("success", "SAbDab", "7MMM", "M", 100.0)
     assert (b.status, b.mouse_structure_source, b.pdb_id_mouse, b.mouse_antigen_chain, b.sequence_identity) == ("success", "RCSB", "9ZZZ", "A", 60.0)
-    assert (d.status, d.error_message) == ("failed", "Sequence identity 14.3% below threshold")
-    assert e.error_message == "Could not map antigen chain to UniProt"
+    assert (d.status, d.error_message) == ("failed", "Sequence identity 14.3% below threshold 50.0%")
+    assert (d.pdb_id_mouse, d.mouse_antigen_chain, d.mouse_gene_name, d.mouse_uniprot) == (None, None, None, "M4")
+    assert e.error_message == "Could not map antigen chain to UniProt" and e.mouse_antigen_chain is None
+    assert (a.mouse_gene_name, b.mouse_gene_name) == ("alpha one ", "B1")
     pairs = build.pairs(build.data_points(df, chains, proteins, structures, entity, build.Options()))
     assert len(pairs.columns) == 23
     assert {(r.pair_name, r.human_antigen_chains, r.mouse_antigen_file) for r in pairs.collect()} == {
-        ("A1_A1", "A,B", "MouseAntigen/A1.cif"),
+        ("A1_alpha_one_", "A,B", "MouseAntigen/alpha_one_.cif"),
         ("B1_B1", "C", "MouseAntigen/B1.cif"),
     }
     dry = build.data_points(df, chains, proteins, structures, entity, build.Options(dry_run=True))

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from foldlake.functions import alignment, residues, text
-from foldlake.functions.superpose import kabsch, superpose
+from foldlake.functions.superpose import kabsch, refined, superpose
 from foldlake.operators.contacts import counts_within, pairs_within, rows_within
 from foldlake.operators.summary import paired_rmsd
 
@@ -130,3 +130,46 @@ def test_affine_alignment_is_a_best_one(a, b, scores):
     if a and b:
         pairs = alignment.affine(a, b, *scores)
         assert abs(score_of(a, b, pairs, *scores) - best_score(a, b, *scores)) < 1e-6
+
+
+def test_outliers_are_rejected(spark):
+    rng = np.random.default_rng(8)
+    points = rng.normal(0, 5, (60, 3))
+    turn = np.array([[0.0, -1.0, 0.0], [1.0, 0.0, 0.0], [0.0, 0.0, 1.0]])
+    moved = points @ turn.T + [1.0, 2.0, 3.0] + rng.normal(0, 0.05, (60, 3))
+    moved[::9] += rng.normal(0, 20, (7, 3))
+    whole = kabsch(points, moved)[2]
+    rotation, shift, rmsd, kept = refined(points, moved, 20, 3.0)
+    assert whole > 3 and rmsd < 0.15 and not kept[::9].any() and kept.sum() == 53
+    assert np.allclose(rotation, turn, atol=0.02) and np.allclose(shift, [1, 2, 3], atol=0.1)
+    assert refined(points, moved, 0, 2.0)[3].all()
+    few = refined(points[:3], moved[:3], 9, 0.1)
+    assert few[3].all()  # three pairs always stay
+    df = spark.createDataFrame([("p", *map(float, a), *map(float, b)) for a, b in zip(points, moved)], "k string, x double, y double, z double, fx double, fy double, fz double")
+    row = superpose(df, "k", 20, 3.0).first()
+    assert (row.n, row.kept) == (60, 53) and row.rmsd < 0.15
+
+
+@given(st.text("ACDE", max_size=40), st.text("ACDE", max_size=40), st.integers(1, 6))
+@settings(max_examples=150, deadline=None)
+def test_alignment_in_blocks_is_the_same(a, b, size):
+    before = alignment.ONE_BLOCK
+    once = alignment.affine(a, b, 2.0, -1.0, -3.0, -0.5)
+    try:
+        alignment.ONE_BLOCK = -1 if size else before
+        assert alignment.affine(a, b, 2.0, -1.0, -3.0, -0.5) == once
+    finally:
+        alignment.ONE_BLOCK = before
+
+
+def test_long_alignment_in_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    a = "".join(rng.choice(list("ACDEFGHIKL"), 9000))
+    b = a[:4000] + "W" * 50 + a[4100:]
+    tracemalloc.start()
+    pairs = alignment.affine(a, b, 2.0, -1.0, -10.0, -0.5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6 and sum(a[i] == b[j] for i, j in pairs) >= 8900

@@ -22,3 +22,13 @@ def test_tiers_meet_in_equi_joins(spark):
     assert sorted((r.k, r.i, r.tier) for r in out.collect()) == [("Alpha", 1, 1), ("beta chain", 3, 2)]
     plan = out._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_names_that_begin_alike_are_met_by_their_rarest_piece(spark):
+    names = spark.range(3000).selectExpr("concat('receptor protein ', id, ' chain') AS n")
+    keys = spark.createDataFrame([("protein 17 chain",), ("receptor protein 2999",), ("receptor protein x",), ("receptor",)], "k string")
+    out = lookup.holding(keys, names, "k", "n")
+    got = {}
+    for r in out.collect():
+        got[r.k] = got.get(r.k, 0) + 1
+    assert got == {"protein 17 chain": 1, "receptor protein 2999": 1, "receptor": 3000}
