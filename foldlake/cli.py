@@ -32,6 +32,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--dry-run", action="store_true")
     p.add_argument("--force-download", action="store_true")
     p.add_argument("--no-catalogue-mice", action="store_true")
+    p.add_argument("--filtered-catalogue", action="store_true", help="write the complexes that pass the filter as CSV, too")
     p.add_argument("--epitope-distance", type=float, default=5.0)
     p.add_argument("--epitope-identity", type=float, default=80.0)
     p.add_argument("--epitope-rmsd", type=float, default=1.5)
@@ -69,6 +70,8 @@ def run_build(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
         return spark.read.schema(schema).json(f"{a.data_dir}/{name}")
 
     options = build.Options(a.resolution, a.identity, a.limit, a.dry_run, not a.no_catalogue_mice)
+    if a.filtered_catalogue:
+        sinks.write_csv(build.complexes(df, options).drop("ordinal"), f"{a.output}/filtered_catalogue")
     points = build.data_points(
         df,
         payloads.chain_map(lines("chains", "payload string")),
@@ -192,16 +195,19 @@ def run_triplet(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     found = structures.files(spark, a.data_dir)
     found = found.withColumn("path", F.regexp_replace(F.regexp_replace("path", r"^[a-z0-9]+:/+", "/"), F.lit("^" + re.escape(base + "/")), F.lit("")))
     out = contacts.triplets(pairs, found.select("path"))
+    to = a.output or f"{a.data_dir}/HumanMouseAntigenAntibody"
     if a.dry_run:
-        return out.withColumn("ok", F.col("complete"))
+        out = out.withColumn("ok", F.col("complete"))
+        sinks.write_json(summary.ok_of_total(out), f"{to}/triplet_summary")
+        return out
     if "mouse_antigen_chain" not in pairs.columns:
         out = out.withColumn("mouse_antigen_chain", F.lit("A"))
     if "human_antigen_chains" not in pairs.columns:
         out = out.withColumn("human_antigen_chains", F.lit("A"))
     out, files = phases.align_triplets(out, found.withColumn("structure_id", F.col("path")), a.refine_cycles, a.refine_cutoff)
-    to = a.output or f"{a.data_dir}/HumanMouseAntigenAntibody"
     sinks.write_texts(files, folder_uri(to), "name", "text").write.format("noop").mode("overwrite").save()
     sinks.write_csv(out, f"{to}/triplets")
+    sinks.write_json(summary.ok_of_total(out), f"{to}/triplet_summary")
     return out
 
 

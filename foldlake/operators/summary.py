@@ -69,3 +69,8 @@ def paired_rmsd(left: DataFrame, right: DataFrame, key: str, order: str, xyz: Se
 def kept_of_total(found: DataFrame) -> DataFrame:
     """kept, total of rows with passed."""
     return found.agg(F.count_if("passed").alias("kept"), F.count("*").alias("total"))
+
+
+def ok_of_total(found: DataFrame) -> DataFrame:
+    """ok, total of triplets; in a dry run those with all their files are ok."""
+    return found.agg(F.count_if("ok").alias("ok"), F.count("*").alias("total"))

@@ -381,3 +381,20 @@ def resolved_points(t):
     chain = each.select(F.concat(F.lit("x"), text(F.col("k"))).alias("pdb"), F.lit("1").alias("entity"), strands.alias("chains"))
     out = build.data_points(human.unionByName(mice), mapped, proteins, hits, chain, build.Options())
     return out.select("id", "status", "error_message", "pdb_id_mouse", "mouse_antigen_chain", "mouse_structure_source", "mouse_gene_name", "mouse_uniprot", F.col("sequence_identity").cast("double").alias("sequence_identity"))
+
+
+@query("""WITH g AS (SELECT CAST(user_id % 500 AS VARCHAR) AS key, ts, CASE WHEN event_type = 'click' THEN NULL ELSE props END AS payload, event_type = 'click' AS gone FROM events WHERE event_id % 3 <> 0)
+SELECT key, payload, ts AS fetched_at FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY ts DESC, payload DESC NULLS LAST) AS k FROM g WHERE gone OR payload IS NOT NULL) WHERE k = 1""")
+def latest_answers(t):
+    """Events as a log of fetches, a third of them failures: the latest answer of each key."""
+    gone = F.col("event_type") == "click"
+    log = t("events").select(
+        (F.col("user_id") % 500).cast("string").alias("key"), F.col("ts").alias("fetched_at"), F.when(~gone, F.col("props")).alias("payload"), gone.alias("gone"),
+        F.when(F.col("event_id") % 3 == 0, "HTTP 503").alias("error"),
+    )
+    return payloads.answers(log)
+
+
+@query("""SELECT CAST(count(*) FILTER (o_orderstatus = 'F') AS BIGINT) AS ok, CAST(count(*) AS BIGINT) AS total FROM orders""")
+def ok_of_total(t):
+    return summary.ok_of_total(t("orders").select((F.col("o_orderstatus") == "F").alias("ok")))

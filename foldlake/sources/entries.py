@@ -24,7 +24,7 @@ FETCHED = "structure_id string, kind string, path string, error string"
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
 
-def _download(url: str, timeout: float, tries: int, wait: float) -> bytes:
+def download(url: str, timeout: float, tries: int, wait: float) -> bytes:
     """The body at url; failures that may pass are tried again after growing waits."""
     for left in range(tries - 1, -1, -1):
         try:
@@ -62,7 +62,7 @@ def fetch(entries: DataFrame, folder: str, url: str, timeout: float = 60.0, trie
                     path, error = f"{base}/{name}.{kind}", None
                     try:
                         if system.get_file_info(path).type == fs.FileType.NotFound:
-                            body, part = _download(url.format(id=name, kind=kind), timeout, tries, wait), f"{path}.{uuid4().hex}.part"
+                            body, part = download(url.format(id=name, kind=kind), timeout, tries, wait), f"{path}.{uuid4().hex}.part"
                             with system.open_output_stream(part) as stream:
                                 stream.write(body)
                             system.move(part, path)

@@ -1,10 +1,26 @@
-"""Lookup tables from staged JSON payloads: one text a line, or a column of texts. No network here."""
+"""Lookup tables from JSON payloads: one text a line, or a column of texts; and the log of payloads that were fetched.
+
+The log only grows. Each try to fetch a key is a row: an answer has its payload, which is null where the service says that
+there is none (gone), and a failure that may pass has its error. The latest answer counts; a failure never hides an
+earlier answer and is never taken for one, so only keys without any answer are fetched again.
+"""
 
 from __future__ import annotations
 
+import urllib.error
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foldlake.operators.catalogue import first_rows
+from foldlake.sources.entries import download
+
+LOG = "key string, fetched_at timestamp, payload string, gone boolean, error string"
+
 PROTEIN = (
     "primaryAccession string, entryType string, genes array<struct<geneName:struct<value:string>>>,"
     " organism struct<taxonId:int,scientificName:string>, sequence struct<value:string>,"
@@ -56,3 +72,53 @@ def entity_chains(df: DataFrame, payload: str = "payload") -> DataFrame:
     text = F.from_json(payload, ENTITY)["entity_poly"]["pdbx_strand_id"]
     parts = F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
     return df.withColumn("chains", parts).drop(payload)
+
+
+def answers(log: DataFrame) -> DataFrame:
+    """key, payload, fetched_at of the latest answer of each key of a log: a payload, or null where there is none. Of two at
+    the same time the greater payload counts. Keys with failures only are left out, and so are null keys."""
+    good = log.where("key IS NOT NULL AND error IS NULL AND (gone OR payload IS NOT NULL)")
+    return first_rows(good, ["key"], [F.col("fetched_at").desc_nulls_last(), F.col("payload").desc_nulls_last()]).select("key", "payload", "fetched_at")
+
+
+def unanswered(keys: DataFrame, log: DataFrame) -> DataFrame:
+    """The distinct keys (column key, not null) that no row of the log answers."""
+    return keys.select("key").where("key IS NOT NULL").distinct().join(answers(log), "key", "left_anti")
+
+
+def fetch(keys: DataFrame, url: str, timeout: float = 30.0, tries: int = 3, wait: float = 1.0) -> DataFrame:
+    """A row of a log for each distinct key, from url, a template with {key}. An empty body, and the answers 204, 404 and
+    410, mean that there is none."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for key in batch["key"]:
+                payload, gone, error = None, False, None
+                try:
+                    payload = download(url.format(key=quote(key, safe="")), timeout, tries, wait).decode("utf-8", "replace") or None
+                    gone = payload is None
+                except urllib.error.HTTPError as e:
+                    gone = e.code in (404, 410)
+                    error = None if gone else f"HTTP {e.code}"
+                except (OSError, ValueError) as e:
+                    error = f"{type(e).__name__}: {e}"
+                out.append((key, pd.Timestamp.now(tz="UTC"), payload, gone, error))
+            yield pd.DataFrame(out, columns=["key", "fetched_at", "payload", "gone", "error"])
+
+    return keys.select("key").where("key IS NOT NULL").distinct().mapInPandas(run, LOG)
+
+
+def refresh(keys: DataFrame, path: str, url: str, **how) -> DataFrame:
+    """Fetches the keys that the log at path (Parquet files) does not answer, appends what came, and returns all answers."""
+    spark = keys.sparkSession
+
+    def log() -> DataFrame:
+        try:
+            spark.read.parquet(path).limit(0).collect()
+        except AnalysisException:
+            return spark.createDataFrame([], LOG)
+        return spark.read.schema(LOG).parquet(path)
+
+    fetch(unanswered(keys, log()), url, **how).write.mode("append").parquet(path)
+    return answers(log())

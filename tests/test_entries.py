@@ -7,7 +7,7 @@ from http.server import BaseHTTPRequestHandler, HTTPServer
 import pytest
 from pyspark.sql.datasource import EqualTo, GreaterThan, In
 
-from foldlake.sources import entries, structures
+from foldlake.sources import entries, payloads, structures
 from tests.test_structures import CIF, PDB
 
 
@@ -73,3 +73,35 @@ def test_source_takes_filters(spark, tmp_path):
     spark.conf.set(key, before)
     (tmp_path / "none").mkdir()
     assert entries.read_atoms(spark, f"{folder}/none").count() == 0
+
+
+def test_payload_log(spark, tmp_path):
+    """A failure that passes is fetched again, an answer is not, and a later failure hides none."""
+    asked, down = Counter(), {"b"}
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            key = self.path[1:]
+            asked[key] += 1
+            code = {"none": 404, "empty": 204}.get(key, 503 if key in down else 200)
+            self.send_response(code)
+            self.end_headers()
+            if code == 200:
+                self.wfile.write(b'{"k": "%s"}' % key.encode())
+
+        def log_message(self, *args):
+            pass
+
+    web = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=web.serve_forever, daemon=True).start()
+    url, log = f"http://127.0.0.1:{web.server_port}/{{key}}", str(tmp_path / "log")
+    keys = spark.createDataFrame([("a",), ("a",), ("b",), ("none",), ("empty",), (None,)], "key string")
+    first = {r.key: r.payload for r in payloads.refresh(keys, log, url, tries=2, wait=0.02).collect()}
+    assert first == {"a": '{"k": "a"}', "none": None, "empty": None} and asked == {"a": 1, "b": 2, "none": 1, "empty": 1}
+    assert [r.key for r in payloads.unanswered(keys, spark.read.parquet(log)).collect()] == ["b"]
+    down.clear()
+    second = {r.key: r.payload for r in payloads.refresh(keys, log, url, tries=2, wait=0.02).collect()}
+    assert second == first | {"b": '{"k": "b"}'} and asked == {"a": 1, "b": 3, "none": 1, "empty": 1}
+    web.shutdown()
+    later = spark.read.parquet(log).selectExpr("key", "fetched_at + INTERVAL 1 DAY AS fetched_at", "string(NULL) AS payload", "false AS gone", "'HTTP 500' AS error")
+    assert {r.key: r.payload for r in payloads.answers(spark.read.parquet(log).unionByName(later)).collect()} == second

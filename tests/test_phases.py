@@ -90,6 +90,8 @@ def test_build_writes_aligned_structures(spark, tmp_path):
 
     args = cli.parser().parse_args(["triplet", "--data-dir", str(out), "--output", str(tmp_path / "three")])
     row = cli.run_triplet(spark, args).first()
+    count = spark.read.json(str(tmp_path / "three" / "triplet_summary")).first()
+    assert (count.ok, count.total) == (1, 1)
     assert (row.triplet_name, row.complete, row.ok) == ("GEN1_alpha_1abc", True, True) and row.rmsd < 3e-3
     at = tmp_path / "three" / "GEN1_alpha_1abc"
     assert sorted(p.name for p in at.iterdir()) == ["antibody.cif", "human_antigen.cif", "mouse_antigen.cif"]
@@ -97,9 +99,11 @@ def test_build_writes_aligned_structures(spark, tmp_path):
 
 def test_build_without_structures(spark, tmp_path):
     data, _ = staged(tmp_path)
-    args = cli.parser().parse_args(["build", "--data-dir", str(data), "--output", str(tmp_path / "dry"), "--dry-run"])
+    args = cli.parser().parse_args(["build", "--data-dir", str(data), "--output", str(tmp_path / "dry"), "--dry-run", "--filtered-catalogue"])
     report = cli.run_build(spark, args).first()
     assert (report.n_total, report.n_success, report.n_dry_run) == (2, 0, 2)
+    kept = pd.concat(map(pd.read_csv, (tmp_path / "dry" / "filtered_catalogue").glob("*.csv")))
+    assert sorted(kept["pdb"]) == ["1ABC", "3GHI"] and list(kept.columns)[:3] == ["pdb", "Hchain", "Lchain"]
     assert not (tmp_path / "dry" / "pairs").exists() and (tmp_path / "dry" / "dataset_summary").exists()
 
 
