@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import re
 import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
-from functools import lru_cache
+from contextlib import contextmanager, suppress
+from functools import lru_cache, wraps
 from urllib.parse import urlsplit
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +95,31 @@ def small_batches(spark: SparkSession, most: str = "8m") -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
 
 
+_REMEMBERED: dict[tuple, object] = {}
+
+
+def remembered(make):
+    """make, whose last result this Python worker keeps, and no other that is remembered so.
+
+    Workers run tasks of many stages, and each stage's table of words is large: that of the stage before goes, and what it
+    took goes back to the system, so that tables do not add up over the stages of a pipeline.
+    """
+
+    @wraps(make)
+    def get(*args):
+        key = (make.__module__, make.__qualname__, args)
+        if key not in _REMEMBERED:
+            _REMEMBERED.clear()
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with suppress(OSError, AttributeError):  # a C library without it keeps what is free for itself
+                ctypes.CDLL(None).malloc_trim(0)
+            _REMEMBERED[key] = make(*args)
+        return _REMEMBERED[key]
+
+    return get
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """name, with underscores before it until no column of df has it in any case."""
     taken = {c.lower() for c in df.columns}

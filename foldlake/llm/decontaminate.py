@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -72,7 +71,7 @@ class Canonical(dict):
         return value
 
 
-@lru_cache(1)
+@common.remembered
 def canonical() -> Canonical:
     return Canonical()
 

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -66,7 +65,7 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-@lru_cache(1)
+@common.remembered
 def word_hashes() -> WordHashes:
     """One memory for each Python worker, which runs many tasks."""
     return WordHashes()

@@ -20,7 +20,6 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 from uuid import uuid4
 
 import numpy as np
@@ -253,7 +252,7 @@ def _gather(items: np.ndarray, sizes: np.ndarray, index: np.ndarray) -> np.ndarr
     return items[np.repeat(begin[index] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
 
 
-@lru_cache(1)
+@common.remembered
 def encoder(path: str) -> PieceEncoder:
     """One encoder for each Python worker, which runs many tasks."""
     return PieceEncoder(path)

@@ -40,3 +40,21 @@ def test_materialize_and_files(spark, tmp_path):
     with common.reading(f"file://{tmp_path}/x/y.bin") as file:
         assert file.read() == b"abc"
     assert [p.name for p in (tmp_path / "x").iterdir()] == ["y.bin"]
+
+
+def test_one_memory_at_a_time():
+    made = []
+
+    @common.remembered
+    def words(size):
+        made.append(size)
+        return [size]
+
+    @common.remembered
+    def other():
+        return {}
+
+    assert words(1) is words(1) and made == [1]
+    assert other() is other()
+    assert words(1) == [1] and made == [1, 1]
+    assert words(2) == [2] and made == [1, 1, 2]
