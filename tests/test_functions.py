@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from foldlake.functions import alignment, residues, text
 from foldlake.functions.superpose import kabsch, refined, superpose
+from foldlake.operators import contacts
 from foldlake.operators.contacts import counts_within, pairs_within, rows_within
 from foldlake.operators.summary import paired_rmsd
 
@@ -93,6 +94,29 @@ def test_grid_join_equals_brute_force(spark, distance):
     assert counts[999] == 0 and all(counts[i] == sum(x == i for x, _ in want) for i in range(60))
 
 
+def test_grid_at_its_edges(spark):
+    """Pairs at the very distance and on the borders of cells, coordinates that are no numbers, and a distance of 0."""
+    step = [i * 0.1 for i in range(-25, 26)]
+    left = spark.createDataFrame([("s", i, x, 0.0, 0.0) for i, x in enumerate(step)] + [("s", 900 + i, x, 0.0, 0.0) for i, x in enumerate((math.inf, -math.inf, math.nan, 1e300))], "k string, i int, ax double, ay double, az double")
+    right = left.withColumnsRenamed({"i": "j", "ax": "bx", "ay": "by", "az": "bz"})
+    for distance in (0.1, 0.5, 0.7):
+        want = {(i, j) for i, x in enumerate(step) for j, y in enumerate(step) if (x - y) ** 2 <= distance**2}
+        args = ("k", ("ax", "ay", "az"), ("bx", "by", "bz"), distance)
+        assert {(r.i, r.j) for r in pairs_within(left, right, *args).collect()} == want
+        assert {r.i for r in rows_within(left, right, *args).collect()} == {i for i, _ in want}
+    none = ("k", ("ax", "ay", "az"), ("bx", "by", "bz"), 0.0)
+    assert {(r.i, r.j) for r in pairs_within(left, right, *none).collect()} == {(i, i) for i in (*range(51), 903)}
+    assert rows_within(left, right, *none).count() == 52
+
+
+def test_grid_leaves_out_far_corners_and_stands_a_crowded_cell(spark):
+    points = spark.range(40000).select(F.lit("s").alias("k"), F.col("id").alias("i"), *[F.rand(n).alias(c) for n, c in enumerate(("ax", "ay", "az"))])
+    far = points.select("k", *[F.col(c).alias(d) for c, d in (("ax", "bx"), ("ay", "by"), ("az", "bz"))])
+    _, copied, on = contacts._gridded(points, far, "k", ("ax", "ay", "az"), ("bx", "by", "bz"), 1.0)
+    assert copied.count() <= 21 * 40000 and len(on) == 4
+    assert rows_within(points, far, "k", ("ax", "ay", "az"), ("bx", "by", "bz"), 0.5).count() == 40000
+
+
 def test_rmsd_of_same_point_is_zero(spark):
     df = spark.createDataFrame([("s", 1, 1.0, 2.0, 3.0)], "k string, o int, x double, y double, z double")
     assert paired_rmsd(df, df, "k", "o", ("x", "y", "z")).first().rmsd == 0.0
