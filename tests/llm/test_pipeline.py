@@ -3,13 +3,14 @@
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
-from foldlake.llm import mixing_rates, token_records
+from foldlake.llm import mixing_rates, quality, token_records
 from tests.llm.test_jaccard import brute
 
 STAGES = dict(cp.STAGES)
@@ -70,6 +71,26 @@ def test_quality_rules(spark, folder):
     assert rows_of(out) == [x for x in rows_of(docs) if good(x[1])]  # the junk fails the base rules; nothing else strays
 
 
+def test_quality_rules_by_distance(spark, tmp_path):
+    """Texts that pass the base rules but are far from the references of their language go, as the rules' SQL says."""
+    rng, at = random.Random(8), str(tmp_path)
+    common_words = "the of and to in that is was he for it with as his on be at by had not".split()
+    good = [(i, " ".join(rng.choice((rng.choice(common_words), words(rng, 1)[0])) for _ in range(120)), "en", "s") for i in range(30)]
+    shouted = [(100 + i, " ".join(w.upper() + str(rng.randint(10, 999)) for w in words(rng, 90)), "en", "s") for i in range(6)]
+    marked = [(200 + i, " ".join(f"#{w}|${rng.randint(1, 99)}" for w in words(rng, 90)), "en", "s") for i in range(6)]
+    other = [(300, shouted[0][1], "xx", "s"), (301, shouted[1][1], None, "s"), (302, " ".join(words(rng, 90)), "en", "s"), (303, None, "en", "s")]
+    spark.createDataFrame(good + shouted + marked + other, "doc_id long, text string, lang string, source string").write.parquet(f"{at}/documents.parquet")
+    spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id long, quality long, toxic long").write.parquet(f"{at}/labels.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{at}/{name}.parquet/*.parquet'")
+    want = con.sql(f"SELECT doc_id, base_failed, kept FROM ({quality.OP4_SQL})").fetchall()
+    _, out = run(spark, [at], "quality_rules", spark.read.parquet(f"{at}/documents.parquet"))
+    assert sorted(r.doc_id for r in out.collect()) == sorted(i for i, _, kept in want if kept)
+    by_distance = {i for i, failed, kept in want if not failed and not kept}
+    assert by_distance == {r[0] for r in shouted + marked}
+
+
 def test_near_duplicates(spark, folder):
     docs, out = run(spark, folder, "near_duplicates")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
@@ -85,14 +106,39 @@ def test_decontamination(spark, folder):
     assert rows_of(out) == [x for x in rows_of(docs) if x[0] not in leaks]
 
 
+def brute_rates(tokens, p):
+    """Rates of the mixture without repetition by projected gradient over the documents themselves, without cells."""
+    mass = tokens @ p
+    share = np.array([mixing_rates.WEIGHTS[d] for d in mixing_rates.DOMAINS])
+    target = np.minimum(mass[0] / share[0] * share, mass) * [mixing_rates.SLACK, 1, 1]
+    gram = (p * tokens[:, None]).T @ p
+    scale = np.maximum(np.diag(gram), 1)
+    step = 1 / (gram / np.sqrt(np.outer(scale, scale))).sum(1).max()
+    rate, last = np.ones(len(p)), np.inf
+    for _ in range(mixing_rates.ITERATIONS):
+        gap = (tokens * rate) @ p - target
+        error = (gap**2 / scale).sum()
+        if last - error <= 1e-6 * last < np.inf:
+            break
+        rate, last = np.clip(rate - p @ (step * gap / scale), 0, 1), error
+    return rate
+
+
 def test_mixing(spark, folder):
     docs, out = run(spark, folder, "mixing")
     labels = spark.read.parquet(f"{folder[0]}/labels.parquet")
-    rates = mixing_rates.fit_rates(mixing_rates.posteriors(docs, labels), mixing_rates.WEIGHTS, most=1.0)
-    drawn = rates.select("doc_id", (F.col("rate") > mixing_rates.uniform()).alias("d")).collect()
-    lost = {r.doc_id for r in drawn if not r.d}
-    assert rows_of(out) == [x for x in rows_of(docs) if x[0] not in lost]
-    assert sum(r.doc_id is not None for r in out.collect()) >= 40  # most text is clean, and clean text stays
+    scored = mixing_rates.posteriors(docs, labels).withColumn("u", mixing_rates.uniform()).collect()
+    tokens, p = np.array([r.n_tokens for r in scored], float), np.array([r.p for r in scored])
+    assert sorted(r.n_tokens for r in scored) == sorted(len((r.text or "").split()) for r in docs.collect())
+    told = [(r.doc_id, x - r.u) for r, x in zip(scored, brute_rates(tokens, p), strict=True)]
+    near = 3 / mixing_rates.GRID
+    surely_lost = {i for i, above in told if above < -near}
+    surely_kept = {i for i, above in told if above > near} - {i for i, above in told if above <= near}
+    got = {r.doc_id for r in out.collect()}
+    assert surely_lost and not got & surely_lost and surely_kept <= got
+    assert len(surely_lost | surely_kept) >= 0.95 * len({i for i, _ in told})  # next to all decisions are told by brute force
+    assert [x for x in rows_of(docs) if x[0] in got] == rows_of(out)  # rows of one id share their fate
+    assert sum(x is not None for x in got) >= 40  # most text is clean, and clean text stays
 
 
 def test_tokens(spark, folder):
