@@ -1,8 +1,11 @@
 """Benchmark decontamination by template windows.
 
-Words become tokens in which numbers, names and units are typed placeholders, so that a question whose numbers or names
-were changed has the template of the original. Number words are numbers; single letters are units after a number; and a
-capitalised word is a name inside a sentence, and at its beginning unless the benchmark has it in lower case. Windows of the documents are hash-joined to those of the benchmark items.
+Words become tokens in which numbers, names, units and variables are typed placeholders, so that a question whose numbers
+or names were changed has the template of the original. Number words are numbers; a unit is one of a list or made of a prefix
+and a base; single letters are units after a number, else variables; and a capitalised word is a name inside a sentence, and
+at its beginning unless the benchmark has it in lower case. Words that belong together are one slot: "New York", "twenty
+five", "3 million", "square metres", "miles per hour"; a unit written to its number ("5km", "20%") is a slot of its own.
+Windows of the documents are hash-joined to those of the benchmark items.
 Windows have WINDOW tokens, in items of fewer than 20 tokens two fifths of the item, so that one changed word, wherever it
 stands, leaves 60 percent of the item's tokens in windows; items of fewer than WINDOW tokens are one window. A window counts
 where its slots agree: in an alignment, windows with a value of the item that stands at several values of the document are
@@ -13,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,43 +34,85 @@ LITERALS = 4
 #: Share of an item's tokens, of those in windows, that matching windows must cover in a document.
 COVERAGE = 0.6
 
+#: Most words of a name in one slot; the words after them begin another.
+NAME_WORDS = 4
+
 #: Units of measure; fixed values.
 UNITS = frozenset(
-    "mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams kilogram kilograms lb lbs pound pounds"
-    " oz ounce ounces ton tons tonne tonnes ml l liter liters litre litres gallon gallons s sec secs second seconds min"
-    " mins minute minutes h hr hrs hour hours day days week weeks month months year years hz khz mhz ghz w kw mw j kj"
-    " cal kcal v mv a ma k c f percent degree degrees dollar dollars cent cents euro euros usd eur mph kmh kph".split()
+    "mm cm dm m km inch inches foot feet ft yard yards yd mile miles mi acre acres hectare hectares ha mg g kg lb lbs oz"
+    " ounce ounces pound pounds stone ton tons tonne tonnes ml cl dl l gallon gallons pint pints quart quarts cup cups"
+    " s sec secs min mins minute minutes h hr hrs hour hours day days week weeks month months year years hz khz mhz ghz"
+    " w kw mw j kj cal kcal v mv a ma k c f kb mb gb tb percent degree degrees dollar dollars cent cents euro euros usd"
+    " eur mph kmh kph %".split()
+)
+#: Units made of a prefix and a base; fixed values.
+_UNIT = re.compile(
+    "(?:kilo|centi|milli|deci|hecto|deca|micro|nano|mega|giga|tera)?"
+    "(?:meter|metre|gram|gramme|liter|litre|second|watt|volt|ampere|hertz|joule|newton|pascal|calorie|byte|bit|mole|ohm)s?"
 )
+#: Words before a unit that belong to it, and words that join two units; fixed values.
+BEFORE_UNIT = frozenset("square cubic sq cu".split())
+BETWEEN_UNITS = frozenset("per a an".split())
+#: Number words that belong to the number before them; fixed values.
+MULTIPLES = frozenset("hundred thousand million billion dozen".split())
+#: Words after a letter that tell a variable from an article; fixed values.
+AFTER_VARIABLE = frozenset("and or is are = + - / < > ≤ ≥ ≠".split())
 #: Number words; fixed values.
 NUMBERS = frozenset(
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen"
     " eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen half"
     " twice thrice double triple first second third fourth fifth sixth seventh eighth ninth tenth".split()
 )
-NUMBER, NAME, UNIT = 1, 2, 3
-_NUMBER = re.compile(r"[+-]?[$€£]?\d+(?:[.,:/]\d+)*(?:st|nd|rd|th|%|[a-z]{1,3})?")
+NUMBER, NAME, UNIT, VARIABLE = 1, 2, 3, 4
+_NUMBER = re.compile(r"[+-]?[$€£]?\d+(?:[.,:/]\d+)*(st|nd|rd|th|%|[a-z]{1,3})?")
 _EDGES = ".,;:!?\"'()[]{}«»“”‘’…*_"
 #: Bits by which hashes are shifted for the second of two bitmaps.
 _SHIFT = 24
 _M = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 
 
+class Traits(NamedTuple):
+    """What a word may be besides a word of its own."""
+
+    ends: bool  # a sentence ends after it
+    closed: bool  # a mark after it keeps it from the next word
+    capital: bool
+    letter: bool
+    unit: str  # a unit written to a number, or a unit of one letter
+    joins: bool  # a number word that the number before it takes in
+    after: bool  # tells that a letter before it is a variable
+
+
 class Canonical(dict):
-    """For a word as it stands: token hash (or placeholder), bare word, whether a sentence ends after it, whether it
-    begins with a capital, and whether it is a unit of one letter. Remembers a bounded number of words."""
+    """For a word as it stands: token hash (or placeholder), bare word, and its traits, None for a plain word of its own.
+    Remembers a bounded number of words."""
 
     MOST = 150_000
 
-    def __missing__(self, word: str) -> tuple[int, str, bool, bool, bool]:
+    def __missing__(self, word: str) -> tuple[int, str, Traits | None]:
         bare = word.strip(_EDGES)
         low = bare.lower()
-        if _NUMBER.fullmatch(low) or all(x in NUMBERS for x in low.split("-")):
+        number, code, unit = _NUMBER.fullmatch(low), 0, ""
+        if number:
+            code, end = NUMBER, number[1]
+            if end and end in UNITS:
+                unit, bare = end, bare[: -len(end)]
+        elif all(x in NUMBERS for x in low.split("-")):
             code = NUMBER
-        else:
-            code = UNIT if low in UNITS and len(low) > 1 else 0
-        ends = word[-1:] in ".!?:…" or word[-2:-1] in (".", "!", "?")
-        capital = bare[:1].isupper() and not bare.isupper()
-        value = (code or xxhash.xxh64_intdigest(low), bare, ends, capital, len(low) == 1 and low in UNITS)
+        elif low == "%" or len(low) > 1 and (low in UNITS or _UNIT.fullmatch(low)):
+            code = UNIT
+        elif low in UNITS:
+            unit = low
+        traits = Traits(
+            word[-1:] in ".!?:…" or word[-2:-1] in (".", "!", "?"),
+            bool(word) and word[-1] in _EDGES and word[-1] not in "*_",
+            bare[:1].isupper() and not bare.isupper(),
+            len(low) == 1 and low.isascii() and low.isalpha(),
+            unit,
+            code == NUMBER and not number,
+            low in AFTER_VARIABLE,
+        )
+        value = (code or xxhash.xxh64_intdigest(low), bare, traits if code or any(traits) else None)
         self[word] = value
         return value
 
@@ -76,27 +122,68 @@ def canonical() -> Canonical:
     return Canonical()
 
 
+def _belongs(code: int, slot: str, bare: str, joins: bool) -> bool:
+    """Whether a name or a number word goes on with the slot before it."""
+    if code == NAME:
+        return slot.count(" ") < NAME_WORDS - 1
+    return code == NUMBER and joins and (slot.rpartition(" ")[2][0].isalpha() or bare.lower() in MULTIPLES)
+
+
+def plain(text: str) -> list[str]:
+    """The bare words of a text, each of its own."""
+    return [bare for word in text.split() for bare in (word.strip(_EDGES),) if bare]
+
+
 def tokens(text: str, known: Canonical, lower: Marks | None = None) -> tuple[np.ndarray, list[str]]:
-    """Token codes (placeholders below 4) and bare words. lower marks the words that the benchmark has in lower case; a
-    capitalised word that begins a sentence is a name if it is none of them."""
+    """Token codes (placeholders up to VARIABLE) and the words of each. lower marks the words that the benchmark has in
+    lower case; a capitalised word that begins a sentence is a name if it is none of them."""
     if len(known) > known.MOST:
         known.clear()
-    words, codes, first, before = [], [], True, 0
+    words: list[str] = []
+    codes: list[int] = []
+    first, free = True, False  # free: the next word may belong to the token before it
     for line in text.split("\n"):
-        first = True
+        first, free = True, False
         for word in line.split():
-            code, bare, ends, capital, letter = known[word]
+            code, bare, traits = known[word]
+            if traits is None:
+                if bare:
+                    codes.append(code)
+                    words.append(bare)
+                    first, free = False, True
+                continue
+            ends, closed, capital, letter, unit, joins, after = traits
             if not bare:
-                first = first or ends
+                first, free = first or ends, free and not closed
                 continue
-            if code > 3:
-                if letter and before == NUMBER:
-                    code = UNIT
+            before = codes[-1] if free else 0
+            if before and after and words[-1] in ("a", "A"):
+                codes[-1] = VARIABLE
+            if code > VARIABLE:
+                if letter:
+                    if unit and (before == NUMBER or before and words[-1].lower() in BEFORE_UNIT):
+                        code = UNIT
+                    elif bare != "I" and (bare not in ("a", "A") or closed):
+                        code = VARIABLE
                 elif capital and not (first and (lower is None or lower.has(code))):
                     code = NAME
+            if code == UNIT and before:
+                if words[-1].lower() in BEFORE_UNIT:
+                    codes.pop()
+                    bare = f"{words.pop()} {bare}"
+                elif len(codes) > 1 and codes[-2] == UNIT and words[-1].lower() in BETWEEN_UNITS:
+                    del codes[-2:]
+                    bare = " ".join([*words[-2:], bare])
+                    del words[-2:]
+            elif code == before and _belongs(code, words[-1], bare, joins):
+                codes.pop()
+                bare = f"{words.pop()} {bare}"
             codes.append(code)
             words.append(bare)
-            first, before = ends, code
+            if unit and code == NUMBER:
+                codes.append(UNIT)
+                words.append(unit)
+            first, free = ends, not closed
     return np.array(codes, np.uint64), words
 
 
@@ -131,7 +218,7 @@ def window_hashes(codes: np.ndarray, sizes: Iterable[int]) -> Iterator[tuple[int
 
 def _usable(codes: np.ndarray, size: int) -> np.ndarray:
     """Which windows have enough words of their own."""
-    own = np.concatenate([[0], np.cumsum(codes > 3)])
+    own = np.concatenate([[0], np.cumsum(codes > VARIABLE)])
     return own[size:] - own[: len(own) - size] >= min(LITERALS, size // 2 + 1)
 
 
@@ -141,8 +228,8 @@ def _exact(words: list[str]) -> np.ndarray:
 
 
 def slots(codes: np.ndarray, words: list[str], at: int, size: int) -> list[str]:
-    """Values of a window's placeholders, by their place in it."""
-    return [f"{i}:{words[at + i].lower()}" for i in range(size) if codes[at + i] <= 3]
+    """Values of a window's placeholders, in their order."""
+    return [words[at + i].lower() for i in range(size) if codes[at + i] <= VARIABLE]
 
 
 _ITEMS = "id long, at int, size int, exact boolean, h long, slots array<string>, tokens int"
@@ -173,8 +260,10 @@ def _item_windows(items: DataFrame, lower: Marks, size: int) -> DataFrame:
                 for _, hashes in window_hashes(codes, {own}):
                     out += [(key, at, own, False, int(hashes[at]), slots(codes, words, at, own), covered) for at in places]
                 if len(codes) < size or not places:
-                    for _, hashes in window_hashes(_exact(words), {own}):
-                        out += [(key, at, own, True, h, [], len(codes)) for at, h in enumerate(hashes.tolist())]
+                    bare = plain(text)
+                    own = window_size(len(bare), size)
+                    for _, hashes in window_hashes(_exact(bare), {own}):
+                        out += [(key, at, own, True, h, [], len(bare)) for at, h in enumerate(hashes.tolist())]
             if out:
                 yield _table(out, _ITEMS)
 
@@ -193,7 +282,7 @@ def _doc_windows(texts: DataFrame, lower: Marks, marks: tuple[Marks, Marks], siz
                 codes, words = tokens(text, known, lower)
                 if not len(codes):
                     continue
-                for wanted, own, bare in ((sizes, codes, False), (exact, _exact(words) if exact else codes, True)):
+                for wanted, own, bare in ((sizes, codes, False), (exact, _exact(plain(text)) if exact else codes, True)):
                     for size, hashes in window_hashes(own, wanted):
                         found = np.flatnonzero(marks[0].of(hashes))
                         found = found[marks[1].of(hashes[found] >> _SHIFT)]
@@ -227,16 +316,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, coverage:
     pairs = found.join(sides, "h").where(F.size("slots") == F.size("doc_slots"))
     pairs = pairs.withColumn("shift", F.col("doc_at") - F.col("at")).withColumn("slot", F.arrays_zip("slots", "doc_slots"))
 
-    def value(side: str):
-        return lambda s: F.regexp_replace(s[side], "^[0-9]+:", "")
-
     def covered(windows: Column) -> Column:
         return F.flatten(F.transform(windows, lambda w: F.sequence(w["at"], w["at"] + w["size"] - 1)))
 
-    same = F.transform("slot", lambda s: F.struct(value("slots")(s).alias("i"), value("doc_slots")(s).alias("d")))
+    same = F.transform("slot", lambda s: F.struct(s["slots"].alias("i"), s["doc_slots"].alias("d")))
     lined = pairs.groupBy("doc_id", "item_id", "shift").agg(F.collect_set(F.struct("at", "size", same.alias("slots"))).alias("w"), F.max("tokens").alias("tokens"))
-    values = lined.withColumn("v", F.array_distinct(F.flatten("w.slots")))
-    torn = values.withColumn("torn", F.transform(F.filter("v", lambda s: F.size(F.filter("v", lambda o: o["i"] == s["i"])) > 1), lambda s: s["i"]))
+    values = lined.withColumn("v", F.array_sort(F.array_distinct(F.flatten("w.slots"))))
+    again = F.filter("v", lambda s, at: (at > 0) & (F.get("v", at - 1)["i"] == s["i"]))
+    torn = values.withColumn("torn", F.transform(again, lambda s: s["i"]))
 
     def bad(w: Column) -> Column:
         return F.exists(w["slots"], lambda s: F.array_contains("torn", s["i"]))
@@ -269,4 +356,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_items, item_id, coverage, reworded of each document that holds an item of benchmark, over whole tables.
+    Null and empty texts hold nothing; rows that share a doc_id are one document."""
     return contaminated(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))

@@ -74,3 +74,47 @@ def test_questions_with_other_numbers_names_and_units(spark, documents):
     right = {(i, k) for i, (k, _) in enumerate(docs, 1)}
     assert len(got & right) >= 0.9 * len(right), len(got & right) / len(right)
     assert got <= right
+
+
+def kinds(text):
+    codes, own = dc.tokens(text, dc.Canonical())
+    return [f"{' NAUV'[int(c)]}:{w}" if c <= dc.VARIABLE else w for c, w in zip(codes, own, strict=True)]
+
+
+def test_slots_of_several_words():
+    assert kinds("From New York it is twenty five kilometres, or 3 million square feet") == [
+        "From", "A:New York", "it", "is", "N:twenty five", "U:kilometres", "or", "N:3 million", "U:square feet"
+    ]
+    assert kinds("at 60 miles per hour for 5km, 20% or 20 % of 7 sq m") == [
+        "at", "N:60", "U:miles per hour", "for", "N:5", "U:km", "N:20", "U:%", "or", "N:20", "U:%", "of", "N:7", "U:sq m"
+    ]
+    assert kinds("to Tom, Ann and 4 one 1 2") == ["to", "A:Tom", "A:Ann", "and", "N:4", "N:one", "N:1", "N:2"]
+    assert kinds("the One Two Three Four Five Red Green Blue White Black") == ["the", "N:One Two Three Four Five", "A:Red Green Blue White", "A:Black"]
+    assert kinds("let x, y be a dog and a + b is a. (A) per sq") == [
+        "let", "V:x", "V:y", "be", "a", "dog", "and", "V:a", "+", "V:b", "is", "V:a", "V:A", "per", "sq"
+    ]
+    assert kinds("") == [] == kinds(" .,; \n")
+
+
+#: A question and other forms of it: each has other values, and units, names or variables of another number of words.
+FORMS = [
+    ("The garden of Anna is 20 m long and 30 m wide. What is the area of the garden, and how long is the fence around it?",
+     "The garden of Maria Lopez is 45 square metres long and 60 square metres wide. What is the area of the garden, and how long is the fence around it?"),
+    ("Let x and y be whole numbers so that x is twice as large as y and the sum of x and y is 36. What is the value of x?",
+     "Let a and b be whole numbers so that a is twice as large as b and the sum of a and b is 81. What is the value of a?"),
+    ("A tank holds 200 litres of water and loses 3 litres per hour. After how many hours is the tank of Peter half empty?",
+     "A tank holds two thousand gallons of water and loses 11 cubic feet a day. After how many days is the tank of Mary Ann half empty?"),
+    ("A train leaves Boston at 60 km per hour and a second train leaves Denver two hours later. When do the trains meet on the way?",
+     "A train leaves New Orleans at 95 mph and a fourth train leaves San Diego seventy five minutes later. When do the trains meet on the way?"),
+    ("The tower is 300 meters high and its shadow has 45 centimeters at noon. By how much does it grow until the evening comes?",
+     "The tower is 90ft high and its shadow has 7 kilometres at noon. By how much does it grow until the evening comes?"),
+]
+
+
+def test_forms_with_slots_of_another_length(spark, documents):
+    items, docs = [a for a, _ in FORMS], [b for _, b in FORMS]
+    swapped = [
+        docs[1].replace("value of a", "value of b").replace("a is twice", "b is twice").replace("sum of a and b", "sum of b and b"),
+        "The garden is long and wide. What a fence. How large is the area, and how long does a tank hold water on the way to the train?",
+    ]
+    assert found(spark, documents, docs + swapped, items) == {(i, i) for i in range(1, len(FORMS) + 1)}
