@@ -74,8 +74,6 @@ _M = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 class Traits(NamedTuple):
     """What a word may be besides a word of its own."""
 
-    ends: bool  # a sentence ends after it
-    closed: bool  # a mark after it keeps it from the next word
     capital: bool
     letter: bool
     unit: str  # a unit written to a number, or a unit of one letter
@@ -84,12 +82,12 @@ class Traits(NamedTuple):
 
 
 class Canonical(dict):
-    """For a word as it stands: token hash (or placeholder), bare word, and its traits, None for a plain word of its own.
-    Remembers a bounded number of words."""
+    """For a word as it stands: token hash (or placeholder), bare word, whether a sentence ends after it, whether a mark
+    after it keeps it from the next word, and its traits, None for a word of its own. Remembers a bounded number of words."""
 
     MOST = 150_000
 
-    def __missing__(self, word: str) -> tuple[int, str, Traits | None]:
+    def __missing__(self, word: str) -> tuple[int, str, bool, bool, Traits | None]:
         bare = word.strip(_EDGES)
         low = bare.lower()
         number, code, unit = _NUMBER.fullmatch(low), 0, ""
@@ -103,16 +101,16 @@ class Canonical(dict):
             code = UNIT
         elif low in UNITS:
             unit = low
+        ends = word[-1:] in ".!?:…" or word[-2:-1] in (".", "!", "?")
+        closed = word[-1:] in _EDGES and word[-1:] not in "*_"
         traits = Traits(
-            word[-1:] in ".!?:…" or word[-2:-1] in (".", "!", "?"),
-            bool(word) and word[-1] in _EDGES and word[-1] not in "*_",
             bare[:1].isupper() and not bare.isupper(),
             len(low) == 1 and low.isascii() and low.isalpha(),
             unit,
             code == NUMBER and not number,
             low in AFTER_VARIABLE,
         )
-        value = (code or xxhash.xxh64_intdigest(low), bare, traits if code or any(traits) else None)
+        value = (code or xxhash.xxh64_intdigest(low), bare, ends, closed, traits if code or any(traits) else None)
         self[word] = value
         return value
 
@@ -145,17 +143,16 @@ def tokens(text: str, known: Canonical, lower: Marks | None = None) -> tuple[np.
     for line in text.split("\n"):
         first, free = True, False
         for word in line.split():
-            code, bare, traits = known[word]
-            if traits is None:
-                if bare:
-                    codes.append(code)
-                    words.append(bare)
-                    first, free = False, True
-                continue
-            ends, closed, capital, letter, unit, joins, after = traits
+            code, bare, ends, closed, traits = known[word]
             if not bare:
                 first, free = first or ends, free and not closed
                 continue
+            if traits is None:
+                codes.append(code)
+                words.append(bare)
+                first, free = ends, not closed
+                continue
+            capital, letter, unit, joins, after = traits
             before = codes[-1] if free else 0
             if before and after and words[-1] in ("a", "A"):
                 codes[-1] = VARIABLE
@@ -228,8 +225,8 @@ def _exact(words: list[str]) -> np.ndarray:
 
 
 def slots(codes: np.ndarray, words: list[str], at: int, size: int) -> list[str]:
-    """Values of a window's placeholders, in their order."""
-    return [words[at + i].lower() for i in range(size) if codes[at + i] <= VARIABLE]
+    """Values of a window's placeholders, in their order; of a name its last word, as a capitalised word may stand before it."""
+    return [(w.rpartition(" ")[2] if c == NAME else w).lower() for c, w in zip(codes[at : at + size].tolist(), words[at : at + size]) if c <= VARIABLE]
 
 
 _ITEMS = "id long, at int, size int, exact boolean, h long, slots array<string>, tokens int"

@@ -118,3 +118,11 @@ def test_forms_with_slots_of_another_length(spark, documents):
         "The garden is long and wide. What a fence. How large is the area, and how long does a tank hold water on the way to the train?",
     ]
     assert found(spark, documents, docs + swapped, items) == {(i, i) for i in range(1, len(FORMS) + 1)}
+
+
+def test_a_name_that_takes_in_the_word_before_it_is_the_same_name(spark, documents):
+    item = "Anna has 7 red hens and buys 9 more hens. How many eggs does Anna sell if each of the hens of Anna lays 4 eggs"
+    docs = [f"Yesterday {item}", f"Yesterday {item.replace('Anna', 'Tom')}", f"Yesterday {item.replace('Anna', 'Tom', 2)}"]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: r.reworded for r in dc.matches(documents(list(enumerate(docs, 1))), bench).collect()}
+    assert got == {1: False, 2: True}
