@@ -15,8 +15,9 @@ dropped, and all windows if these are more than two fifths of them. Items are ju
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
-from typing import NamedTuple
+from array import array
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,9 @@ COVERAGE = 0.6
 #: Most words of a name in one slot; the words after them begin another.
 NAME_WORDS = 4
 
+#: Code points of texts that are cut into tokens at once.
+GROUP = 200_000
+
 #: Units of measure; fixed values.
 UNITS = frozenset(
     "mm cm dm m km inch inches foot feet ft yard yards yd mile miles mi acre acres hectare hectares ha mg g kg lb lbs oz"
@@ -45,11 +49,10 @@ UNITS = frozenset(
     " w kw mw j kj cal kcal v mv a ma k c f kb mb gb tb percent degree degrees dollar dollars cent cents euro euros usd"
     " eur mph kmh kph %".split()
 )
-#: Units made of a prefix and a base; fixed values.
-_UNIT = re.compile(
-    "(?:kilo|centi|milli|deci|hecto|deca|micro|nano|mega|giga|tera)?"
-    "(?:meter|metre|gram|gramme|liter|litre|second|watt|volt|ampere|hertz|joule|newton|pascal|calorie|byte|bit|mole|ohm)s?"
-)
+#: Prefixes and bases of composed units; fixed values.
+PREFIXES = " kilo centi milli deci hecto deca micro nano mega giga tera".split(" ")
+BASES = "meter metre gram gramme liter litre second watt volt ampere hertz joule newton pascal calorie byte bit mole ohm".split()
+COMPOSED = frozenset(f"{prefix}{base}{plural}" for prefix in PREFIXES for base in BASES for plural in ("", "s"))
 #: Words before a unit that belong to it, and words that join two units; fixed values.
 BEFORE_UNIT = frozenset("square cubic sq cu".split())
 BETWEEN_UNITS = frozenset("per a an".split())
@@ -63,6 +66,7 @@ NUMBERS = frozenset(
     " eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen half"
     " twice thrice double triple first second third fourth fifth sixth seventh eighth ninth tenth".split()
 )
+_LISTED = UNITS | COMPOSED | BEFORE_UNIT | BETWEEN_UNITS | NUMBERS | AFTER_VARIABLE
 NUMBER, NAME, UNIT, VARIABLE = 1, 2, 3, 4
 _NUMBER = re.compile(r"[+-]?[$€£]?\d+(?:[.,:/]\d+)*(st|nd|rd|th|%|[a-z]{1,3})?")
 _EDGES = ".,;:!?\"'()[]{}«»“”‘’…*_"
@@ -71,48 +75,57 @@ _SHIFT = 24
 _M = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
 
 
-class Traits(NamedTuple):
-    """What a word may be besides a word of its own."""
-
-    capital: bool
-    letter: bool
-    unit: str  # a unit written to a number, or a unit of one letter
-    joins: bool  # a number word that the number before it takes in
-    after: bool  # tells that a letter before it is a variable
+#: What a word may be, one bit each.
+ENDS, CLOSED, EMPTY, CAPITAL, LETTER, LETTER_UNIT, ARTICLE, AFTER, BEFORE, BETWEEN, GLUED, SPELLED, MULTIPLE = (1 << i for i in range(13))
 
 
 class Canonical(dict):
-    """For a word as it stands: token hash (or placeholder), bare word, whether a sentence ends after it, whether a mark
-    after it keeps it from the next word, and its traits, None for a word of its own. Remembers a bounded number of words."""
+    """The numbers of words as they stand. By them codes has token hashes (or placeholders), marks what the words may be,
+    bare the words without the marks around them, units the units written to numbers. Remembers a bounded number of words."""
 
     MOST = 150_000
 
-    def __missing__(self, word: str) -> tuple[int, str, bool, bool, Traits | None]:
+    def __init__(self):
+        super().__init__()
+        self.reset()
+
+    def reset(self) -> None:
+        self.clear()
+        self.codes, self.marks, self.bare, self.units = array("Q"), array("H"), [], {}
+
+    def __missing__(self, word: str) -> int:
         bare = word.strip(_EDGES)
-        low = bare.lower()
-        number, code, unit = _NUMBER.fullmatch(low), 0, ""
-        if number:
-            code, end = NUMBER, number[1]
-            if end and end in UNITS:
-                unit, bare = end, bare[: -len(end)]
-        elif all(x in NUMBERS for x in low.split("-")):
-            code = NUMBER
-        elif low == "%" or len(low) > 1 and (low in UNITS or _UNIT.fullmatch(low)):
-            code = UNIT
-        elif low in UNITS:
-            unit = low
-        ends = word[-1:] in ".!?:…" or word[-2:-1] in (".", "!", "?")
-        closed = word[-1:] in _EDGES and word[-1:] not in "*_"
-        traits = Traits(
-            bare[:1].isupper() and not bare.isupper(),
-            len(low) == 1 and low.isascii() and low.isalpha(),
-            unit,
-            code == NUMBER and not number,
-            low in AFTER_VARIABLE,
-        )
-        value = (code or xxhash.xxh64_intdigest(low), bare, ends, closed, traits if code or any(traits) else None)
-        self[word] = value
-        return value
+        low, at = bare.lower(), len(self.bare)
+        code, marks = 0, CAPITAL if bare is not low and bare[:1].isupper() and not bare.isupper() else 0
+        plain = len(low) > 1 and low.isalpha()
+        if len(bare) < len(word) or not plain:
+            marks |= ENDS * (word[-1:] in ".!?:…" or word[-2:-1] in (".", "!", "?"))
+            marks |= CLOSED * (word[-1:] in _EDGES and word[-1:] not in "*_")
+        if not plain or low in _LISTED:
+            code, more, unit = _placeholder(bare, low)
+            marks |= more
+            if unit:
+                bare, self.units[at] = bare[: -len(unit)], unit
+        self.codes.append(code or xxhash.xxh64_intdigest(low))
+        self.marks.append(marks)
+        self.bare.append(bare)
+        self[word] = at
+        return at
+
+
+def _placeholder(bare: str, low: str) -> tuple[int, int, str]:
+    """Placeholder (0: none), marks, and the unit written to a number, of a word that is listed or not of letters."""
+    letter = len(low) == 1 and low.isascii() and low.isalpha()
+    marks = EMPTY * (not bare) | LETTER * (letter and bare != "I") | LETTER_UNIT * (letter and low in UNITS)
+    marks |= ARTICLE * (bare in ("a", "A")) | AFTER * (low in AFTER_VARIABLE)
+    marks |= BEFORE * (low in BEFORE_UNIT) | BETWEEN * (low in BETWEEN_UNITS)
+    number = _NUMBER.fullmatch(low)
+    if number:
+        unit = number[1] if number[1] in UNITS else ""
+        return NUMBER, marks | GLUED * bool(unit), unit
+    if all(x in NUMBERS for x in low.split("-")):
+        return NUMBER, marks | SPELLED | MULTIPLE * (low in MULTIPLES), ""
+    return UNIT if not letter and (low in UNITS or low in COMPOSED) else 0, marks, ""
 
 
 @common.remembered
@@ -120,11 +133,23 @@ def canonical() -> Canonical:
     return Canonical()
 
 
-def _belongs(code: int, slot: str, bare: str, joins: bool) -> bool:
-    """Whether a name or a number word goes on with the slot before it."""
-    if code == NAME:
-        return slot.count(" ") < NAME_WORDS - 1
-    return code == NUMBER and joins and (slot.rpartition(" ")[2][0].isalpha() or bare.lower() in MULTIPLES)
+class Spelling(Sequence):
+    """The words of each token of a text, made when asked for. Token i begins at word starts[i]; units marks the tokens
+    that are a unit written to the number before them."""
+
+    def __init__(self, known: Canonical, at: np.ndarray, starts: np.ndarray, units: np.ndarray):
+        self.bare, self.glued, self.at, self.starts, self.units = known.bare, known.units, at, starts, units
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def __getitem__(self, i: int) -> str:
+        if i >= len(self.starts):
+            raise IndexError(i)
+        start = self.starts[i]
+        stop = self.starts[i + 1] if i + 1 < len(self.starts) else len(self.at)
+        words = [self.bare[w] for w in self.at[start : max(stop, start + 1)].tolist()]
+        return " ".join([self.glued[self.at[start]], *words[1:]] if self.units[i] else words)
 
 
 def plain(text: str) -> list[str]:
@@ -132,56 +157,95 @@ def plain(text: str) -> list[str]:
     return [bare for word in text.split() for bare in (word.strip(_EDGES),) if bare]
 
 
-def tokens(text: str, known: Canonical, lower: Marks | None = None) -> tuple[np.ndarray, list[str]]:
+def tokens(text: str, known: Canonical, lower: Marks | None = None) -> tuple[np.ndarray, Spelling]:
     """Token codes (placeholders up to VARIABLE) and the words of each. lower marks the words that the benchmark has in
     lower case; a capitalised word that begins a sentence is a name if it is none of them."""
+    return tokens_of([text], known, lower)[:2]
+
+
+def groups(texts: list[str]) -> Iterator[slice]:
+    """Texts in groups of about GROUP code points, or one longer text."""
+    begin, size = 0, 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > GROUP:
+            yield slice(begin, i)
+            begin, size = i, 0
+        size += len(text)
+    if texts:
+        yield slice(begin, len(texts))
+
+
+def tokens_of(texts: list[str], known: Canonical, lower: Marks | None = None) -> tuple[np.ndarray, Spelling, np.ndarray]:
+    """tokens() of several texts, one after the other, and where the tokens of each end."""
     if len(known) > known.MOST:
-        known.clear()
-    words: list[str] = []
-    codes: list[int] = []
-    first, free = True, False  # free: the next word may belong to the token before it
-    for line in text.split("\n"):
-        first, free = True, False
-        for word in line.split():
-            code, bare, ends, closed, traits = known[word]
-            if not bare:
-                first, free = first or ends, free and not closed
-                continue
-            if traits is None:
-                codes.append(code)
-                words.append(bare)
-                first, free = ends, not closed
-                continue
-            capital, letter, unit, joins, after = traits
-            before = codes[-1] if free else 0
-            if before and after and words[-1] in ("a", "A"):
-                codes[-1] = VARIABLE
-            if code > VARIABLE:
-                if letter:
-                    if unit and (before == NUMBER or before and words[-1].lower() in BEFORE_UNIT):
-                        code = UNIT
-                    elif bare != "I" and (bare not in ("a", "A") or closed):
-                        code = VARIABLE
-                elif capital and not (first and (lower is None or lower.has(code))):
-                    code = NAME
-            if code == UNIT and before:
-                if words[-1].lower() in BEFORE_UNIT:
-                    codes.pop()
-                    bare = f"{words.pop()} {bare}"
-                elif len(codes) > 1 and codes[-2] == UNIT and words[-1].lower() in BETWEEN_UNITS:
-                    del codes[-2:]
-                    bare = " ".join([*words[-2:], bare])
-                    del words[-2:]
-            elif code == before and _belongs(code, words[-1], bare, joins):
-                codes.pop()
-                bare = f"{words.pop()} {bare}"
-            codes.append(code)
-            words.append(bare)
-            if unit and code == NUMBER:
-                codes.append(UNIT)
-                words.append(unit)
-            first, free = ends, not closed
-    return np.array(codes, np.uint64), words
+        known.reset()
+    parts = [text.split("\n") for text in texts]
+    lines = [line.split() for part in parts for line in part]
+    counts = np.array([len(line) for line in lines])
+    ends = np.cumsum(counts)[np.cumsum([len(part) for part in parts]) - 1]
+    at = np.fromiter(map(known.__getitem__, chain.from_iterable(lines)), np.int64, counts.sum())
+    begins = np.zeros(len(at) + 1, bool)
+    begins[np.cumsum(counts) - counts] = True
+    marks, begins = _without_empty(np.frombuffer(known.marks, np.uint16)[at] if len(at) else np.zeros(0, np.uint16), begins[:-1])
+    full = (marks & EMPTY) == 0
+    at, marks, begins = at[full], marks[full], begins[full]
+    ends = np.concatenate([[0], np.cumsum(full)])[ends]
+    if not len(at):
+        return np.zeros(0, np.uint64), Spelling(known, at, at, full[:0]), ends
+    codes = np.frombuffer(known.codes, np.uint64)[at]
+    first, free = begins.copy(), ~begins  # free: the word may belong to the one before it
+    first[1:] |= (marks[:-1] & ENDS) > 0
+    free[1:] &= (marks[:-1] & CLOSED) == 0
+
+    own = codes > VARIABLE
+    name = own & ((marks & (CAPITAL | LETTER)) == CAPITAL)
+    asked = np.flatnonzero(name & first)
+    name[asked] = ~lower.of(codes[asked].view(np.int64)) if lower is not None else False
+    letter = own & ((marks & LETTER) > 0) & (((marks & ARTICLE) == 0) | ((marks & CLOSED) > 0))
+    codes[name], codes[letter] = NAME, VARIABLE
+    told = np.flatnonzero(free & ((marks & AFTER) > 0)) - 1
+    codes[told[(marks[told] & ARTICLE) > 0]] = VARIABLE
+    measured = np.flatnonzero(free & ((marks & LETTER_UNIT) > 0))
+    counted = (codes[measured - 1] == NUMBER) & ((marks[measured - 1] & GLUED) == 0)
+    codes[measured[counted | ((marks[measured - 1] & BEFORE) > 0)]] = UNIT
+
+    follows = free & (codes == NAME)
+    follows[1:] &= codes[:-1] == NAME
+    place = np.arange(len(codes))
+    joined = follows & ((place - np.maximum.accumulate(np.where(follows, 0, place))) % NAME_WORDS > 0)
+    for i in np.flatnonzero(free & ((codes == UNIT) | ((marks & SPELLED) > 0))).tolist():
+        _join(i, codes, marks, free, joined)
+
+    starts = np.flatnonzero(~joined)
+    glued = (marks[starts] & GLUED) > 0
+    units = np.zeros(len(starts) + int(glued.sum()), bool)
+    units[np.flatnonzero(glued) + np.arange(1, glued.sum() + 1)] = True
+    starts = np.repeat(starts, glued + 1)
+    return np.where(units, np.uint64(UNIT), codes[starts]), Spelling(known, at, starts, units), np.searchsorted(starts, ends)
+
+
+def _without_empty(marks: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Marks and line beginnings, where what words of marks alone end or close is told of the words before them."""
+    empty = np.flatnonzero(marks & EMPTY).tolist()
+    for i in reversed(empty):
+        if not begins[i]:
+            marks[i - 1] |= marks[i] & (ENDS | CLOSED)
+    for i in empty:
+        if begins[i] and i + 1 < len(begins):
+            begins[i + 1] = True
+    return marks, begins
+
+
+def _join(i: int, codes: np.ndarray, marks: np.ndarray, free: np.ndarray, joined: np.ndarray) -> None:
+    """Joins a unit, or a number word, to the words before it that belong to it."""
+    if codes[i] == NUMBER:
+        number = codes[i - 1] == NUMBER and not marks[i - 1] & GLUED
+        joined[i] = number and bool(marks[i] & MULTIPLE or marks[i - 1] & SPELLED)
+    elif codes[i - 1] > VARIABLE and marks[i - 1] & BEFORE:
+        codes[i - 1], joined[i] = UNIT, True
+    elif i > 1 and free[i - 1] and codes[i - 1] > VARIABLE and marks[i - 1] & BETWEEN:
+        if codes[i - 2] == UNIT or marks[i - 2] & GLUED:
+            codes[i - 1], joined[i - 1], joined[i] = UNIT, True, True
 
 
 def lower_words(items: DataFrame) -> Marks:
@@ -190,7 +254,8 @@ def lower_words(items: DataFrame) -> Marks:
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = canonical()
         for batch in batches:
-            codes = {known[w][0] for text in batch["text"].to_pylist() for w in text.split() if known[w][1][:1].islower()}
+            numbers = {known[w] for text in batch["text"].to_pylist() for w in text.split()}
+            codes = {known.codes[i] for i in numbers if known.bare[i][:1].islower()}
             yield pa.RecordBatch.from_pydict({"h": pa.array(np.array(list(codes), np.uint64).view(np.int64), pa.int64())})
 
     return Marks(items.mapInArrow(found, "h long").distinct(), "h")
@@ -224,9 +289,10 @@ def _exact(words: list[str]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(w.lower()) for w in words], np.uint64) ^ _M[1]
 
 
-def slots(codes: np.ndarray, words: list[str], at: int, size: int) -> list[str]:
+def slots(codes: np.ndarray, words: Spelling, at: int, size: int) -> list[str]:
     """Values of a window's placeholders, in their order; of a name its last word, as a capitalised word may stand before it."""
-    return [(w.rpartition(" ")[2] if c == NAME else w).lower() for c, w in zip(codes[at : at + size].tolist(), words[at : at + size]) if c <= VARIABLE]
+    places = at + np.flatnonzero(codes[at : at + size] <= VARIABLE)
+    return [(words[i].rpartition(" ")[2] if codes[i] == NAME else words[i]).lower() for i in places.tolist()]
 
 
 _ITEMS = "id long, at int, size int, exact boolean, h long, slots array<string>, tokens int"
@@ -275,15 +341,22 @@ def _doc_windows(texts: DataFrame, lower: Marks, marks: tuple[Marks, Marks], siz
         known = canonical()
         for batch in batches:
             out = []
-            for key, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                codes, words = tokens(text, known, lower)
-                if not len(codes):
-                    continue
-                for wanted, own, bare in ((sizes, codes, False), (exact, _exact(plain(text)) if exact else codes, True)):
+            keys, texts = batch["id"].to_pylist(), batch["text"].to_pylist()
+            for some in groups(texts):
+                codes, words, ends = tokens_of(texts[some], known, lower)
+                sides = [(sizes, codes, ends, False)]
+                if exact:
+                    bare = [plain(text) for text in texts[some]]
+                    sides.append((exact, _exact([w for own in bare for w in own]), np.cumsum([len(own) for own in bare]), True))
+                for wanted, own, stops, as_is in sides:
                     for size, hashes in window_hashes(own, wanted):
                         found = np.flatnonzero(marks[0].of(hashes))
                         found = found[marks[1].of(hashes[found] >> _SHIFT)]
-                        out += [(key, at, int(hashes[at]), [] if bare else slots(codes, words, at, size)) for at in found.tolist()]
+                        text = np.searchsorted(stops, found, "right")
+                        inside = found + size <= stops[text]
+                        for at, i in zip(found[inside].tolist(), text[inside].tolist(), strict=True):
+                            place = at - (int(stops[i - 1]) if i else 0)
+                            out.append((keys[some][i], place, int(hashes[at]), [] if as_is else slots(codes, words, at, size)))
             if out:
                 yield _table(out, _WINDOWS)
 

@@ -126,3 +126,13 @@ def test_a_name_that_takes_in_the_word_before_it_is_the_same_name(spark, documen
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     got = {r.doc_id: r.reworded for r in dc.matches(documents(list(enumerate(docs, 1))), bench).collect()}
     assert got == {1: False, 2: True}
+
+
+def test_texts_cut_together_are_as_cut_alone():
+    texts = ["", "a b\n5km", ".", "New\nYork 5% is ( ) Tom", "  ", "z" * dc.GROUP, *[a for a, _ in FORMS], *[b for _, b in FORMS]]
+    assert list(dc.groups([])) == [] and [i for g in dc.groups(texts) for i in range(len(texts))[g]] == list(range(len(texts)))
+    codes, own, ends = dc.tokens_of(texts, dc.Canonical())
+    alone = [dc.tokens(text, dc.Canonical()) for text in texts]
+    assert list(own) == [w for _, words in alone for w in words]
+    assert codes.tolist() == [c for some, _ in alone for c in some.tolist()]
+    assert ends.tolist() == np.cumsum([len(some) for some, _ in alone]).tolist()
