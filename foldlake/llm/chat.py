@@ -246,6 +246,8 @@ def digests(formatted: DataFrame) -> DataFrame:
 
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns and their digests, read back from the formatted conversations and one made conversation, -1. Null texts are
+    empty; columns beside conv_id, turn, role and text are not read."""
     rows = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.sql(
         "SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)"

@@ -390,4 +390,5 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
 
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every row of pages; extract_pages() says what odd rows give."""
     return extract_pages(common.table(spark, sf_dir, "pages"))

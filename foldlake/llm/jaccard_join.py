@@ -504,4 +504,5 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of linked documents over all whole texts; link() says what odd rows give."""
     return link(common.table(spark, sf_dir, "documents"))

@@ -203,4 +203,5 @@ def sample(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = WEIGH
 
 
 def op10_mixing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of all documents at the default weights; mix() says what odd rows give."""
     return mix(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))

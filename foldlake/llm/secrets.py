@@ -239,4 +239,5 @@ def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates of all documents, judged by the forest; scan() says what odd rows give."""
     return scan(common.table(spark, sf_dir, "documents"))

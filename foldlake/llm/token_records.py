@@ -390,5 +390,6 @@ def default_tokenizer() -> str:
 
 
 def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids, read back from the record files; write() says what odd rows give."""
     docs = common.table(spark, sf_dir, "documents")
     return summarize(spark, write(docs, common.work_path(spark, "token-records"), default_tokenizer()))

@@ -262,4 +262,5 @@ def read(spark: SparkSession, manifest: DataFrame) -> DataFrame:
 
 
 def op6_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each page, read back from the archives; write() says what odd rows give."""
     return read(spark, write(common.table(spark, sf_dir, "pages"), common.work_path(spark, "warc")))
