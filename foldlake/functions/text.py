@@ -21,6 +21,25 @@ def number_or_null(value) -> Column:
     return F.when(text.rlike(_NUMBER), F.trim(text).try_cast("double"))
 
 
+def fixed(value, digits: int) -> Column:
+    """value with so many decimals, rounded from its exact binary value and ties to even, as Python and SQL's printf write it
+    (Java rounds up the shortest decimal: 14.35, which is a little less, would become 14.4). Null and numbers without
+    decimals of their own are left to format_string."""
+    x, scale = F.abs(col(value).cast("double")), float(10**digits)
+    high = x * 134217729.0 - (x * 134217729.0 - x)
+    # The product and its rounding error are exactly x * scale, as both halves of x have room for the scale's digits.
+    product = x * scale
+    error = high * scale - product + (x - high) * scale
+    whole = F.floor(product)
+    part = product - whole
+    up = (part > 0.5) | (part == 0.5) & ((error > 0) | (error == 0) & (whole % 2 == 1))
+    n = whole + up.cast("long")
+    unit = 10**digits
+    text = F.concat(((n - n % unit) / unit).cast("long").cast("string"), F.lit("."), F.lpad((n % unit).cast("string"), digits, "0"))
+    sign = F.when(col(value).cast("double").cast("string").startswith("-"), "-").otherwise("")
+    return F.when(x * scale < 2.0**52, F.concat(sign, text)).otherwise(F.format_string(f"%.{digits}f", col(value).cast("double")))
+
+
 def or_default(value, default: str) -> Column:
     """value, or default where it is null or empty."""
     return F.coalesce(F.nullif(col(value), F.lit("")), F.lit(default))

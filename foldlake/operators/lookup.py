@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foldlake.functions.text import fixed
 from foldlake.operators.catalogue import first_rows
 
 
@@ -99,7 +100,7 @@ def complex_status(threshold: float, dry_run: bool) -> tuple[Column, Column]:
     structure_pdb."""
     own = F.col("sabdab_pdb").isNotNull()
     low = ~own & (F.col("identity") < threshold)
-    message = F.format_string(f"Sequence identity %.1f%% below threshold {float(threshold)}%%", F.col("identity"))
+    message = F.concat(F.lit("Sequence identity "), fixed("identity", 1), F.lit(f"% below threshold {float(threshold)}%"))
     # The messages of the build's table.
     cases = [
         (F.col("uniprot").isNull(), "failed", "Could not map antigen chain to UniProt"),

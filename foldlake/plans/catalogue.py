@@ -15,6 +15,7 @@ from foldlake.functions import residues, text
 from foldlake.functions.alignment import affine_identity, lcs_identity
 from foldlake.functions.geometry import rigid
 from foldlake.functions.superpose import superpose
+from foldlake.functions.text import fixed
 from foldlake.operators import catalogue, contacts, lookup, sequences, summary
 
 FLAGSHIP = "complex_status"
@@ -135,7 +136,7 @@ def _ladder(t):
     state, message = lookup.status(
         [
             (F.col("c_custkey").isNull(), "failed", "no customer"),
-            (low, "failed", F.format_string("price %.1f below threshold", F.col("o_totalprice"))),
+            (low, "failed", F.concat(F.lit("price "), fixed("o_totalprice", 1), F.lit(" below threshold"))),
             (F.col("o_orderstatus") == "P", "dry_run", ""),
         ]
     )

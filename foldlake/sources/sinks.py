@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foldlake.functions.text import fixed
+
 
 def flat(df: DataFrame) -> DataFrame:
     """df with arrays, maps and structs as JSON text, for CSV."""
@@ -39,9 +41,9 @@ def pdb_lines(atoms: DataFrame) -> DataFrame:
         F.lpad(F.coalesce("auth_seq_id", F.lit("")), 4, " "),
         F.rpad(F.coalesce("ins_code", F.lit(" ")), 1, " "),
         F.lit("   "),
-        *[F.lpad(F.format_string("%.3f", c), 8, " ") for c in "xyz"],
-        F.lpad(F.format_string("%.2f", F.coalesce("occupancy", F.lit(1.0))), 6, " "),
-        F.lpad(F.format_string("%.2f", F.coalesce("b_factor", F.lit(0.0))), 6, " "),
+        *[F.lpad(fixed(c, 3), 8, " ") for c in "xyz"],
+        F.lpad(fixed(F.coalesce("occupancy", F.lit(1.0)), 2), 6, " "),
+        F.lpad(fixed(F.coalesce("b_factor", F.lit(0.0)), 2), 6, " "),
         F.lit("          "),
         F.lpad(F.coalesce("element", F.lit("")), 2, " "),
     ]
