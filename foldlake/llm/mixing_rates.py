@@ -22,8 +22,9 @@ DOMAINS = ("good", "poor", "toxic")
 #: Shares of the mixture's expected tokens: mostly good text; a little poor text, as it is what users write; of toxic text
 #: no more than what lets a model recognise it.
 WEIGHTS = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
-#: The classifier is fitted to at most so many labelled documents, chosen by the md5 of their id.
-LABELLED_SAMPLE = 8192
+#: Labelled documents in a partition of the classifier's input, which is all of them. One partition gives the same model in
+#: every run, several may add up in another order, so that posteriors differ in their last digits.
+LABELLED_TOGETHER = 8192
 FEATURES, LEAST_TEXTS = 512, 5
 ITERATIONS, TOLERANCE = 60, 1e-7
 #: Steps of the grid of posteriors along each domain; its cells number (GRID + 1) * (GRID + 2) / 2 at most.
@@ -39,7 +40,7 @@ def domain() -> Column:
 
 
 def telling_words(sample: DataFrame, most: int = FEATURES) -> list[str]:
-    """The words of the labelled sample (words, label) whose presence says most about the domain (by the G statistic),
+    """The words of the labelled texts (words, label) whose presence says most about the domain (by the G statistic),
     of those in LEAST_TEXTS texts or more; at most FEATURES."""
     k = range(len(DOMAINS))
     texts = dict(sample.groupBy(F.col("label").cast("int")).count().collect())
@@ -70,31 +71,33 @@ def featurize(rows: DataFrame, words: list[str]) -> DataFrame:
     return df.drop("words", "share", "present")
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, bound: int = LABELLED_SAMPLE) -> DataFrame:
-    """text, label for at most bound labelled documents. Of several labels of a document the toxic, then the poor one counts."""
+def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """text, label, place for all labelled documents. Of several labels of a document the toxic, then the poor one counts."""
     known = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     known = known.select(F.col("doc_id").alias("l_id"), domain().cast("double").alias("label")).where("label IS NOT NULL")
-    known = known.orderBy(F.md5(F.col("l_id").cast("string")), "l_id").limit(bound)
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), F.col("doc_id") == F.col("l_id"))
+    known = common.materialize(known, "labels-known")
+    rows = docs.select("doc_id", "text").join(common.small_side(known, known.count()), F.col("doc_id") == F.col("l_id"))
     return rows.select("text", "label", F.md5(common.text_or_empty()).alias("place"))
 
 
 def posteriors(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, n_tokens, p (posteriors in the order of DOMAINS) for every row of docs.
 
-    If the sample has one domain only, it has all the mass; if it is empty, the mass is equal. Null texts are empty.
+    If labels have one domain only, it has all the mass; if there are none, the mass is equal. Null texts are empty.
     """
-    sample = common.materialize(with_words(labelled_sample(docs, labels)), "labelled")
-    found = [int(r.label) for r in sample.select("label").distinct().collect()]
+    sample = common.materialize(with_words(labelled_texts(docs, labels)), "labelled")
+    counted = sample.groupBy("label").count().collect()
+    found, parts = [int(r.label) for r in counted], -(-sum(r["count"] for r in counted) // LABELLED_TOGETHER)
     rows = docs.select("doc_id", "text")
     if len(found) < 2:
         mass = [1.0 / len(DOMAINS) if not found else float(k in found) for k in range(len(DOMAINS))]
         words = F.size(F.array_remove(F.split(common.text_or_empty(), _BREAK), "")).cast("long")
         return rows.select("doc_id", words.alias("n_tokens"), F.array(*map(F.lit, mass)).alias("p"))
     words = telling_words(sample)
-    # In one order and partition, as sums of another order would lead to another model.
+    # In one order, as sums of another order would lead to another model.
     in_order = common.materialize(featurize(sample, words).select("place", "features", "label"), "labelled-features")
-    in_order = in_order.coalesce(1).sortWithinPartitions("place", "label").select("features", "label")
+    in_order = in_order.coalesce(1) if parts == 1 else in_order.repartition(parts, "place", "label")
+    in_order = in_order.sortWithinPartitions("place", "label").select("features", "label")
     learner = LogisticRegression(maxIter=60, regParam=1e-3, family="multinomial", standardization=False)
     model = learner.setRawPredictionCol("").setPredictionCol("").setProbabilityCol("_p").fit(in_order)
     scored = model.transform(featurize(with_words(rows), words)).select("doc_id", "n_tokens", vector_to_array("_p").alias("p"))
