@@ -182,7 +182,8 @@ def learn_mixer(words: DataFrame, types: int, counts) -> tuple[np.ndarray, np.nd
     cells = max(mixing.GATES * mixing.INPUTS, mixing.GATES * mixing.STEPS * 2)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer, refined, table, seen = mixing.first_weights(), np.zeros((mixing.GATES, mixing.STEPS, 2)), counts.value, 0
+        mixer, refined, seen = mixing.first_weights(), np.zeros((mixing.GATES, mixing.STEPS, 2)), 0
+        table = mixing.Predictors(counts.value, True)
         for batch in batches:
             start = 0
             while start < batch.num_rows:
@@ -211,10 +212,11 @@ def spell(vocabulary: DataFrame, counts, mixer: np.ndarray, refined: np.ndarray)
     """vocabulary with spelled: log10 of the mixing model's probability of each word."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = mixing.Predictors(counts.value, False)
         for batch in batches:
             for at in range(0, batch.num_rows, 8192):
                 part = batch.slice(at, 8192)
-                spelled = mixing.score(counts.value, part["word"].to_pylist(), mixer, refined)
+                spelled = mixing.score(table, part["word"].to_pylist(), mixer, refined)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(spelled)], names=[*part.schema.names, "spelled"])
 
     return vocabulary.select("word", "c", "by_class").mapInArrow(score, "word binary, c long, by_class array<long>, spelled double")

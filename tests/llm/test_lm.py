@@ -143,3 +143,26 @@ def test_spellings_are_probabilities():
             p *= float(one[0] if value[0] else 1 - one[0])
         total += p
     assert abs(total - 1.0) < 1e-4
+
+
+def test_steps_take_many_bytes_whatever_the_words_lengths():
+    """A batch of up to SIDE_BY_SIDE bytes is counted and scored in eight steps, and gives what its lanes give."""
+    words = [b"the", b"then", b"there", b"a", b"\n", b"x" * 131, b"ab" * 40] + [b"w%d" % (i * i) for i in range(500)]
+    assert len(list(mixing.Coded(words).bits(mixing.SIDE_BY_SIDE))) == 8
+    counts, by_lanes = np.zeros((mixing.SLOTS, 2), np.uint32), np.zeros((mixing.SLOTS, 2), np.uint32)
+    mixing.count(counts, words)
+    for _, _, slots, value in mixing.Lanes(words).bits():
+        np.add.at(by_lanes.reshape(-1), (slots * 2 + value).reshape(-1), 1)
+    assert (counts == by_lanes).all()
+    mixer, refined = mixing.first_weights(), np.zeros((mixing.GATES, mixing.STEPS, 2))
+    mixing.learn(mixing.Predictors(counts, True), words, mixer, refined)
+    assert refined.sum() == 8 * (sum(map(len, words)) + len(words) - 1)
+    table, lanes = mixing.refinement(refined), mixing.Lanes(words)
+    total = np.zeros(len(lanes.word))
+    for position, n, slots, value in lanes.bits():
+        inputs, gate = mixing._inputs(counts, slots, None, position, n)
+        mixed = np.clip(np.einsum("kn,nk->n", inputs, mixer[gate]), -mixing.REACH, mixing.REACH)
+        p = (1 - mixing.REFINED) * mixing.squash(mixed) + mixing.REFINED * table[gate, mixing._step(mixed)]
+        total[:n] += np.log10(np.where(value, p, 1 - p))
+    want = np.bincount(lanes.word, total, len(words))
+    assert np.abs(mixing.score(counts, words, mixer, refined) - want).max() < 1e-3
