@@ -6,6 +6,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -129,3 +130,40 @@ def test_query_equals_sql(spark, data):
     want = con.execute(repeats.OP12_SQL)
     assert [x[0] for x in want.description] == got.columns
     assert result(got) == sorted(want.fetchall(), key=str)
+
+
+def test_rows_lists_are_arrays():
+    """Lists come to Python as arrays, not as lists of objects; null and empty ones have no rows, and slices are kept."""
+    pair = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+    whole = pa.RecordBatch.from_pydict(
+        {
+            "k1": pa.array([1, 2, 3]),
+            "places": pa.array([[9], [1, 2], None], pa.list_(pa.int32())),
+            "wide": pa.array([None, [{"start": 3, "end": 4}, {"start": 5, "end": 6}], []], pa.list_(pair)),
+        }
+    )
+    got = list(repeats._rows(iter([whole.slice(1)])))
+    assert [r["k1"] for r in got] == [2, 3]
+    assert got[0]["places"].tolist() == [1, 2] and got[1]["places"].tolist() == []
+    assert got[0]["wide"].tolist() == [[3, 4], [5, 6]] and got[1]["wide"].shape == (0, 2)
+
+
+def test_anchors_of_a_text_are_sought_only_where_windows_are_asked_for():
+    row = {"copies": 1, "text": b"some words " * 60, "places": np.array([0]), "reach": np.array([450])}
+    own = repeats.Windows(row, 400)
+    own.remove(np.array([500]), np.array([510]))
+    assert own.removed.sum() == 460 and "least" not in vars(own)
+    assert len(own.first) == 660 - 399
+
+
+def test_judged_cells_equal_their_definition(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(rng.integers(6)), [None, 0, 1, 2, 3][rng.integers(5)], int(rng.integers(2)), 1, i, 0, 7, 0, i, i + 9, bool(rng.integers(2))) for i in range(120)]
+    names = "core long, hull long, inner long, copies long, k1 long, k2 long, anchor int, low int, start int, end int, doubt boolean"
+    hulls, cores = Counter((r[1], r[2]) for r in rows), Counter((r[0], r[2]) for r in rows)
+    sure = {r[4] for r in rows if r[10] and r[1] is not None and hulls[r[1], r[2]] > 1}
+    left = {(r[0], r[2]) for r in rows if r[10] and r[4] not in sure}
+    opened = {r[4] for r in rows if cores[r[0], r[2]] > 1 and (r[0], r[2]) in left}
+    got = repeats.judged_cells(spark.createDataFrame(rows, names)).collect()
+    assert {r.k1 for r in got if r.sure} == sure and {r.k1 for r in got if r.open} == opened
+    assert len(got) == len(sure | opened)
