@@ -10,6 +10,9 @@ second stage keeps one. Empty tables give empty results; other columns pass thro
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from foldlake.llm import common, decontaminate, jaccard_join, mixing_rates, quality, token_records
@@ -18,26 +21,43 @@ from foldlake.llm import common, decontaminate, jaccard_join, mixing_rates, qual
 SHINGLE, PERCENT = 5, 80
 
 
+def _stage(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """make, whose jobs leave short plans with the driver and start from a heap without what earlier stages left."""
+
+    @wraps(make)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        common.spare_driver(spark)
+        with common.short_plans(spark):
+            return make(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@_stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents by the base rules and by their distance from language references."""
     return quality.keep_good(docs, common.table(spark, sf_dir, "labels"))
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each group of near duplicates."""
     return jaccard_join.keep_one(docs, SHINGLE, PERCENT)
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that hold a benchmark item, also with other numbers or names."""
     return decontaminate.drop_contaminated(docs, common.table(spark, sf_dir, "benchmark"))
 
 
+@_stage
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Draws documents at the rates whose expected domain totals match the target weights."""
     return mixing_rates.sample(docs, common.table(spark, sf_dir, "labels"))
 
 
+@_stage
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes the token ids as binary records and reads them back."""
     out = common.work_path(spark, "pipeline-tokens")

@@ -27,6 +27,8 @@ WEIGHTS = {"good": 0.97, "poor": 0.02, "toxic": 0.01}
 LABELLED_TOGETHER = 8192
 FEATURES, LEAST_TEXTS = 512, 5
 ITERATIONS, TOLERANCE = 60, 1e-7
+#: Gradient steps after which the driver may collect the garbage of their plans.
+SPARED = 8
 #: Steps of the grid of posteriors along each domain; its cells number (GRID + 1) * (GRID + 2) / 2 at most.
 GRID = 512
 #: In sampling without repetition, the main domain's target is set so far above its tokens that its rates reach 1.
@@ -155,7 +157,7 @@ def fit_rates(scored: DataFrame, weights: dict[str, float], budget: float | None
     q, tokens = [F.col(f"q{i}") for i in k], F.col("tokens")
 
     def sums(columns: list[Column]) -> list[float]:
-        return [float(x or 0.0) for x in cells.agg(*[F.sum(c) for c in columns]).first()]
+        return [float(x or 0.0) for x in common.small_sums(cells, [F.sum(c) for c in columns])]
 
     totals = sums([tokens * q[i] for i in k])
     gram = sums([tokens * q[i] * q[j] for i in k for j in k])
@@ -166,6 +168,8 @@ def fit_rates(scored: DataFrame, weights: dict[str, float], budget: float | None
     moves: list[list[float]] = []
     last = None
     while len(moves) < ITERATIONS:
+        if len(moves) % SPARED == 0:
+            common.spare_driver(scored.sparkSession)
         rate = _rate(q, moves, most)
         gaps = [a - b for a, b in zip(sums([tokens * q[i] * rate for i in k]), wanted, strict=True)]
         error = sum(g * g / s for g, s in zip(gaps, scale, strict=True))

@@ -167,3 +167,22 @@ def test_stages_follow_each_other(spark, folder):
         out = stage(spark, docs, folder[0])
         docs = out.persist() if name != "tokens" else docs
     assert sorted(map(tuple, cp.run(spark, folder[0]).collect()), key=str) == sorted(map(tuple, out.collect()), key=str)
+
+
+def test_stages_leave_short_plans_with_the_driver(spark, folder):
+    """The driver keeps a plan's text for each job that a stage runs; it may not grow with the steps that the mixture takes."""
+    kept, names = spark._jsparkSession.sharedState().statusStore(), ("spark.sql.maxPlanStringLength", "spark.sql.adaptive.enabled")
+    settings = [spark.conf.get(name, None) for name in names]
+    for stage in ("near_duplicates", "mixing"):
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        last = max((x.executionId() for x in executions(kept)), default=-1)
+        run(spark, folder, stage)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        sizes = [len(x.physicalPlanDescription()) for x in executions(kept) if x.executionId() > last]
+        assert len(sizes) > 5 and max(sizes) < 10_000
+    assert [spark.conf.get(name, None) for name in names] == settings
+
+
+def executions(store):
+    found = store.executionsList()
+    return [found.apply(i) for i in range(found.size())]
