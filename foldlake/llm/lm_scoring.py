@@ -1,5 +1,9 @@
 """LM scoring: log-probabilities of whole texts under a model trained on the other texts.
 
+score_sequences, which op2_lm_scoring returns, codes every occurrence of whole texts (sequence_mixing): slot counts of all
+training texts, then one online pass of the mixer over them, in runs of at least RUN_BYTES whose weights are averaged, then
+the scores. Words are counted for the base score only. score_texts is a cheaper model, of distinct words:
+
 Spellings are modelled by logistic context mixing (context_mixing). The final refinement joins that with word counts:
 a word's probability in a text of class l is
 
@@ -30,6 +34,7 @@ from pyspark.sql import functions as F
 
 from foldlake.llm import common
 from foldlake.llm import context_mixing as mixing
+from foldlake.llm import sequence_mixing as sequences
 
 #: Texts whose remainder is HELD_OUT are not learned from.
 FOLDS, HELD_OUT = 10, 0
@@ -41,6 +46,8 @@ HEAD, COUNTED = 200_000, 250_000
 LEARNED_IN_RUN, FIRST_BATCH, BATCH = 400_000, 1024, 4096
 #: Distinct words for each task that fills the slots, and slots in a block of them.
 WORDS_PER_TASK, SLOT_BLOCK = 400_000, 16_384
+#: Fewest bytes of text that one run of learning from whole texts takes, if there are as many, and counters in a block of them.
+RUN_BYTES, COUNTER_BLOCK = 8_000_000, 65_536
 
 
 def _languages(docs: DataFrame) -> list[str]:
@@ -359,6 +366,195 @@ def score_texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def sequence_counts(train: DataFrame) -> np.ndarray:
+    """The counters of the sequence model over all bytes of the training texts, added up in blocks."""
+    blocks = -(-sequences.SLOTS // COUNTER_BLOCK)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(blocks * COUNTER_BLOCK, np.uint32)
+        for slots, _ in _halves(batches):
+            sequences.count(counts, slots)
+        parts = counts.reshape(blocks, -1)
+        for i in np.flatnonzero(parts.any(axis=1)).tolist():
+            yield pa.RecordBatch.from_pydict({"block": pa.array([i], pa.int32()), "counts": [zlib.compress(parts[i].tobytes(), 1)]})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch["block"].to_pylist(), batch["counts"].to_pylist(), strict=True):
+                more = np.frombuffer(zlib.decompress(counts), np.uint32)
+                sums[block] = sums[block] + more if block in sums else more.astype(np.uint64)
+        for block, counts in sums.items():
+            packed = np.minimum(counts, 0xFFFFFFFF).astype(np.uint32).tobytes()
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "counts": [zlib.compress(packed, 1)]})
+
+    found = train.mapInArrow(count, "block int, counts binary").repartition(common.partitions(train.sparkSession), "block")
+    total = np.zeros((blocks, COUNTER_BLOCK), np.uint32)
+    for row in found.mapInArrow(add, "block int, counts binary").collect():  # of fixed size
+        total[row.block] = np.frombuffer(zlib.decompress(row.counts), np.uint32)
+    return total.reshape(-1)[: sequences.SLOTS]
+
+
+def _halves(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Slots and values of the texts of all batches, one after the other."""
+    sequences.keep_memory()
+    coder = sequences.Coder()
+    texts = (sequences.coded(tokens(text)) for batch in batches for text in batch["text"].to_pylist())
+    for piece in sequences.pieces(texts):
+        yield coder.halves(piece)
+
+
+class _Made:
+    """What a worker makes once from a broadcast; equal to others for the same key."""
+
+    def __init__(self, key: str, make, shared):
+        self.key, self.make, self.shared = key, make, shared
+
+    def __hash__(self) -> int:
+        return hash(self.key)
+
+    def __eq__(self, other) -> bool:
+        return self.key == other.key
+
+
+@common.remembered
+def _made(of: _Made):
+    return of.make(of.shared.value)
+
+
+def _own_predictions(counts: np.ndarray) -> np.ndarray:
+    return sequences.predictions(counts, True)
+
+
+def learn_sequences(train: DataFrame, size: int, table: _Made) -> tuple[np.ndarray, np.ndarray]:
+    """The mixer's weights, averaged over runs that together learn from every byte of the training texts, and the
+    refinement map, added up. A run takes whole partitions, at least RUN_BYTES. Spark adds up what runs found."""
+    shapes = sequences.first_weights().shape, sequences.no_refinement().shape
+    sizes = [int(np.prod(shape)) for shape in shapes]
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learner = sequences.Learner(_made(table))
+        for slots, values in _halves(batches):
+            learner.learn(slots, values)
+        if learner.seen:
+            found = np.concatenate((learner.mixer.reshape(-1).astype(np.float64) * learner.seen, learner.refined.reshape(-1)))
+            columns = {"cell": pa.array(np.arange(len(found)), pa.int32()), "found": found, "seen": np.full(len(found), float(learner.seen))}
+            yield pa.RecordBatch.from_pydict(columns)
+
+    dealt = train.coalesce(max(1, -(-size // RUN_BYTES)))
+    found = dealt.mapInArrow(learn, "cell int, found double, seen double")
+    got = found.groupBy("cell").agg(F.sum("found"), F.sum("seen")).orderBy("cell").collect()
+    if not got:
+        return sequences.first_weights(), sequences.no_refinement()
+    sums, seen = (np.array(x, np.float64) for x in list(zip(*got))[1:])
+    return (sums / seen)[: sizes[0]].reshape(shapes[0]).astype(np.float32), sums[sizes[0] :].reshape(shapes[1])
+
+
+def _for_scores(shared: tuple) -> tuple:
+    """The frequent words with their counts, and what the model's score of bytes needs."""
+    data, counts, mixer, refined = shared
+    frequent = pa.ipc.open_stream(data).read_all()
+    known = dict(zip(frequent["word"].to_pylist(), frequent["c"].to_pylist()))
+    return known, (sequences.predictions(counts, False), mixer, sequences.refinement(refined))
+
+
+_SCORED = pa.schema(
+    [("row", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("bytes", pa.int64())]
+    + [("base", pa.float64()), ("score", pa.float64()), ("rest", pa.list_(pa.binary())), ("times", pa.list_(pa.int32()))]
+)
+
+
+def score_whole(rows: DataFrame, made: _Made, base: tuple[float, int]) -> DataFrame:
+    """For each text: its number in the table, its score, the base score's sum over its frequent words, and the rest of
+    its words with their counts."""
+    all_tokens, types = base
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, model = _made(made)
+        sequences.keep_memory()
+        number = TaskContext.get().partitionId() << 36
+        for batch in batches:
+            out, texts = [], []
+            for text, held, size in zip(*(batch[c].to_pylist() for c in ("text", "held_out", "bytes")), strict=True):
+                words = tokens(text)
+                c = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+                rest = Counter(words[i] for i in np.flatnonzero(c < 0).tolist())
+                c = c[c >= 0]
+                total = float(np.log10((c + 0.1) / (all_tokens + 0.1 * (types + 1))).sum())
+                out.append((number, held, len(words), int((c > 0).sum()), size, total, 0.0, list(rest), list(rest.values())))
+                texts.append(sequences.coded(words))
+                number += 1
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*out), _SCORED)] if out else [pa.array([], f.type) for f in _SCORED]
+            columns[6] = pa.array(_text_scores(texts, *model))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], names=["doc_id", *_SCORED.names])
+
+    kind = dict(rows.dtypes)["doc_id"]
+    schema = "row long, held_out boolean, n_tokens long, n_known long, bytes long, base double, score double, rest array<binary>, times array<int>"
+    sized = rows.select("doc_id", "text", "held_out", F.octet_length("text").cast("long").alias("bytes"))
+    return sized.mapInArrow(score, f"doc_id {kind}, {schema}")
+
+
+def _text_scores(texts: list[bytes], table: np.ndarray, mixer: np.ndarray, refined: np.ndarray) -> np.ndarray:
+    """log10 of the probability of each coded text."""
+    scores, done, coder = np.zeros(len(texts)), 0, sequences.Coder()
+    for piece in sequences.pieces(iter(texts)):
+        ends = np.frombuffer(piece, np.uint8) == sequences.END
+        found = np.bincount(np.cumsum(ends) - ends, sequences.score(table, mixer, refined, *coder.halves(piece)))
+        scores[done : done + len(found)] += found
+        done += int(ends.sum())
+    return scores
+
+
+def score_sequences(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte for every row of docs.
+
+    score is that of the sequence model. Odd rows are treated as in score_texts(); languages are not used.
+    """
+    spark = docs.sparkSession
+    common.small_batches(spark)
+    rows = docs.select("doc_id", common.text_or_empty().alias("text")).withColumn("held_out", held_out())
+    counted = count_words(rows.withColumn("class", F.lit(0)), 1).select("word", "c")
+    vocabulary = common.materialize(counted, "vocabulary")
+    steps = sorted({int(1.25**i) for i in range(120)})
+    sizes = [F.sum((F.col("c") >= step).cast("long")) for step in steps]
+    size = F.sum(F.col("c") * (F.octet_length("word") + 1))
+    got = [int(x or 0) for x in vocabulary.agg(F.sum("c"), F.sum((F.col("c") > 0).cast("long")), size, *sizes).first()]
+    all_tokens, types, size = got[:3]
+    frequent_from = next((step for step, n in zip(steps, got[3:]) if n <= HEAD), steps[-1])
+
+    train = rows.where(~F.col("held_out")).select("text")
+    counts = sequence_counts(train)
+    shared = spark.sparkContext.broadcast(counts)
+    mixer, refined = learn_sequences(train, size, _Made(common.work_path(spark, "own"), _own_predictions, shared))
+    shared.unpersist()
+
+    frequent = vocabulary.where(F.col("c") >= frequent_from).toArrow()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, frequent.schema) as stream:
+        stream.write_table(frequent)
+    shared = spark.sparkContext.broadcast((sink.getvalue().to_pybytes(), counts, mixer, refined))
+    made = _Made(common.work_path(spark, "scores"), _for_scores, shared)
+    texts = common.materialize(score_whole(rows, made, (all_tokens, types)), "texts")
+
+    rest = texts.select("row", F.explode(F.arrays_zip("rest", "times")).alias("w"))
+    rest = rest.select("row", F.col("w.rest").alias("word"), F.col("w.times").alias("times"))
+    base = F.log10((F.col("c") + 0.1) / F.lit(all_tokens + 0.1 * (types + 1)))
+    sums = rest.join(vocabulary.where(F.col("c") < frequent_from), "word").groupBy("row").agg(
+        F.sum(F.col("times") * (F.col("c") > 0).cast("long")).alias("more_known"),
+        F.sum(F.col("times") * base).alias("more_base"),
+    )
+    return texts.drop("rest", "times").join(sums, "row", "left").select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
+        F.lit(all_tokens).cast("long").alias("train_tokens"),
+        (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
+        "score",
+        F.when(F.col("bytes") > 0, -F.col("score") * float(np.log2(10.0)) / F.col("bytes")).alias("bits_per_byte"),
+    )
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of all whole texts; score_texts() says what odd rows give."""
-    return score_texts(common.table(spark, sf_dir, "documents"))
+    """Scores of all whole texts; score_sequences() says what odd rows give."""
+    return score_sequences(common.table(spark, sf_dir, "documents"))
