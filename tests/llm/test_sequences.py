@@ -189,3 +189,23 @@ def test_empty_and_untrained(spark, documents):
     ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0][:2]
     got = lm.score_sequences(documents([(i, "some words") for i in ids])).collect()
     assert all(r.held_out and r.train_tokens == 0 and r.n_known == 0 and math.isfinite(r.score) for r in got)
+
+
+def test_runs_are_averaged_by_bytes(spark, documents, data, monkeypatch):
+    """Three runs of unlike sizes: weights are their average by bytes, the refinement map is their sum."""
+    texts = [r.text for r in spark.read.parquet(f"{data}/documents.parquet").limit(20).collect()]
+    parts = [texts[:12], texts[12:13], texts[13:]]
+    train = spark.createDataFrame(spark.sparkContext.parallelize([[(t,) for t in part] for part in parts], 3).flatMap(list), "text string")
+    counts = lm.sequence_counts(train)
+    own = sequences.predictions(counts, True)
+    learners = []
+    for part in parts:
+        learner, coder = sequences.Learner(own), sequences.Coder()
+        for piece in sequences.pieces(sequences.coded(toks(t)) for t in part):
+            learner.learn(*coder.halves(piece))
+        learners.append(learner)
+    monkeypatch.setattr(lm, "RUN_BYTES", 1)
+    mixer, refined = lm.learn_sequences(train, 1_000_000, lm._Made("runs", lm._own_predictions, spark.sparkContext.broadcast(counts)))
+    want = np.average([x.mixer for x in learners], axis=0, weights=[x.seen for x in learners])
+    assert np.abs(mixer - want).max() < 1e-4
+    assert (refined == sum(x.refined for x in learners)).all()
